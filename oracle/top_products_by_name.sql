@@ -1,0 +1,12 @@
+SELECT p_name AS product_name, c.name AS category_name,
+       CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_quantity_sold,
+       CAST(sum(CAST(l_quantity AS DECIMAL(10,0)) * CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_revenue,
+       count(DISTINCT o_custkey) AS unique_customers
+FROM part
+JOIN (SELECT DISTINCT p_type AS category_id, p_type AS name FROM part) c ON p_type = c.category_id
+JOIN lineitem ON p_partkey = l_partkey
+JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderstatus = 'F'
+GROUP BY p_name, c.name
+ORDER BY total_revenue DESC, product_name, category_name
+LIMIT 10
