@@ -13,10 +13,14 @@ CREATED = ("c", "r")
 
 
 def payloads(events: DataFrame, table: str) -> DataFrame:
-    """After-images of ``table`` from the JSON text in ``value``; unreadable events are dropped."""
-    parsed = events.withColumn("_event", F.from_json("value", change_event(table)))
+    """After-images of ``table`` from the JSON text in ``value``; unreadable events are dropped.
+
+    The image is unpacked by a generator: filters on its columns stay above it, so each text is
+    parsed once. As a plain projection, every later filter would parse it again.
+    """
+    image = F.from_json("value", change_event(table))["payload"]
     kept = [c for c in events.columns if c not in ("value", "key")]
-    return parsed.filter(F.col("_event.payload").isNotNull()).select(*kept, "_event.payload.*")
+    return events.select(*kept, F.inline(F.filter(F.array(image), lambda i: i.isNotNull())))
 
 
 def change_records(events: DataFrame, table: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketlens import jobs
 from basketlens.operators import changes, checks, cleaning, incremental, interactions
-from basketlens.plans import customers, features, products, recommend, revenue
+from basketlens.plans import customers, features, ingest, products, recommend, revenue
 from basketlens.schemas import BIGINT, INT, PRICE, STRING, TIMESTAMP, schema_of
 from basketlens.session import pin_utc, scratch, stream_session
 from basketlens.sinks import marts as mart_sink
@@ -248,6 +249,20 @@ def cleaned_orders(spark, sf):
     return cleaning.clean_table(dirty, DIRTY_ORDERS)
 
 
+@query
+def lake_snapshot(spark, sf):
+    """Tables taken into the lake; one is empty, one cannot be read."""
+    readers = {
+        "customer": lambda: shop.raw(spark, sf, "customer"),
+        "orders": lambda: shop.raw(spark, sf, "orders"),
+        "events": lambda: shop.raw(spark, sf, "events"),
+        "lineitem": lambda: shop.raw(spark, sf, "lineitem").filter(F.col("l_quantity") < 0),
+        "part": lambda: spark.read.parquet(f"{sf}/no_such_table.parquet"),
+    }
+    results = ingest.snapshot_tables(readers, shop.RAW, scratch(spark, "lake"))
+    return ingest.results_frame(spark, results)
+
+
 @query
 def data_quality(spark, sf):
     orders = shop.orders(spark, sf)
@@ -268,9 +283,10 @@ def data_quality(spark, sf):
 
 @query
 def incremental_orders(spark, sf):
-    """Orders newer than the latest completed one."""
+    """Orders newer than the last one of the year 2000."""
     orders = shop.orders(spark, sf)
-    mark = incremental.high_water_mark(orders.filter(F.col("status") == "F"), "order_date")
+    loaded = orders.filter(F.col("order_date") < F.lit(dt.datetime(2001, 1, 1)))
+    mark = incremental.high_water_mark(loaded, "order_date")
     return incremental.changed_since(orders, "order_date", mark)
 
 
@@ -468,6 +484,17 @@ def stream_top_products(spark, sf):
     return pin_utc(spark).read.parquet(f"{path}/data").drop("batch_id")
 
 
+@query
+def stream_enriched_top_products(spark, sf):
+    """Ranking records published as JSON by one stream, read and enriched by another."""
+    records = scratch(spark, "top-product-records")
+    top_product_records(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(records)
+    messages = stream_session(spark).readStream.text(records)
+    known = shop.products(spark, sf).filter(F.col("category_id") != "PROMO")
+    enriched = product_streams.enrich_top_products(product_streams.parse_records(messages), known)
+    return _landed(spark, enriched, "enriched")
+
+
 @query
 def stream_alerts(spark, sf):
     return _landed(spark, order_streams.all_alerts(_order_stream(spark, sf), P), "alerts")

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# State beyond the heap: windows per customer and de-duplication keys grow with the stream.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(app: str = "basketlens", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "basketlens", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """``shuffle_bytes`` is the largest shuffle expected; it sets how many partitions AQE starts
+    from (128 MB each) before it merges small ones."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,6 +33,11 @@ def build_session(app: str = "basketlens", master: str | None = None, **conf: st
     )
     if master:
         builder = builder.master(master)
+    if shuffle_bytes:
+        partitions = max(200, math.ceil(shuffle_bytes / (128 << 20)))
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -70,4 +87,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     session = pin_utc(spark.newSession())
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    configured = spark.sparkContext.getConf()
+    for key, value in STATE_STORE.items():
+        if not configured.contains(key):
+            session.conf.set(key, value)
     return session

@@ -204,36 +204,30 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     then deleted, which leaves a delete event with little more than the key, and a tombstone.
     Orders of priority 5-LOW add an event without a date and one that is cut off.
     """
-    o = raw(spark, sf_dir, "orders")
+    insert, update, delete, tombstone, undated, cut_off = range(6)
     deleted = F.col("o_orderstatus") == "P"
     low = F.col("o_orderpriority") == "5-LOW"
-
-    def image(op: str, step: int, status, full: bool = True, dated: bool = True):
-        fields = [
-            F.col("o_orderkey").alias("order_id"),
-            F.lit(op).alias("__op"),
-            F.lit("orders").alias("__table"),
-            (F.col("o_orderkey") * 10 + step).alias("__lsn"),
-            F.lit("true" if op == "d" else "false").alias("__deleted"),
-        ]
-        if full:
-            fields += [
-                F.col("o_custkey").alias("customer_id"),
-                F.col("o_totalprice").alias("total_price"),
-                status.alias("status"),
-            ]
-        if dated:
-            fields.append(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_date"))
-        return F.to_json(F.struct(F.struct(*fields).alias("payload")))
-
-    update = image("u", 1, F.col("o_orderstatus"))
-    events = F.array(
-        update,
-        image("c", 0, F.lit("pending")),
-        F.when(deleted, image("d", 2, None, full=False, dated=False)).otherwise("skip"),
-        F.when(deleted, F.lit(None)).otherwise("skip"),
-        F.when(low, image("u", 1, F.col("o_orderstatus"), dated=False)).otherwise("skip"),
-        F.when(low, F.substring(update, 1, 20)).otherwise("skip"),
+    steps = F.array(
+        F.lit(update), F.lit(insert),
+        F.when(deleted, delete), F.when(deleted, tombstone),
+        F.when(low, undated), F.when(low, cut_off),
+    )
+    step = F.col("step")
+    whole, dated = step != delete, ~step.isin(delete, undated)
+    image = F.struct(
+        F.col("o_orderkey").alias("order_id"),
+        F.when(step == insert, "c").when(step == delete, "d").otherwise("u").alias("__op"),
+        F.lit("orders").alias("__table"),
+        (F.col("o_orderkey") * 10 + F.when(step.isin(insert, delete), step).otherwise(update)).alias("__lsn"),
+        F.when(step == delete, "true").otherwise("false").alias("__deleted"),
+        F.when(whole, F.col("o_custkey")).alias("customer_id"),
+        F.when(whole, F.col("o_totalprice")).alias("total_price"),
+        F.when(step == insert, "pending").when(whole, F.col("o_orderstatus")).alias("status"),
+        F.when(dated, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("order_date"),
+    )
+    events = raw(spark, sf_dir, "orders").select("*", F.explode(F.array_compact(steps)).alias("step"))
+    text = F.to_json(F.struct(image.alias("payload")))
+    cut = F.when(step == cut_off, 20).otherwise(F.length("text"))
+    return events.select("step", text.alias("text")).select(
+        F.when(step != tombstone, F.substring("text", F.lit(1), cut)).alias("value")
     )
-    log = o.select(F.explode(events).alias("value"))
-    return log.filter(F.col("value").isNull() | (F.col("value") != "skip"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.functions import render
 from basketlens.functions.exact import total
@@ -15,8 +16,8 @@ from basketlens.operators.previous import growth_percent, with_previous
 from basketlens.operators.ranking import top_k_per_group
 from basketlens.params import Params
 from basketlens.plans.products import line_value
+from basketlens.schemas import TOP_PRODUCT_RECORD
 from basketlens.sinks.streams import batch_files, per_batch
-from pyspark.sql.streaming import StreamingQuery
 
 METRICS = {"quantity": "total_quantity", "revenue": "total_revenue"}
 
@@ -61,6 +62,13 @@ def top_product_records(ranked: DataFrame) -> DataFrame:
     )
 
 
+def parse_records(messages: DataFrame) -> DataFrame:
+    """Ranking records from the JSON text in ``value``, as another stream reads them; unreadable
+    texts, which parse to a record without a metric, are dropped."""
+    record = F.from_json("value", TOP_PRODUCT_RECORD)
+    return messages.select(F.inline(F.filter(F.array(record), lambda r: r["metric"].isNotNull())))
+
+
 def stream_top_products(
     items: DataFrame, p: Params, path: str, checkpoint: str,
     by: str = "quantity", time: str = "event_time", interval: str | None = None,

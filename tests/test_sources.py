@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from conftest import SMALL
+
+from basketlens.schemas import TOP_PRODUCT_RECORD, change_event, topic
+from basketlens.sources import database, topics
+from basketlens.sources import driver_tables as shop
+
+
+def test_topic_options_and_names():
+    assert topic("orders") == "ecommerce-cdc.public.orders"
+    options = topics.topic_options("broker:9092", topic("orders"), "latest", "alerts")
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092", "subscribe": "ecommerce-cdc.public.orders",
+        "startingOffsets": "latest", "groupIdPrefix": "alerts",
+    }
+
+
+def test_snapshot_options_split_on_the_key():
+    db = database.Database("jdbc:postgresql://db/shop", "u", "pw")
+    options = database.snapshot_options(db, "orders", "order_id", (1, 1000), 8)
+    assert options["dbtable"] == "orders" and options["partitionColumn"] == "order_id"
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "1000", "8")
+
+
+def test_event_schema_carries_published_types():
+    payload = change_event("orders")["payload"].dataType
+    assert payload["total_price"].dataType.simpleString() == "double"
+    assert payload["order_date"].dataType.simpleString() == "string"
+    assert "rank" in TOP_PRODUCT_RECORD.names
+
+
+def test_peek_separates_unreadable_messages(spark):
+    when = dt.datetime(2024, 1, 1)
+    data = [
+        (b"k", b'{"payload": {"a": 1}}', 0, 1, when), (None, b"{broken", 0, 0, when),
+        (b"k", None, 1, 0, when), (b"k", b"[1, 2]", 1, 1, when), (b"k", b"7", 1, 2, when), (b"k", b"8", 1, 3, when),
+    ]
+    df = spark.createDataFrame(data, "key BINARY, value BINARY, partition INT, offset BIGINT, timestamp TIMESTAMP")
+    got = [(r.key, r.value, r.error, r.raw_data) for r in topics.peek(df, 5).orderBy("partition", "offset").collect()]
+    assert got == [
+        (None, None, "not valid JSON", "{broken"), ("k", '{"payload": {"a": 1}}', None, None),
+        ("k", None, None, None), ("k", "[1, 2]", None, None), ("k", "7", None, None),
+    ]
+
+
+def test_zoneless_timestamps_are_utc_instants(spark):
+    first = shop.orders(spark, SMALL).orderBy("order_id").first()
+    raw = spark.read.parquet(f"{SMALL}/orders.parquet").orderBy("o_orderkey").first()
+    assert first["order_date"] == raw["o_orderdate"]
