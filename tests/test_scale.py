@@ -17,6 +17,10 @@ P = shop.PARAMS
 
 
 def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def details_of(df) -> str:
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
 
@@ -36,7 +40,7 @@ def conf(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = plan_of(revenue.revenue_monthly(shop.orders(spark, SMALL), P))
+    plan = details_of(revenue.revenue_monthly(shop.orders(spark, SMALL), P))
     assert "EqualTo(o_orderstatus,F)" in plan and "GreaterThanOrEqual(o_orderdate" in plan
     assert "o_orderpriority" not in plan
 
