@@ -58,8 +58,9 @@ def parse_order_items(events: DataFrame) -> DataFrame:
 
 
 def created_only(records: DataFrame) -> DataFrame:
-    """Count orders, not change events: keep inserts and snapshot reads. Stateless."""
-    return records.filter(F.col("__op").isin(*CREATED))
+    """Count orders, not change events: keep inserts and snapshot reads. Stateless. Records that
+    do not say what happened count as inserts."""
+    return records.filter(F.coalesce("__op", F.lit("c")).isin(*CREATED))
 
 
 def first_event_per_key(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:

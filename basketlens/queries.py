@@ -13,7 +13,7 @@ from basketlens import jobs
 from basketlens.operators import changes, checks, cleaning, incremental, interactions
 from basketlens.plans import customers, features, ingest, products, recommend, revenue
 from basketlens.schemas import BIGINT, INT, PRICE, STRING, TIMESTAMP, schema_of
-from basketlens.session import pin_utc, scratch, stream_session
+from basketlens.session import pin_utc, scratch
 from basketlens.sinks import marts as mart_sink
 from basketlens.sinks import streams as sinks
 from basketlens.sources import catalog, topics
@@ -453,12 +453,12 @@ def all_alerts(spark, sf):
 
 
 def _order_stream(spark: SparkSession, sf: str) -> DataFrame:
-    messages = shop.order_messages(shop.events_stream(stream_session(spark), sf))
+    messages = shop.order_messages(shop.events_stream(spark, sf))
     return order_streams.timed(changes.parse_orders(messages), P)
 
 
 def _item_stream(spark: SparkSession, sf: str) -> DataFrame:
-    messages = shop.item_messages(shop.events_stream(stream_session(spark), sf))
+    messages = shop.item_messages(shop.events_stream(spark, sf))
     return order_streams.timed(changes.parse_order_items(messages), P)
 
 
@@ -466,7 +466,7 @@ def _landed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Run the stream over everything there is and read what it wrote."""
     path = scratch(spark, name)
     sinks.to_files(stream, f"{path}/data", f"{path}/checkpoint").awaitTermination()
-    return pin_utc(spark).read.schema(stream.schema).parquet(f"{path}/data")
+    return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
 @query
@@ -481,7 +481,7 @@ def stream_top_products(spark, sf):
     product_streams.stream_top_products(
         _item_stream(spark, sf), P, f"{path}/data", f"{path}/checkpoint"
     ).awaitTermination()
-    return pin_utc(spark).read.parquet(f"{path}/data").drop("batch_id")
+    return spark.read.parquet(f"{path}/data").drop("batch_id")
 
 
 @query
@@ -489,7 +489,7 @@ def stream_enriched_top_products(spark, sf):
     """Ranking records published as JSON by one stream, read and enriched by another."""
     records = scratch(spark, "top-product-records")
     top_product_records(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(records)
-    messages = stream_session(spark).readStream.text(records)
+    messages = pin_utc(spark).readStream.text(records)
     known = shop.products(spark, sf).filter(F.col("category_id") != "PROMO")
     enriched = product_streams.enrich_top_products(product_streams.parse_records(messages), known)
     return _landed(spark, enriched, "enriched")
@@ -516,7 +516,7 @@ def stream_category_windows(spark, sf):
 @query
 def stream_deduplicated_orders(spark, sf):
     """Every order event arrives twice and is counted once."""
-    messages = shop.order_messages(shop.events_stream(stream_session(spark), sf))
+    messages = shop.order_messages(shop.events_stream(spark, sf))
     twice = messages.select(F.explode(F.array("value", "value")).alias("value"))
     first = changes.first_event_per_key(changes.parse_orders(twice), "order_id", "event_time", "5 seconds")
     return _landed(spark, order_streams.window_revenue(first, P.revenue_window), "deduplicated")

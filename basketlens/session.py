@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,16 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, which has one machine, may fall back to a temporary folder.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="basketlens-")
-        context.setCheckpointDir(_local_dirs[app])
-    return _local_dirs[app]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        folder = _local_dirs.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="basketlens-")
+        _local_dirs[context.applicationId] = folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -78,17 +79,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A session for one stateful stream.
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings in force while a stream is started, which keeps them for its life.
 
-    State partitions are fixed for the life of a checkpoint and are not coalesced at run time,
-    so they are chosen per stream: the parallelism of the cluster unless told otherwise.
+    State partitions stay fixed with the checkpoint and are not merged at run time, so unless
+    the session was given a number, they follow the parallelism of the cluster.
     """
-    session = pin_utc(spark.newSession())
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
-    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    configured = spark.sparkContext.getConf()
-    for key, value in STATE_STORE.items():
-        if not configured.contains(key):
-            session.conf.set(key, value)
-    return session
+    given = spark.sparkContext.getConf()
+    wanted = STATE_STORE | {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
+    before = {key: spark.conf.get(key, None) for key in wanted if not given.contains(key)}
+    try:
+        for key in before:
+            spark.conf.set(key, wanted[key])
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from basketlens.functions.render import json_record
+from basketlens.session import stream_settings
 from basketlens.sources.database import Database, append_rows
 
 
-def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+def _start(
+    stream: DataFrame, writer: DataStreamWriter, checkpoint: str, interval: str | None,
+    path: str | None = None,
+) -> StreamingQuery:
     """Continuous micro-batches when ``interval`` is given, else all that is available, once."""
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
     if interval is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=interval)
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=interval)
+    with stream_settings(stream.sparkSession):
+        return writer.start(path)
 
 
 def to_files(
@@ -24,10 +32,10 @@ def to_files(
     partition_by: Sequence[str] = (), interval: str | None = None,
 ) -> StreamingQuery:
     """Append to files, exactly once."""
-    writer = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _trigger(writer, interval).start(path)
+    return _start(stream, writer, checkpoint, interval, path)
 
 
 def to_topic(
@@ -35,30 +43,20 @@ def to_topic(
 ) -> StreamingQuery:
     """Publish every row as one JSON text, at least once."""
     records = stream.select(json_record(*stream.columns).alias("value"))
-    writer = (
-        records.writeStream.format("kafka").outputMode("append")
-        .option("kafka.bootstrap.servers", servers).option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _trigger(writer, interval).start()
+    writer = records.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    return _start(stream, writer.option("topic", topic), checkpoint, interval)
 
 
 def to_console(stream: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Print results, for debugging."""
-    writer = stream.writeStream.format("console").outputMode("append").option(
-        "checkpointLocation", checkpoint
-    )
-    return _trigger(writer, interval).start()
+    return _start(stream, stream.writeStream.format("console"), checkpoint, interval)
 
 
 def per_batch(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    writer = stream.writeStream.outputMode("append").foreachBatch(handle).option(
-        "checkpointLocation", checkpoint
-    )
-    return _trigger(writer, interval).start()
+    return _start(stream, stream.writeStream.foreachBatch(handle), checkpoint, interval)
 
 
 def batch_files(
@@ -76,6 +74,20 @@ def batch_files(
     return write
 
 
+def batch_topic(
+    servers: str, topic: str, transform: Callable[[DataFrame], DataFrame]
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler that publishes the rows of ``transform(batch)`` as JSON, at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = transform(batch)
+        rows.select(json_record(*rows.columns).alias("value")).write.format("kafka").option(
+            "kafka.bootstrap.servers", servers
+        ).option("topic", topic).save()
+
+    return write
+
+
 def batch_table(db: Database, table: str) -> Callable[[DataFrame, int], None]:
     """Batch handler that appends to a database table, creating it when missing."""
 

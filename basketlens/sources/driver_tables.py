@@ -64,8 +64,9 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log as a stream of files. A pattern, because the table may be one file or a
-    folder of files, and a stream takes a single file only by pattern."""
-    return spark.readStream.schema(RAW["events"]).parquet(f"{sf_dir}/[e]vents.parquet")
+    folder of files, and a stream takes a single file only by pattern. There is no limit of files
+    per batch: a backlog is one batch, in which no row can be late."""
+    return pin_utc(spark).readStream.schema(RAW["events"]).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ because items carry no time of their own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +22,9 @@ from basketlens.plans.products import line_value
 from basketlens.schemas import TOP_PRODUCT_RECORD
 from basketlens.sinks.streams import batch_files, per_batch
 
+Transform = Callable[[DataFrame], DataFrame]
+BatchHandler = Callable[[DataFrame, int], None]
+
 METRICS = {"quantity": "total_quantity", "revenue": "total_revenue"}
 
 
@@ -69,19 +75,26 @@ def parse_records(messages: DataFrame) -> DataFrame:
     return messages.select(F.inline(F.filter(F.array(record), lambda r: r["metric"].isNotNull())))
 
 
-def stream_top_products(
-    items: DataFrame, p: Params, path: str, checkpoint: str,
+def ranking_stream(
+    items: DataFrame, p: Params, write: Callable[[Transform], BatchHandler], checkpoint: str,
     by: str = "quantity", time: str = "event_time", interval: str | None = None,
 ) -> StreamingQuery:
-    """Rank closed windows of a stream into files.
+    """Rank closed windows of a stream; ``write`` turns the ranking into a batch handler.
 
     A watermark closes a window in one micro-batch for all products, so each batch holds whole
     windows. The batch is ranked with a per-task cut to ``k`` rows: products are never gathered
     into one list.
     """
     windows = product_windows(items, p.product_window, time)
-    handler = batch_files(path, lambda closed: rank_products(closed, p, by))
-    return per_batch(windows, handler, checkpoint, interval)
+    return per_batch(windows, write(lambda closed: rank_products(closed, p, by)), checkpoint, interval)
+
+
+def stream_top_products(
+    items: DataFrame, p: Params, path: str, checkpoint: str,
+    by: str = "quantity", time: str = "event_time", interval: str | None = None,
+) -> StreamingQuery:
+    """Ranking into files."""
+    return ranking_stream(items, p, partial(batch_files, path), checkpoint, by, time, interval)
 
 
 def enrich_top_products(ranked: DataFrame, products: DataFrame) -> DataFrame:

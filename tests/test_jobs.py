@@ -3,9 +3,10 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
+import pytest
 from conftest import SMALL, rows
 
-from basketlens import jobs
+from basketlens import jobs, session
 from basketlens.sinks import marts
 from basketlens.sources import catalog, lake
 from basketlens.sources import driver_tables as shop
@@ -96,3 +97,62 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     joined = spark.table("b_items").hint("merge").join(spark.table("b_orders"), "order_id")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == shop.order_items(spark, SMALL).count()
+
+
+def test_reports_are_sorted(spark):
+    from basketlens.plans import customers, reports
+
+    mart = customers.customer_segmentation(shop.orders(spark, SMALL), shop.customers(spark, SMALL), P)
+    spent = [r["total_spent"] for r in reports.report("customer_segmentation", mart, 5).collect()]
+    assert len(spent) == 5 and spent == sorted(spent, reverse=True)
+    assert spent[0] == max(r[0] for r in mart.select("total_spent").collect())
+    assert reports.in_report_order("rfm", mart) is mart
+
+
+def test_command_line_runs_a_batch_job(spark, tmp_path, capsys):
+    from basketlens.__main__ import main
+
+    tables = shop.shop(spark, SMALL)
+    for name in ("orders", "customers"):
+        from basketlens.schemas import TABLES
+
+        declared = [f for f in TABLES[name].fields if f.name in tables[name].columns]
+        tables[name].selectExpr(
+            *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in declared]
+        ).write.parquet(f"{tmp_path}/lake/{name}")
+    arguments = [
+        "--as-of", "2001-08-01", "batch", "segmentation_customer",
+        "--source", f"{tmp_path}/lake", "--destination", f"{tmp_path}/marts",
+    ]
+    assert main(arguments) == 0
+    assert "SUCCESS" in capsys.readouterr().out
+    written = spark.read.parquet(f"{tmp_path}/marts/segmentation_customer/customer_segmentation")
+    assert written.count() == tables["orders"].select("customer_id").distinct().count()
+
+
+class FakeSession:
+    """A session as ``shared_dir`` sees it; the setting itself is fixed once Spark has started."""
+
+    def __init__(self, master, folder=None):
+        self.master, self.folder, self.checkpoints = master, folder, None
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default=None):
+        return self.folder if key == "spark.checkpoint.dir" and self.folder else default
+
+    def getConf(self):
+        return self
+
+    def getCheckpointDir(self):
+        return self.checkpoints
+
+    def setCheckpointDir(self, folder):
+        self.checkpoints = folder
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    cluster = FakeSession("yarn", "s3a://lake/tmp/")
+    assert session.shared_dir(cluster) == "s3a://lake/tmp" and cluster.checkpoints
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession("yarn"))
+    assert session.scratch(spark, "x") != session.scratch(spark, "x")

@@ -276,3 +276,67 @@ def test_alert_stream_to_delivery(spark, topic, tmp_path, p):
     alerts = order_streams.all_alerts(orders_of(topic, p), p)
     sinks.per_batch(alerts, handle, str(tmp_path / "check")).awaitTermination()
     assert len(calls.read_text().splitlines()) == 1
+
+
+# --- applications --------------------------------------------------------------------------------
+
+
+def test_alert_application(spark, topic, tmp_path, p):
+    from basketlens.streaming import apps
+
+    # one order and its two updates are one order, unless changes are to be counted
+    lines = [order(i, 6, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(4)]
+    lines += [order(1, 6, 1, "2024-01-01T00:00:40Z", "u"), order(2, 6, 1, "2024-01-01T00:00:41Z", "u")]
+    topic.add(*lines, order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"))
+    topic.add(order(99, 1, 1, SENTINEL))
+    for per_change, customers in ((False, {9}), (True, {6, 9})):
+        log = str(tmp_path / f"log{per_change}")
+        apps.order_alerts(
+            topic.stream(), p, str(tmp_path / f"check{per_change}"), log, lambda message: 204,
+            per_change=per_change,
+        ).awaitTermination()
+        sent = spark.read.parquet(log)
+        assert {r[0] for r in sent.select("customer_id").collect()} == customers
+        assert sent.filter("not delivered").isEmpty()
+
+
+def test_alerts_without_channel_are_printed(topic, tmp_path, p):
+    from basketlens.streaming import apps
+
+    topic.add(order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"))
+    apps.order_alerts(topic.stream(), p, str(tmp_path / "check")).awaitTermination()
+    with pytest.raises(ValueError):
+        apps.order_alerts(topic.stream(), p, str(tmp_path / "other"), send=lambda message: 204)
+
+
+def test_restart_continues_where_it_stopped(spark, topic, tmp_path, p):
+    from basketlens.streaming import apps
+
+    for n in range(2):
+        topic.add(order(n, 1, 5, f"2024-01-01T00:0{n}:00Z"))
+        apps.land_orders(topic.stream(), p, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == n + 1
+
+
+def test_stream_settings_are_restored(spark):
+    from basketlens.session import stream_settings
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with stream_settings(spark):
+        assert "RocksDB" in spark.conf.get(key)
+    assert spark.conf.get(key, None) == before
+
+
+def test_ranking_stream_equals_batch_on_closed_windows(spark, topic, tmp_path, p):
+    topic.add(*[item(i, i % 9, i % 4 + 1, i % 7) for i in range(200)])
+    topic.count += 100_000
+    topic.add(item(999, 1, 1))
+    out = str(tmp_path / "top")
+    product_streams.stream_top_products(_timed_items(topic, p), p, out, str(tmp_path / "c"), by="revenue").awaitTermination()
+    bounded = changes.parse_order_items(spark.read.text(str(topic.path / "000.txt"))).selectExpr(
+        "*", "timestamp'2024-01-01' AS event_time"
+    )
+    batch = product_streams.top_products(bounded, p, by="revenue")
+    columns = ["rank", "product_id", "total_quantity", "total_revenue"]
+    assert rows(spark.read.parquet(out), *columns) == rows(batch, *columns)
