@@ -83,3 +83,12 @@ def current_state(records: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows alive after replaying the log."""
     alive = latest_images(records, keys).filter(~F.col("__deleted"))
     return alive.drop("__op", "__table", "__lsn", "__deleted")
+
+
+def apply_changes(current: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A table brought up to date: rows without changes stay, changed rows take their last image,
+    deleted rows go. Both sides join as one row per key."""
+    latest = latest_images(records, keys)
+    untouched = current.join(latest.select(*keys), list(keys), "left_anti")
+    renewed = latest.filter(~F.col("__deleted")).select(*current.columns)
+    return untouched.unionByName(renewed)

@@ -327,6 +327,17 @@ def cdc_current_orders(spark, sf):
     )
 
 
+@query
+def cdc_merged_orders(spark, sf):
+    """Last year's copy of the orders, brought up to date with the changes since."""
+    columns = ["order_id", "customer_id", "status"]
+    copy = shop.orders(spark, sf).filter(F.col("order_date") < F.lit(dt.datetime(2001, 1, 1)))
+    pending = copy.withColumn("status", F.lit("pending")).select(columns)
+    records = changes.change_records(shop.order_changes(spark, sf), "orders")
+    since = records.filter(F.col("__deleted") | (F.col("order_date") >= "2000-06-01"))
+    return changes.apply_changes(pending, since, ["order_id"])
+
+
 @query
 def cdc_new_orders(spark, sf):
     """Monthly order counts, by orders and by change events."""

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def topic_options(servers: str, topic: str, starting: str, group: str | None = None) -> dict[str, str]:
+def topic_options(
+    servers: str, topic: str, starting: str, group: str | None = None, per_batch: int | None = None
+) -> dict[str, str]:
+    """``per_batch`` bounds the messages of one micro-batch while a backlog is worked off."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -14,15 +17,18 @@ def topic_options(servers: str, topic: str, starting: str, group: str | None = N
     }
     if group:
         options["groupIdPrefix"] = group
+    if per_batch:
+        options["maxOffsetsPerTrigger"] = str(per_batch)
     return options
 
 
 def read_topic_stream(
-    spark: SparkSession, servers: str, topic: str, starting: str = "latest", group: str | None = None
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest",
+    group: str | None = None, per_batch: int | None = None,
 ) -> DataFrame:
     """Stream of ``key, value`` as text with the broker's timestamp."""
-    raw = spark.readStream.format("kafka").options(**topic_options(servers, topic, starting, group))
-    return decode(raw.load())
+    options = topic_options(servers, topic, starting, group, per_batch)
+    return decode(spark.readStream.format("kafka").options(**options).load())
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:

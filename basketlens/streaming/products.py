@@ -28,23 +28,28 @@ BatchHandler = Callable[[DataFrame, int], None]
 METRICS = {"quantity": "total_quantity", "revenue": "total_revenue"}
 
 
-def product_windows(items: DataFrame, window: str, time: str = "event_time") -> DataFrame:
-    """Quantity, revenue and number of items per product and window; only positive quantities."""
+def _sold(items: DataFrame, window: str, time: str) -> DataFrame:
+    """Sums per window ``w`` and product; only positive quantities."""
     sold = items.filter(F.col("product_id").isNotNull() & (F.col("quantity") > 0))
-    return (
-        sold.groupBy(F.window(time, window).alias("w"), "product_id")
-        .agg(
-            F.sum("quantity").alias("total_quantity"),
-            total(line_value()).alias("total_revenue"),
-            F.count(F.lit(1)).alias("item_count"),
-        )
-        .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "product_id", "total_quantity", "total_revenue", "item_count",
-        )
+    return sold.groupBy(F.window(time, window).alias("w"), "product_id").agg(
+        F.sum("quantity").alias("total_quantity"),
+        total(line_value()).alias("total_revenue"),
+        F.count(F.lit(1)).alias("item_count"),
+    )
+
+
+def _bounds(windows: DataFrame) -> DataFrame:
+    rest = [c for c in windows.columns if c != "w"]
+    return windows.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *rest
     )
 
 
+def product_windows(items: DataFrame, window: str, time: str = "event_time") -> DataFrame:
+    """Quantity, revenue and number of items per product and window."""
+    return _bounds(_sold(items, window, time))
+
+
 def rank_products(windows: DataFrame, p: Params, by: str = "quantity") -> DataFrame:
     """Ranks 1..k per window, by units or by revenue; ties go to the smaller product id."""
     return top_k_per_group(
@@ -114,23 +119,15 @@ def enrich_top_products(ranked: DataFrame, products: DataFrame) -> DataFrame:
 def category_windows(
     items: DataFrame, products: DataFrame, window: str, time: str = "event_time"
 ) -> DataFrame:
-    """Sales per category and window. On bounded input, products are summed up first; a stream
-    joins each item, because it may aggregate only once in this plan."""
-    categories = products.select("product_id", "category_id")
-    if items.isStreaming:
-        sold = items.filter(F.col("quantity") > 0).join(categories, "product_id")
-        grouped = sold.groupBy(F.window(time, window).alias("w"), "category_id").agg(
-            F.sum("quantity").alias("total_quantity"),
-            total(line_value()).alias("total_revenue"),
-            F.count(F.lit(1)).alias("item_count"),
-        )
-        return grouped.select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "category_id", "total_quantity", "total_revenue", "item_count",
-        )
-    return (
-        product_windows(items, window, time).join(categories, "product_id")
-        .groupBy("window_start", "window_end", "category_id")
+    """Sales per category and window, on bounded input and on streams.
+
+    Items are summed up per product before the join, also on a stream, where a second
+    aggregation may follow the first: a product with most of the sales joins as one row.
+    """
+    per_product = _sold(items, window, time)
+    return _bounds(
+        per_product.join(products.select("product_id", "category_id"), "product_id")
+        .groupBy(F.window("w", window).alias("w"), "category_id")
         .agg(
             F.sum("total_quantity").alias("total_quantity"),
             total("total_revenue").alias("total_revenue"),

@@ -89,3 +89,9 @@ def test_captured_tables_and_new_orders(spark):
 def test_texts_are_parsed_once(spark):
     plan = changes.parse_orders(_log(spark, *LIFE))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_changes_applied_to_a_table(spark):
+    current = spark.createDataFrame([(1, "old"), (2, "Bob"), (7, "Ann")], "customer_id BIGINT, first_name STRING")
+    records = changes.change_records(_log(spark, *LIFE, _event("c", 12, customer_id=9, first_name="New")), "customers")
+    assert rows(changes.apply_changes(current, records, ["customer_id"])) == [(2, "Rob"), (7, "Ann"), (9, "New")]

@@ -112,3 +112,16 @@ def test_previous_row_equals_a_global_lag(spark, by):
         axis = sorted((r for r in data if key is None or r[0] == key), key=lambda r: r[1])
         expected += [(k, t, v, axis[i - 1][2] if i else None) for i, (k, t, v) in enumerate(axis)]
     assert rows(got) == sorted(expected, key=repr)
+
+
+def test_partitioned_marts_are_rebalanced(spark, tmp_path, conf):
+    """A folder with most of the rows is written by several tasks, the small ones by one."""
+    from basketlens.sinks.marts import Layout, write_mart
+
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    df = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id", "hash(id) AS noise", "CASE WHEN id % 100 = 0 THEN 'b' ELSE 'a' END AS part"
+    )
+    assert write_mart(df, f"{tmp_path}/mart", Layout(("part",))) == 200_000
+    files = {p: len(list((tmp_path / f"mart/part={p}").glob("*.parquet"))) for p in "ab"}
+    assert files["a"] > files["b"] and files["b"] == 1

@@ -16,6 +16,7 @@ def test_topic_options_and_names():
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "ecommerce-cdc.public.orders",
         "startingOffsets": "latest", "groupIdPrefix": "alerts",
     }
+    assert topics.topic_options("b", "t", "earliest", per_batch=1000)["maxOffsetsPerTrigger"] == "1000"
 
 
 def test_snapshot_options_split_on_the_key():
