@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Layout:
-    """``mode="overwrite"`` replaces only the partitions present in the data, when partitioned."""
+    """``mode="overwrite"`` replaces only the partitions present in the data, when partitioned.
+    A job with one mart writes it ``at_root``, without a folder of its own."""
 
     partition_by: tuple[str, ...] = ()
     mode: str = "overwrite"
+    at_root: bool = False
+
+    def path(self, root: str, name: str) -> str:
+        return root if self.at_root else f"{root}/{name}"
 
 
 def write_mart(df: DataFrame, path: str, layout: Layout = Layout()) -> int:
@@ -37,11 +42,11 @@ def write_mart(df: DataFrame, path: str, layout: Layout = Layout()) -> int:
 def write_marts(
     marts: Mapping[str, DataFrame], root: str, layouts: Mapping[str, Layout]
 ) -> dict[str, int]:
-    """One folder per mart."""
-    return {
-        name: write_mart(df, f"{root}/{name}", layouts.get(name, Layout()))
-        for name, df in marts.items()
-    }
+    written = {}
+    for name, df in marts.items():
+        layout = layouts.get(name, Layout())
+        written[name] = write_mart(df, layout.path(root, name), layout)
+    return written
 
 
 def with_month(orders: DataFrame) -> DataFrame:

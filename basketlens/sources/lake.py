@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.schemas import TABLES
@@ -16,7 +17,7 @@ def read_table(
     """Scan one lake table.
 
     ``fmt="delta"`` needs the Delta package in the session; parquet is always there. A declared
-    schema spares the footer-reading job and keeps money and time types stable.
+    schema spares the job that reads it from a footer; absent columns are then read as null.
     """
     reader = spark.read.format(fmt)
     if schema is not None and fmt == "parquet":
@@ -24,13 +25,22 @@ def read_table(
     return reader.load(path)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns that are present, in their declared types.
+
+    A lake filled by other tools may hold money as doubles or nullable ids as floats. Columns
+    that are absent stay absent, so that validation can name them. Types that agree need no cast
+    and are filtered in the scan.
+    """
+    return df.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns]
+    )
+
+
 def read_tables(
-    spark: SparkSession, root: str, names: Iterable[str], fmt: str = "parquet", declared: bool = True
+    spark: SparkSession, root: str, names: Iterable[str], fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    return {
-        name: read_table(spark, f"{root}/{name}", TABLES.get(name) if declared else None, fmt)
-        for name in names
-    }
+    return {name: conform(read_table(spark, f"{root}/{name}", fmt=fmt), TABLES[name]) for name in names}
 
 
 def read_marts(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:

@@ -7,6 +7,6 @@ SELECT c.customer_id, c.last_name, c.email,
             ELSE 'low value' END AS customer_segment
 FROM orders LEFT JOIN (
   SELECT c_custkey AS customer_id, c_name AS last_name, c_mktsegment AS email
-  FROM customer WHERE c_nationkey <> 0
+  FROM customer
 ) c ON o_custkey = c.customer_id
 GROUP BY c.customer_id, c.last_name, c.email

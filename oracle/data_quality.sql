@@ -7,5 +7,5 @@ UNION ALL SELECT 'orders', 'duplicate:order_id', count(*) - count(DISTINCT o_ord
 UNION ALL SELECT 'order_items', 'duplicate:order_id+order_item_id',
        (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
 UNION ALL SELECT 'order_items', 'orphan:order_id', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-UNION ALL SELECT 'orders', 'orphan:customer_id', count(*) FROM orders
-  WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')
+UNION ALL SELECT 'orders', 'orphan:customer_id', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'order_items', 'orphan:product_id', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)

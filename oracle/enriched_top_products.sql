@@ -16,4 +16,4 @@ WITH w AS (
 )
 SELECT top.*, p_name AS product_name, p_type AS category_id, CAST(p_retailprice AS DECIMAL(18,2)) AS price,
        CASE WHEN p_partkey IS NULL THEN 'Product not found' END AS error
-FROM top LEFT JOIN (SELECT * FROM part WHERE p_type <> 'PROMO') ON product_id = p_partkey
+FROM top LEFT JOIN part ON product_id = p_partkey

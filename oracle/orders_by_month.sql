@@ -1,4 +1,4 @@
 SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS orders,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
-FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'
+FROM orders
 GROUP BY 1

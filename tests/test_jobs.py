@@ -29,9 +29,9 @@ def test_segments_are_appended(spark, tmp_path):
     tables = shop.shop(spark, SMALL)
     for _ in range(2):
         report = jobs.run_job(jobs.SEGMENTATION, tables, str(tmp_path), P)
-    written = spark.read.parquet(f"{tmp_path}/segmentation_customer/customer_segmentation")
+    written = spark.read.parquet(f"{tmp_path}/segmentation_customer")
     assert written.count() == 2 * report.records_written
-    assert (tmp_path / "segmentation_customer/customer_segmentation/process_date=2001-08-01").is_dir()
+    assert (tmp_path / "segmentation_customer/process_date=2001-08-01").is_dir()
 
 
 def test_product_marts_and_layout(spark, tmp_path):
@@ -53,19 +53,24 @@ def test_failures_are_reported(spark, tmp_path):
     assert "orders: missing status" in report.error_message
 
 
-def test_from_lake_with_declared_schemas(spark, tmp_path):
+def test_lake_written_by_other_tools(spark, tmp_path):
+    """Money as doubles and ids as floats are read as declared; a missing column is named."""
     from basketlens.schemas import TABLES
 
     orders = spark.createDataFrame(
-        [(1, dt.datetime(2001, 7, 1), 5, "completed", 3, None, None)],
-        "order_id INT, order_date TIMESTAMP, total_price INT, status STRING, customer_id INT, payment_id INT, shipment_id INT",
-    ).withColumn("total_price", __import__("pyspark").sql.functions.col("total_price").cast("decimal(10,2)"))
-    orders.write.parquet(f"{tmp_path}/lake/orders")
-    report = jobs.run_from_lake(
-        spark, jobs.REVENUE, f"{tmp_path}/lake", f"{tmp_path}/marts", dataclasses.replace(P, completed=("completed",))
+        [(1, dt.datetime(2001, 7, 1), 5.1, "completed", 3.0, None, None)],
+        "order_id BIGINT, order_date TIMESTAMP, total_price DOUBLE, status STRING, customer_id DOUBLE, "
+        "payment_id DOUBLE, shipment_id DOUBLE",
     )
-    assert report.written == {"revenue_monthly": 1, "revenue_daily": 1}
+    orders.write.parquet(f"{tmp_path}/lake/orders")
     assert lake.read_tables(spark, f"{tmp_path}/lake", ["orders"])["orders"].schema == TABLES["orders"]
+    closed = dataclasses.replace(P, completed=("completed",))
+    report = jobs.run_from_lake(spark, jobs.REVENUE, f"{tmp_path}/lake", f"{tmp_path}/marts", closed)
+    assert report.written == {"revenue_monthly": 1, "revenue_daily": 1}
+
+    orders.drop("customer_id").write.parquet(f"{tmp_path}/other/orders")
+    report = jobs.run_from_lake(spark, jobs.REVENUE, f"{tmp_path}/other", f"{tmp_path}/marts", closed)
+    assert "missing customer_id" in report.error_message
 
 
 def test_month_folders_are_pruned(spark, tmp_path):
@@ -126,7 +131,7 @@ def test_command_line_runs_a_batch_job(spark, tmp_path, capsys):
     ]
     assert main(arguments) == 0
     assert "SUCCESS" in capsys.readouterr().out
-    written = spark.read.parquet(f"{tmp_path}/marts/segmentation_customer/customer_segmentation")
+    written = spark.read.parquet(f"{tmp_path}/marts/segmentation_customer")
     assert written.count() == tables["orders"].select("customer_id").distinct().count()
 
 

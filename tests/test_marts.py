@@ -164,3 +164,31 @@ def test_product_marts(spark, p):
 def test_money_sums_stay_exact(spark, p):
     orders = _orders(spark, *[(i, 1, "2024-06-01", Decimal("0.10"), "completed") for i in range(1000)])
     assert revenue.revenue_monthly(orders, p).first()["total_revenue"] == Decimal("100.00")
+
+
+def test_nulls_in_orders(spark, p):
+    """Orders without customer or price, against the same counts taken in Python."""
+    data = [
+        (i, None if i % 5 == 0 else i % 4, ts("2024-06-01"), None if i % 3 == 0 else money(i), "completed")
+        for i in range(1, 60)
+    ]
+    orders = spark.createDataFrame(data, ORDERS)
+    people = _customers(spark, 0, 1, 2, 9)
+
+    expected = {}
+    for _, customer, _, price, _ in data:
+        key = customer if customer in (0, 1, 2) else None
+        group = expected.setdefault(key, [0, 0, 0])
+        group[0] += 1
+        if price is not None:
+            group[1] += 1
+            group[2] += price
+    twin = customers.segmentation_of_all_orders(orders, people, p)
+    assert {r["customer_id"]: (r["total_orders"], r["total_spent"], r["avg_spent"]) for r in twin.collect()} == {
+        k: (n, s, float(s) / c) for k, (n, c, s) in expected.items()
+    }
+    segments = customers.customer_segmentation(orders, people, p)
+    assert {r[0] for r in segments.select("customer_id").collect()} == {0, 1, 2}
+    monthly = revenue.revenue_monthly(orders, p).first()
+    assert (monthly["unique_customer"], monthly["total_orders"]) == (4, 59)
+    assert customers.rfm(orders, p).filter("customer_id is null").first()["frequency"] == 11
