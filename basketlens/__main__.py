@@ -12,6 +12,7 @@ from basketlens.params import Params
 from basketlens.plans import ingest
 from basketlens.schemas import CAPTURED_TABLES, PRIMARY_KEYS, TABLES, topic
 from basketlens.session import build_session, scratch
+from basketlens.sinks.delivery import http_sender
 from basketlens.sources import topics
 from basketlens.sources.database import Database, read_snapshot
 from basketlens.streaming import apps
@@ -40,7 +41,10 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--interval", default="10 seconds")
     stream.add_argument("--sink-topic")
-    stream.add_argument("--path")
+    stream.add_argument("--path", help="folder of landed orders, or of the log of sent alerts")
+    stream.add_argument("--webhook", help="where alerts are posted; they are printed without one")
+    stream.add_argument("--starting", default="latest", choices=["latest", "earliest"])
+    stream.add_argument("--per-batch", type=int, help="most messages in one micro-batch")
 
     peek = commands.add_parser("peek", help="show the first messages of a topic")
     peek.add_argument("--servers", required=True)
@@ -80,7 +84,9 @@ def run_stream(options: argparse.Namespace) -> int:
     spark = build_session(f"basketlens-{options.app}")
     p = Params(as_of=options.as_of)
     table = "order_items" if options.app == "top-products" else "orders"
-    messages = topics.read_topic_stream(spark, options.servers, topic(table), group=options.app)
+    messages = topics.read_topic_stream(
+        spark, options.servers, topic(table), options.starting, options.app, options.per_batch
+    )
     if options.app == "revenue":
         query = apps.revenue_statistics(
             messages, p, options.servers, options.sink_topic or "statistics_revenue",
@@ -92,7 +98,9 @@ def run_stream(options: argparse.Namespace) -> int:
             options.checkpoint, interval=options.interval,
         )
     elif options.app == "alerts":
-        query = apps.order_alerts(messages, p, options.checkpoint, interval=options.interval)
+        send = http_sender(options.webhook) if options.webhook else None
+        log = options.path or scratch(spark, "alert-log")
+        query = apps.order_alerts(messages, p, options.checkpoint, log, send, options.interval)
     else:
         path = options.path or scratch(spark, "orders")
         query = apps.land_orders(messages, p, path, options.checkpoint, options.interval)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,6 +19,19 @@ ALERT_LOG_SCHEMA = "customer_id BIGINT, reason STRING, value STRING, message STR
 ACCEPTED = 204
 
 
+def http_sender(url: str, timeout: float = 5.0) -> Callable[[dict], int]:
+    """A channel that posts each message as JSON."""
+
+    def send(message: dict) -> int:
+        request = urllib.request.Request(
+            url, json.dumps(message).encode(), {"Content-Type": "application/json"}, method="POST"
+        )
+        with urllib.request.urlopen(request, timeout=timeout) as response:
+            return response.status
+
+    return send
+
+
 def deliver(alerts: DataFrame, send: Callable[[dict], int], attempts: int = 3) -> DataFrame:
     """Send ``{"content": text}`` for every alert, from the tasks that hold the alerts.
 

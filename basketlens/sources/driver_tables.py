@@ -127,12 +127,16 @@ def order_events(events: DataFrame) -> DataFrame:
 
 
 def product_events(events: DataFrame, kind: str) -> DataFrame:
-    """Events of one type that concern a product, with the product and a quantity."""
-    return events.filter(F.col("event_type") == kind).select(
+    """Events of one type that concern a product, with the product and a quantity. The product
+    is read by a generator, which parses each text once however often the column is used."""
+    concerned = events.filter(F.col("event_type") == kind).select(
+        "event_id", "user_id", "value", "ts", F.json_tuple("props", "k").alias("product")
+    )
+    return concerned.select(
         F.col("event_id").alias("order_item_id"),
         F.col("event_id").alias("order_id"),
         F.col("user_id").alias("customer_id"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+        F.col("product").cast("bigint").alias("product_id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
         money("value").alias("price"),
         F.col("ts").alias("event_time"),

@@ -260,6 +260,23 @@ def test_refused_alerts_are_logged(spark, tmp_path):
     assert [(r.delivered, r.error) for r in log] == [(False, "status 500")] * 2
 
 
+def test_http_sender_posts_json(monkeypatch):
+    seen = []
+
+    class Response:
+        status = 204
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *args: None
+
+    def urlopen(request, timeout):
+        seen.append((request.full_url, request.get_method(), json.loads(request.data), timeout))
+        return Response()
+
+    monkeypatch.setattr("urllib.request.urlopen", urlopen)
+    assert delivery.http_sender("http://channel")({"content": "x"}) == 204
+    assert seen == [("http://channel", "POST", {"content": "x"}, 5.0)]
+
+
 def test_finished_batch_is_not_sent_again(spark, tmp_path):
     calls = tmp_path / "calls"
     handle = delivery.delivery_handler(str(tmp_path / "log"), _recording_sender(str(calls)))
