@@ -29,9 +29,8 @@ def change_records(events: DataFrame, table: str) -> DataFrame:
     Deletes may carry little more than the key, so no column is required to be filled.
     """
     records = payloads(events.filter(F.col("value").isNotNull()), table)
-    return records.withColumn(
-        "__deleted", F.coalesce(F.col("__deleted") == "true", F.lit(False)) | F.coalesce(F.col("__op") == "d", F.lit(False))
-    )
+    deleted = (F.col("__deleted") == "true") | (F.col("__op") == "d")
+    return records.withColumn("__deleted", F.coalesce(deleted, F.lit(False)))
 
 
 def captured(records: DataFrame, tables: Sequence[str] = CAPTURED_TABLES) -> DataFrame:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def changed_since(df: DataFrame, column: str, last_seen: dt.datetime | None) -> DataFrame:
-    """Rows newer than the last load; everything on the first load. The plain comparison
-    reaches the parquet scan."""
-    return df if last_seen is None else df.filter(F.col(column) > F.lit(last_seen))
+def changed_since(df: DataFrame, column: str, last_seen: str | None) -> DataFrame:
+    """Rows newer than the last load; everything on the first load. The comparison with a
+    constant reaches the parquet scan."""
+    if last_seen is None:
+        return df
+    return df.filter(F.col(column) > F.lit(last_seen).cast(df.schema[column].dataType))
 
 
-def high_water_mark(df: DataFrame, column: str) -> dt.datetime | None:
-    return df.agg(F.max(column).alias("mark")).first()["mark"]
+def high_water_mark(df: DataFrame, column: str) -> str | None:
+    """The largest value as text in the session zone, fit to be stored between loads."""
+    return df.agg(F.max(column).cast("string").alias("mark")).first()["mark"]

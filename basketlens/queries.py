@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import dataclasses
-import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens import jobs
 from basketlens.operators import changes, checks, cleaning, incremental, interactions
@@ -30,10 +30,23 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Register ``fn``. Results carry UTC times without a zone, so that they read the same in a
+    Python process of any time zone."""
+
+    @wraps(fn)
+    def zoneless(spark: SparkSession, sf: str) -> DataFrame:
+        result = fn(pin_utc(spark), sf)
+        times = [f.name for f in result.schema if isinstance(f.dataType, T.TimestampType)]
+        return result.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+
+    REGISTRY[fn.__name__] = zoneless
     return fn
 
 
+def _utc(day: str) -> Column:
+    return F.lit(day).cast("timestamp")
+
+
 # --- customers -------------------------------------------------------------------------------
 
 
@@ -276,7 +289,7 @@ def data_quality(spark, sf):
 def incremental_orders(spark, sf):
     """Orders newer than the last one of the year 2000."""
     orders = shop.orders(spark, sf)
-    loaded = orders.filter(F.col("order_date") < F.lit(dt.datetime(2001, 1, 1)))
+    loaded = orders.filter(F.col("order_date") < _utc("2001-01-01"))
     mark = incremental.high_water_mark(loaded, "order_date")
     return incremental.changed_since(orders, "order_date", mark)
 
@@ -322,7 +335,7 @@ def cdc_current_orders(spark, sf):
 def cdc_merged_orders(spark, sf):
     """Last year's copy of the orders, brought up to date with the changes since."""
     columns = ["order_id", "customer_id", "status"]
-    copy = shop.orders(spark, sf).filter(F.col("order_date") < F.lit(dt.datetime(2001, 1, 1)))
+    copy = shop.orders(spark, sf).filter(F.col("order_date") < _utc("2001-01-01"))
     pending = copy.withColumn("status", F.lit("pending")).select(columns)
     records = changes.change_records(shop.order_changes(spark, sf), "orders")
     since = records.filter(F.col("__deleted") | (F.col("order_date") >= "2000-06-01"))

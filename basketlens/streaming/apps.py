@@ -1,4 +1,4 @@
-"""The three stream applications, from JSON messages to their destination.
+"""The stream applications, from JSON messages to their destination.
 
 ``messages`` holds the JSON texts of a topic in ``value`` (see ``sources.topics``); ranking also
 needs the broker's record time in ``timestamp``.
@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.operators import changes
+from basketlens.operators.cleaning import clean_table
 from basketlens.params import Params
+from basketlens.schemas import TABLES
 from basketlens.sinks import streams as sinks
 from basketlens.sinks.delivery import delivery_handler
 from basketlens.sources.database import Database
@@ -76,6 +78,6 @@ def land_orders(
 def copy_to_table(
     messages: DataFrame, table: str, db: Database, target: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Records of one captured table appended to a database table."""
-    rows = changes.payloads(messages, table)
+    """Records of one captured table, in their declared types, appended to a database table."""
+    rows = clean_table(changes.payloads(messages, table), TABLES[table], null_text=None)
     return sinks.per_batch(rows, sinks.batch_table(db, target), checkpoint, interval)

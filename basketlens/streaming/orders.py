@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions import render
-from basketlens.functions.exact import ratio, total
+from basketlens.functions.exact import ratio
 from basketlens.operators.previous import growth_percent, with_previous
 from basketlens.params import Params
 

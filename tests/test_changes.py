@@ -19,12 +19,12 @@ def _log(spark, *texts):
 
 
 LIFE = [
-    _event("c", 1, customer_id=1, first_name="John", email="j@x"),
-    _event("u", 2, customer_id=1, first_name="Jane", email="j@x"),
+    _event("c", 1, customer_id=1, first_name="Ida", email="i@x"),
+    _event("u", 2, customer_id=1, first_name="Ines", email="i@x"),
     _event("d", 3, deleted="true", customer_id=1),
     None,
-    _event("c", 4, customer_id=2, first_name="Bob"),
-    _event("u", 9, customer_id=2, first_name="Rob"),
+    _event("c", 4, customer_id=2, first_name="Tim"),
+    _event("u", 9, customer_id=2, first_name="Tom"),
 ]
 
 
@@ -40,12 +40,12 @@ def test_state_does_not_depend_on_arrival_order(spark):
         random.Random(seed).shuffle(shuffled)
         records = changes.change_records(_log(spark, *shuffled), "customers")
         state = changes.current_state(records, ["customer_id"])
-        assert rows(state, "customer_id", "first_name") == [(2, "Rob")]
+        assert rows(state, "customer_id", "first_name") == [(2, "Tom")]
 
 
 def test_latest_image_before_the_delete(spark):
     records = changes.change_records(_log(spark, *LIFE[:2]), "customers")
-    assert rows(changes.current_state(records, ["customer_id"]), "first_name") == [("Jane",)]
+    assert rows(changes.current_state(records, ["customer_id"]), "first_name") == [("Ines",)]
 
 
 def test_order_parser_drops_what_it_cannot_date(spark):
@@ -92,6 +92,26 @@ def test_texts_are_parsed_once(spark):
 
 
 def test_changes_applied_to_a_table(spark):
-    current = spark.createDataFrame([(1, "old"), (2, "Bob"), (7, "Ann")], "customer_id BIGINT, first_name STRING")
+    current = spark.createDataFrame([(1, "old"), (2, "Tim"), (7, "Ann")], "customer_id BIGINT, first_name STRING")
     records = changes.change_records(_log(spark, *LIFE, _event("c", 12, customer_id=9, first_name="New")), "customers")
-    assert rows(changes.apply_changes(current, records, ["customer_id"])) == [(2, "Rob"), (7, "Ann"), (9, "New")]
+    assert rows(changes.apply_changes(current, records, ["customer_id"])) == [(2, "Tom"), (7, "Ann"), (9, "New")]
+
+
+def test_broker_columns_do_not_disturb_the_parsers(spark):
+    """Messages as the broker delivers them: with key, partition, offset and record time."""
+    import datetime as dt
+
+    from basketlens.sources.topics import decode
+
+    event = _event("c", 1, "orders", order_id=1, customer_id=5, total_price=2.5, order_date="2024-01-01T00:00:01Z")
+    item = _event("c", 1, "order_items", order_item_id=1, product_id=3, quantity=2, price=1.25)
+    when = dt.datetime(2024, 1, 1, 0, 5)
+    frame = spark.createDataFrame(
+        [(b"k", e.encode(), "t", 0, n, when, 0) for n, e in enumerate((event, item))],
+        "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, timestampType INT",
+    )
+    messages = decode(frame)
+    orders = changes.parse_orders(messages)
+    assert rows(orders, "order_id", "timestamp", "offset") == [(1, 1704067201000, 0)]
+    items = changes.parse_order_items(messages)
+    assert rows(items, "order_item_id", "timestamp") == [(1, when)]

@@ -91,10 +91,13 @@ def test_snapshots_are_isolated_and_drop_passwords(spark, tmp_path):
 
 
 def test_incremental_load(spark):
-    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))], "id INT, updated_at TIMESTAMP")
+    data = [(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2, 3, 4, 5, 678900))]
+    df = spark.createDataFrame(data, "id INT, updated_at TIMESTAMP")
     assert incremental.changed_since(df, "updated_at", None).count() == 2
-    assert rows(incremental.changed_since(df, "updated_at", dt.datetime(2024, 1, 1)), "id") == [(2,)]
-    assert incremental.high_water_mark(df, "updated_at") == dt.datetime(2024, 1, 2)
+    assert rows(incremental.changed_since(df, "updated_at", "2024-01-01 00:00:00"), "id") == [(2,)]
+    mark = incremental.high_water_mark(df, "updated_at")
+    assert mark == "2024-01-02 03:04:05.6789"
+    assert incremental.changed_since(df, "updated_at", mark).isEmpty()
     assert incremental.high_water_mark(df.limit(0), "updated_at") is None
 
 

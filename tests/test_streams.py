@@ -350,7 +350,8 @@ def test_ranking_stream_equals_batch_on_closed_windows(spark, topic, tmp_path, p
     topic.count += 100_000
     topic.add(item(999, 1, 1))
     out = str(tmp_path / "top")
-    product_streams.stream_top_products(_timed_items(topic, p), p, out, str(tmp_path / "c"), by="revenue").awaitTermination()
+    items = _timed_items(topic, p)
+    product_streams.stream_top_products(items, p, out, str(tmp_path / "c"), by="revenue").awaitTermination()
     bounded = changes.parse_order_items(spark.read.text(str(topic.path / "000.txt"))).selectExpr(
         "*", "timestamp'2024-01-01' AS event_time"
     )
