@@ -12,19 +12,26 @@ from basketlens.functions.exact import ratio, total
 from basketlens.functions.labels import day_name, is_weekend
 from basketlens.operators.previous import growth_percent, with_previous
 from basketlens.params import Params
+from basketlens.schemas import MONTH
 
 
 def completed(orders: DataFrame, p: Params) -> DataFrame:
     return orders.filter(F.col("status").isin(*p.completed))
 
 
-def _since(start: Column) -> Column:
-    return F.col("order_date") >= start.cast("timestamp")
+def since(orders: DataFrame, start: Column) -> DataFrame:
+    """Orders from ``start`` on. Where orders are partitioned by month, earlier months are not
+    even listed."""
+    recent = orders.filter(F.col("order_date") >= start.cast("timestamp"))
+    if MONTH in orders.columns:
+        recent = recent.filter(F.col(MONTH) >= F.date_format(start, "yyyy-MM"))
+    return recent
 
 
 def _by_month(orders: DataFrame, p: Params) -> DataFrame:
-    recent = completed(orders, p).filter(_since(F.add_months(F.lit(p.as_of), -p.months_back)))
-    return recent.groupBy(F.date_trunc("month", "order_date").alias("order_month")).agg(
+    recent = since(completed(orders, p), F.add_months(F.lit(p.as_of), -p.months_back))
+    month = F.date_trunc("month", "order_date")
+    return recent.groupBy(month.alias("order_month")).agg(
         F.count_distinct("customer_id").alias("unique_customer"),
         F.count_distinct("order_id").alias("total_orders"),
         total("total_price").alias("total_revenue"),
@@ -57,7 +64,7 @@ def revenue_monthly_growth(monthly: DataFrame) -> DataFrame:
 
 def revenue_daily(orders: DataFrame, p: Params) -> DataFrame:
     day = F.col("order_date_only")
-    recent = completed(orders, p).filter(_since(F.date_sub(F.lit(p.as_of), p.days_back)))
+    recent = since(completed(orders, p), F.date_sub(F.lit(p.as_of), p.days_back))
     daily = recent.groupBy(F.col("order_date").cast("date").alias("order_date_only")).agg(
         total("total_price").alias("daily_revenue"),
         F.count("order_id").alias("daily_orders"),

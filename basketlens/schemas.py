@@ -48,6 +48,9 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+# Partition column of orders written by month, as YYYY-MM.
+MONTH = "order_month"
+
 PRIMARY_KEYS: dict[str, str] = {
     "customers": "customer_id",
     "categories": "category_id",

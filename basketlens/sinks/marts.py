@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from basketlens.schemas import MONTH
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -50,16 +52,20 @@ def write_marts(
 
 
 def with_month(orders: DataFrame) -> DataFrame:
-    return orders.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    return orders.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
 
 
 def write_orders_by_month(orders: DataFrame, path: str) -> int:
     """Orders partitioned by month, so that date-bounded reads skip folders."""
-    return write_mart(with_month(orders), path, Layout(("order_month",)))
+    return write_mart(with_month(orders), path, Layout((MONTH,)))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
-    """External bucketed table; joins of two such tables on ``key`` need no shuffle."""
+    """External bucketed table; joins of two such tables on ``key`` need no shuffle.
+
+    For facts that several marts join again and again. A bucket cannot be split at run time, so
+    keep tables with hot keys unbucketed.
+    """
     df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(
         buckets, key
     ).sortBy(key).saveAsTable(table)

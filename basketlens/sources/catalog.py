@@ -33,6 +33,11 @@ def register_table(
         spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
+def read_tables(spark: SparkSession, database: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Catalog tables under the names the jobs know them by; bucketing is kept."""
+    return {name: spark.table(f"{database}.{name}") for name in names}
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}").select(F.col("tableName").alias("table_name"))
 

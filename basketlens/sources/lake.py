@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.schemas import TABLES
+from basketlens.schemas import MONTH, TABLES
 
 
 def read_table(
@@ -26,15 +26,16 @@ def read_table(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns that are present, in their declared types.
+    """The declared columns that are present, in their declared types, and the month of
+    partitioned orders.
 
     A lake filled by other tools may hold money as doubles or nullable ids as floats. Columns
     that are absent stay absent, so that validation can name them. Types that agree need no cast
     and are filtered in the scan.
     """
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns]
-    )
+    declared = [f for f in schema.fields if f.name in df.columns]
+    partition = [MONTH] if MONTH in df.columns else []
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared], *partition)
 
 
 def read_tables(

@@ -97,11 +97,29 @@ def test_catalog_tables(spark, tmp_path):
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
-    for name, df in (("b_orders", shop.orders(spark, SMALL)), ("b_items", shop.order_items(spark, SMALL))):
-        marts.write_bucketed(df, name, f"{tmp_path}/{name}", "order_id", 4)
-    joined = spark.table("b_items").hint("merge").join(spark.table("b_orders"), "order_id")
-    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
-    assert joined.count() == shop.order_items(spark, SMALL).count()
+    from basketlens.plans import products
+
+    catalog.create_database(spark, "facts", f"{tmp_path}/db")
+    tables = shop.shop(spark, SMALL)
+    for name in ("orders", "order_items"):
+        marts.write_bucketed(tables[name], f"facts.{name}", f"{tmp_path}/{name}", "order_id", 4)
+    facts = catalog.read_tables(spark, "facts", ("orders", "order_items"))
+    sold = products.sales(facts["orders"], facts["order_items"].hint("merge"), P)
+    assert "Exchange" not in sold._jdf.queryExecution().executedPlan().toString()
+    assert sold.count() == products.sales(tables["orders"], tables["order_items"], P).count()
+
+
+def test_monthly_marts_read_only_their_months(spark, tmp_path):
+    from basketlens.plans import revenue
+
+    orders = shop.orders(spark, SMALL)
+    marts.write_orders_by_month(orders, f"{tmp_path}/orders")
+    by_month = spark.read.parquet(f"{tmp_path}/orders")
+    for mart in (revenue.revenue_monthly, revenue.revenue_daily):
+        pruned = mart(by_month, P)
+        assert rows(pruned) == rows(mart(orders, P))
+        scan = pruned._jdf.queryExecution().toString().split("PartitionFilters: [")[1]
+        assert "order_month" in scan[:120]
 
 
 def test_reports_are_sorted(spark):
