@@ -514,6 +514,20 @@ def stream_alerts(spark, sf):
     return _landed(spark, order_streams.all_alerts(_order_stream(spark, sf), P), "alerts")
 
 
+@query
+def stream_revenue_trend(spark, sf):
+    """Trend over the table that a stream of hourly windows has written."""
+    windows = order_streams.window_revenue(_order_stream(spark, sf), "1 hour")
+    return order_streams.revenue_trend(_landed(spark, windows, "hourly-revenue"))
+
+
+@query
+def stream_product_trend(spark, sf):
+    """Rising products in the table that a stream of product windows has written."""
+    windows = product_streams.product_windows(_item_stream(spark, sf), P.product_window)
+    return product_streams.product_trend(_landed(spark, windows, "product-windows"))
+
+
 @query
 def stream_landed_orders(spark, sf):
     return _landed(spark, order_streams.landed(_order_stream(spark, sf)), "orders")

@@ -1,0 +1,108 @@
+"""Random inputs against plain Python."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from basketlens.functions.labels import recency_weight, value_segment
+from basketlens.functions.render import amount_text
+from basketlens.streaming import orders as order_streams
+from basketlens.streaming import products as product_streams
+
+few = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+cents = st.integers(min_value=0, max_value=10**12)
+START = dt.datetime(2024, 1, 1)
+
+
+@few
+@given(st.lists(cents, min_size=50, max_size=200))
+def test_amounts_read_like_python_numbers(spark, values):
+    df = spark.createDataFrame([(v, Decimal(v).scaleb(-2)) for v in values], "v BIGINT, d DECIMAL(18,2)")
+    got = {r.v: r.text for r in df.select("v", amount_text(F.col("d")).alias("text")).collect()}
+    assert got == {v: f"{v / 100:,} VND" for v in values}
+
+
+@few
+@given(st.lists(st.integers(-5, 400), min_size=20, max_size=100), st.lists(cents, min_size=20, max_size=100))
+def test_labels(spark, ages, spends):
+    df = spark.createDataFrame([(a,) for a in ages], "a INT")
+    got = {r.a: float(r.w) for r in df.select("a", recency_weight(F.col("a")).alias("w")).collect()}
+    assert got == {a: 1.0 if a <= 30 else 0.8 if a <= 90 else 0.6 if a <= 180 else 0.4 for a in ages}
+
+    limits = sorted(spends)[len(spends) // 3], sorted(spends)[2 * len(spends) // 3]
+    df = spark.createDataFrame([(s,) for s in spends], "s BIGINT")
+    got = {r.s: r.g for r in df.select("s", value_segment(F.col("s"), limits[1], limits[0]).alias("g")).collect()}
+    assert got == {
+        s: "High Value" if s >= limits[1] else "Medium Value" if s >= limits[0] else "Low Value" for s in spends
+    }
+
+
+event = st.tuples(
+    st.integers(0, 3),                 # customer
+    st.integers(0, 240),               # second
+    st.sampled_from([1, 2, 5, 900]),   # amount
+)
+
+
+@few
+@given(st.lists(event, min_size=30, max_size=150))
+def test_windows_and_alerts(spark, p, events):
+    data = [(c, START + dt.timedelta(seconds=s), Decimal(a)) for c, s, a in events]
+    df = spark.createDataFrame(data, "customer_id BIGINT, event_time TIMESTAMP, total_price DECIMAL(18,2)")
+
+    sums = defaultdict(lambda: [0, Decimal(0)])
+    for _, second, amount in events:
+        sums[START + dt.timedelta(seconds=second // 10 * 10)][0] += 1
+        sums[START + dt.timedelta(seconds=second // 10 * 10)][1] += amount
+    windows = order_streams.window_revenue(df, "10 seconds")
+    got = {r.window_start: [r.total_orders, r.total_revenue] for r in windows.collect()}
+    assert got == dict(sums)
+
+    per_minute = Counter((c, s // 60) for c, s, _ in events)
+    frequent = order_streams.frequent_order_alerts(df, p)
+    assert rows(frequent, "customer_id", "value") == sorted(
+        ((c, f"{n} orders in 1 minute") for (c, _), n in per_minute.items() if n > 5), key=repr
+    )
+    same = Counter((c, s // 60, a) for c, s, a in events)
+    assert order_streams.similar_order_alerts(df, p).count() == sum(n >= 3 for n in same.values())
+
+
+item = st.tuples(st.integers(0, 12), st.integers(0, 180), st.integers(-1, 4))
+
+
+@few
+@given(st.lists(item, min_size=30, max_size=200))
+def test_rankings(spark, p, items):
+    data = [(pr, START + dt.timedelta(seconds=s), q, Decimal(2)) for pr, s, q in items]
+    df = spark.createDataFrame(data, "product_id BIGINT, event_time TIMESTAMP, quantity INT, price DECIMAL(18,2)")
+    sold = defaultdict(Counter)
+    for product, second, quantity in items:
+        if quantity > 0:
+            sold[START + dt.timedelta(minutes=second // 60)][product] += quantity
+    expected = [
+        (start, rank, product, quantity)
+        for start, totals in sold.items()
+        for rank, (product, quantity) in enumerate(sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:5], 1)
+    ]
+    import dataclasses
+
+    minute = dataclasses.replace(p, product_window="1 minute")
+    top = product_streams.top_products(df, minute)
+    assert rows(top, "window_start", "rank", "product_id", "total_quantity") == sorted(expected, key=repr)
+
+    # a product is rising when it was ordered more often than in the last window it sold in
+    counts = defaultdict(dict)
+    for product, second, quantity in items:
+        if quantity > 0:
+            counts[product][second // 60] = counts[product].get(second // 60, 0) + 1
+    rising = sum(
+        per[b] > per[a] for per in counts.values() for a, b in zip(sorted(per), sorted(per)[1:], strict=False)
+    )
+    assert product_streams.product_trend(product_streams.product_windows(df, "1 minute")).count() == rising
