@@ -62,9 +62,21 @@ def created_only(records: DataFrame) -> DataFrame:
     return records.filter(F.coalesce("__op", F.lit("c")).isin(*CREATED))
 
 
-def first_event_per_key(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
-    """Streaming de-duplication; ``delay`` must exceed the time between updates of one row."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+def first_event_per_key(
+    stream: DataFrame, key: str, time: str, delay: str, spread: str | None = "__lsn", buckets: int = 32
+) -> DataFrame:
+    """Streaming de-duplication; ``delay`` must exceed the time between updates of one row.
+
+    A key may hold much of the stream, and de-duplication sends every event of a key to one
+    task. So events are first reduced to one per key and bucket of ``spread``, which divides a
+    hot key over tasks, and then to one per key.
+    """
+    timed = stream.withWatermark(time, delay)
+    if spread is not None:
+        bucket = F.pmod(F.xxhash64(spread), F.lit(buckets))
+        timed = timed.withColumn("_bucket", bucket).dropDuplicatesWithinWatermark([key, "_bucket"])
+        timed = timed.drop("_bucket")
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def latest_images(records: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -51,6 +51,13 @@ def write_marts(
     return written
 
 
+def write_for_lookup(df: DataFrame, path: str, *keys: str) -> None:
+    """Files in ranges of ``keys``: a lookup by the first key reads the few files and row groups
+    whose range holds it. With a second key, the rows of a large first key share several files."""
+    sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    sorted_rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
 def with_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
 

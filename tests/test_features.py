@@ -93,6 +93,18 @@ def test_feature_entries_by_customer(spark, p):
     ]
 
 
+def test_entries_are_stored_for_lookup(spark, tmp_path):
+    from basketlens.sinks.marts import write_for_lookup
+
+    scores = spark.range(5000).selectExpr("id % 500 AS customer_id", "id AS product_id", "id % 9 AS interaction_score")
+    entries = features.feature_entries(scores)
+    write_for_lookup(entries, f"{tmp_path}/entries", "key", "field")
+    stored = spark.read.parquet(f"{tmp_path}/entries")
+    assert rows(features.entries_of(stored, 77)) == rows(features.entries_of(entries, 77))
+    found = stored.filter("key = 'user:77:interactions'").selectExpr("_metadata.file_path AS f").distinct().count()
+    assert found == 1 and stored.count() == 5000
+
+
 def test_recommendations_prefer_the_own_group(spark, p):
     # two groups of customers that buy two disjoint sets of products
     scores = spark.createDataFrame(

@@ -138,11 +138,19 @@ def test_amounts_as_text(spark):
     assert got == ["15,000,000.0 VND", "1,234,567.89 VND", "0.5 VND", "638,807.0 VND"]
 
 
-def test_updates_of_an_order_are_counted_once(topic, land, p):
-    topic.add(order(1, 1, 10, "2024-01-01T00:00:01Z"), order(1, 1, 10, "2024-01-01T00:00:01Z", "u"))
-    topic.add(order(1, 1, 10, "2024-01-01T00:00:01Z", "u"), order(2, 1, 5, "2024-01-01T00:00:02Z"))
+@pytest.mark.parametrize("spread", [None, "__lsn"])
+def test_updates_of_an_order_are_counted_once(topic, land, p, spread):
+    def change(order_id, lsn, price, second):
+        return json.dumps({"payload": {
+            "order_id": order_id, "customer_id": 1, "total_price": price,
+            "order_date": f"2024-01-01T00:00:0{second}Z", "__op": "u", "__table": "orders", "__lsn": lsn,
+        }})
+
+    topic.add(*[change(1, lsn, 10, 1) for lsn in range(40)])  # in many buckets, and repeated
+    topic.add(*[change(1, lsn, 10, 1) for lsn in range(20, 60)], change(2, 99, 5, 2))
     topic.add(order(9, 1, 1, SENTINEL))
-    first = changes.first_event_per_key(changes.parse_orders(topic.stream()), "order_id", "event_time", "20 minutes")
+    parsed = changes.parse_orders(topic.stream())
+    first = changes.first_event_per_key(parsed, "order_id", "event_time", "20 minutes", spread)
     windows = land(order_streams.window_revenue(first, "10 seconds"))
     assert rows(windows, "total_orders", "total_revenue") == [(2, money(15))]
 
