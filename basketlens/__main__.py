@@ -89,7 +89,7 @@ def run_stream(options: argparse.Namespace) -> int:
     )
     if options.app == "revenue":
         query = apps.revenue_statistics(
-            messages, p, options.servers, options.sink_topic or "statistics_revenue",
+            apps.orders_of(messages, p), p, options.servers, options.sink_topic or "statistics_revenue",
             options.checkpoint, options.interval,
         )
     elif options.app == "top-products":
@@ -100,7 +100,9 @@ def run_stream(options: argparse.Namespace) -> int:
     elif options.app == "alerts":
         send = http_sender(options.webhook) if options.webhook else None
         log = options.path or scratch(spark, "alert-log")
-        query = apps.order_alerts(messages, p, options.checkpoint, log, send, options.interval)
+        query = apps.order_alerts(
+            apps.orders_of(messages, p), p, options.checkpoint, log, send, options.interval
+        )
     else:
         path = options.path or scratch(spark, "orders")
         query = apps.land_orders(messages, p, path, options.checkpoint, options.interval)

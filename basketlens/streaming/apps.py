@@ -1,14 +1,16 @@
-"""The stream applications, from JSON messages to their destination.
+"""The stream applications, from orders or items to their destination.
 
-``messages`` holds the JSON texts of a topic in ``value`` (see ``sources.topics``); ranking also
-needs the broker's record time in ``timestamp``.
+``messages`` holds the JSON texts of a topic in ``value`` (see ``sources.topics``). Applications
+on orders take parsed orders, either straight from messages or from the lake: when several
+applications run, land the orders once and let the others read the landed table, so that each
+text is parsed only once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.operators import changes
@@ -22,20 +24,30 @@ from basketlens.streaming import orders as order_streams
 from basketlens.streaming import products as product_streams
 
 
-def new_orders(messages: DataFrame, p: Params, per_change: bool = False) -> DataFrame:
+def _counted(orders: DataFrame, p: Params, per_change: bool) -> DataFrame:
     """Timed orders. An order is counted once, when it is created, unless every change of an
-    order is to be counted (``per_change``)."""
-    parsed = changes.parse_orders(messages)
-    return order_streams.timed(parsed if per_change else changes.created_only(parsed), p)
+    order is to be counted."""
+    return order_streams.timed(orders if per_change else changes.created_only(orders), p)
+
+
+def orders_of(messages: DataFrame, p: Params, per_change: bool = False) -> DataFrame:
+    """Orders from the messages of the order topic."""
+    return _counted(changes.parse_orders(messages), p, per_change)
+
+
+def landed_orders(spark: SparkSession, path: str, p: Params, per_change: bool = False) -> DataFrame:
+    """Stream of the orders that ``land_orders`` writes."""
+    landed = spark.readStream.schema(order_streams.LANDED).parquet(path)
+    orders = landed.withColumnsRenamed({"order_date": "event_time", "op": "__op"})
+    return _counted(orders, p, per_change)
 
 
 def revenue_statistics(
-    messages: DataFrame, p: Params, servers: str, topic: str, checkpoint: str,
-    interval: str | None = None, per_change: bool = False,
+    orders: DataFrame, p: Params, servers: str, topic: str, checkpoint: str,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Revenue per window, published as JSON records."""
-    windows = order_streams.window_revenue(new_orders(messages, p, per_change), p.revenue_window)
-    records = order_streams.revenue_records(windows)
+    records = order_streams.revenue_records(order_streams.window_revenue(orders, p.revenue_window))
     return sinks.to_topic(records, servers, topic, checkpoint, interval)
 
 
@@ -55,11 +67,11 @@ def top_product_statistics(
 
 
 def order_alerts(
-    messages: DataFrame, p: Params, checkpoint: str, log_path: str | None = None,
-    send: Callable[[dict], int] | None = None, interval: str | None = None, per_change: bool = False,
+    orders: DataFrame, p: Params, checkpoint: str, log_path: str | None = None,
+    send: Callable[[dict], int] | None = None, interval: str | None = None,
 ) -> StreamingQuery:
     """High-value and frequent-order alerts, delivered through ``send`` or else printed."""
-    alerts = order_streams.all_alerts(new_orders(messages, p, per_change), p)
+    alerts = order_streams.all_alerts(orders, p)
     if send is None:
         return sinks.to_console(order_streams.with_alert_text(alerts), checkpoint, interval)
     if log_path is None:

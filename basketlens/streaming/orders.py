@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.functions import render
 from basketlens.functions.exact import ratio
 from basketlens.operators.previous import growth_percent, with_previous
 from basketlens.params import Params
+from basketlens.schemas import BIGINT, STRING, TIMESTAMP, schema_of
 
 
 def timed(df: DataFrame, p: Params, time: str = "event_time") -> DataFrame:
@@ -112,8 +114,15 @@ def with_alert_text(alerts: DataFrame) -> DataFrame:
     )
 
 
+LANDED = schema_of(
+    order_id=BIGINT, customer_id=BIGINT, total_price=T.DecimalType(18, 2), status=STRING,
+    order_date=TIMESTAMP, op=STRING,
+)
+
+
 def landed(orders: DataFrame) -> DataFrame:
-    """Parsed orders as they are appended to the lake."""
+    """Parsed orders as they are appended to the lake, one row per change."""
     return orders.select(
-        "order_id", "customer_id", "total_price", "status", F.col("event_time").alias("order_date")
+        "order_id", "customer_id", "total_price", "status",
+        F.col("event_time").alias("order_date"), F.col("__op").alias("op"),
     )

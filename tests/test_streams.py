@@ -316,9 +316,9 @@ def test_alert_application(spark, topic, tmp_path, p):
     topic.add(order(99, 1, 1, SENTINEL))
     for per_change, customers in ((False, {9}), (True, {6, 9})):
         log = str(tmp_path / f"log{per_change}")
+        orders = apps.orders_of(topic.stream(), p, per_change)
         apps.order_alerts(
-            topic.stream(), p, str(tmp_path / f"check{per_change}"), log, lambda message: 204,
-            per_change=per_change,
+            orders, p, str(tmp_path / f"check{per_change}"), log, lambda message: 204
         ).awaitTermination()
         sent = spark.read.parquet(log)
         assert {r[0] for r in sent.select("customer_id").collect()} == customers
@@ -329,9 +329,23 @@ def test_alerts_without_channel_are_printed(topic, tmp_path, p):
     from basketlens.streaming import apps
 
     topic.add(order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"))
-    apps.order_alerts(topic.stream(), p, str(tmp_path / "check")).awaitTermination()
+    orders = apps.orders_of(topic.stream(), p)
+    apps.order_alerts(orders, p, str(tmp_path / "check")).awaitTermination()
     with pytest.raises(ValueError):
-        apps.order_alerts(topic.stream(), p, str(tmp_path / "other"), send=lambda message: 204)
+        apps.order_alerts(orders, p, str(tmp_path / "other"), send=lambda message: 204)
+
+
+def test_landed_orders_feed_the_same_alerts(spark, topic, tmp_path, land, p):
+    from basketlens.streaming import apps
+
+    topic.add(*[order(i, 6, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)])
+    topic.add(order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"), order(31, 9, 12_000_000, "2024-01-01T00:00:30Z", "u"))
+    topic.add(order(99, 1, 1, SENTINEL))
+    table = str(tmp_path / "table")
+    apps.land_orders(topic.stream(), p, table, str(tmp_path / "landing")).awaitTermination()
+    assert spark.read.parquet(table).count() == 9
+    alerts = land(order_streams.all_alerts(apps.landed_orders(spark, table, p), p))
+    assert rows(alerts, "customer_id") == [(6,), (9,)]
 
 
 def test_restart_continues_where_it_stopped(spark, topic, tmp_path, p):
