@@ -15,8 +15,8 @@ from basketlens.plans import features as feature_plans
 from basketlens.plans import products as product_plans
 from basketlens.plans import revenue as revenue_plans
 from basketlens.schemas import REQUIRED_COLUMNS
-from basketlens.sinks.marts import Layout, write_marts
 from basketlens.session import staged
+from basketlens.sinks.marts import Layout, write_marts
 from basketlens.sources.lake import read_marts, read_tables
 
 Tables = Mapping[str, DataFrame]
@@ -73,11 +73,15 @@ class RunReport:
         )
 
 
-def run_job(job: Job, tables: Tables, destination: str, p: Params, validate: bool = True) -> RunReport:
-    """Run on given tables. A failure ends in the report, not in an exception."""
+def run_job(
+    job: Job, tables: Tables | Callable[[], Tables], destination: str, p: Params, validate: bool = True
+) -> RunReport:
+    """Run on tables, or on what a function reads. A failure, also of reading, ends in the
+    report, not in an exception."""
     report = RunReport(job.name, _now())
     root = f"{destination}/{job.name}"
     try:
+        tables = tables() if callable(tables) else tables
         used = {name: tables[name] for name in job.required}
         report.processed = assert_valid(validate_tables(used, job.required), validate)
         shared = None
@@ -98,7 +102,7 @@ def run_job(job: Job, tables: Tables, destination: str, p: Params, validate: boo
 def run_from_lake(
     spark: SparkSession, job: Job, source: str, destination: str, p: Params, fmt: str = "parquet"
 ) -> RunReport:
-    return run_job(job, read_tables(spark, source, job.required, fmt), destination, p)
+    return run_job(job, lambda: read_tables(spark, source, job.required, fmt), destination, p)
 
 
 def _session(tables: Tables) -> SparkSession:

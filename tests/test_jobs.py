@@ -51,6 +51,8 @@ def test_failures_are_reported(spark, tmp_path):
     report = jobs.run_job(jobs.REVENUE, tables, str(tmp_path), P)
     assert report.status == "FAILED" and report.records_written == 0
     assert "orders: missing status" in report.error_message
+    report = jobs.run_from_lake(spark, jobs.REVENUE, f"{tmp_path}/nowhere", str(tmp_path), P)
+    assert report.status == "FAILED" and "nowhere" in report.error_message
 
 
 def test_lake_written_by_other_tools(spark, tmp_path):
