@@ -119,3 +119,24 @@ def test_recommendations_prefer_the_own_group(spark, p):
     assert all(c % 2 == pr % 2 for c, _, pr in got)
     again = recommend.recommend(recommend.train(scores, p), few, dataclasses.replace(p, recommendations=3))
     assert rows(again, "customer_id", "rank", "product_id") == got
+
+
+def test_recommendations_are_the_best_scores(spark, p):
+    """Against all scores computed in numpy from the fitted factors."""
+    import numpy as np
+
+    scores = spark.createDataFrame(
+        [(c, pr, (c * 7 + pr * 3) % 11 + 1) for c in range(30) for pr in range(40) if (c * pr) % 3],
+        "customer_id INT, product_id INT, interaction_score BIGINT",
+    )
+    model = recommend.train(scores, p)
+    users = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    items = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    result = recommend.recommend(model, scores.select("customer_id").distinct(), p)
+    by_user: dict = {}
+    for r in result.orderBy("customer_id", "rank").collect():
+        by_user.setdefault(r["customer_id"], []).append(r["rating"])
+    assert set(by_user) == set(users)
+    for user, ratings in by_user.items():
+        best = sorted((float(users[user] @ f) for f in items.values()), reverse=True)[: p.recommendations]
+        assert ratings == pytest.approx(best, rel=1e-4)
