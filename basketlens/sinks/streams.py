@@ -27,6 +27,11 @@ def _start(
         return writer.start(path)
 
 
+def as_messages(rows: DataFrame) -> DataFrame:
+    """Every row as one JSON text in ``value``."""
+    return rows.select(json_record(*rows.columns).alias("value"))
+
+
 def to_files(
     stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     partition_by: Sequence[str] = (), interval: str | None = None,
@@ -42,8 +47,7 @@ def to_topic(
     stream: DataFrame, servers: str, topic: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Publish every row as one JSON text, at least once."""
-    records = stream.select(json_record(*stream.columns).alias("value"))
-    writer = records.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    writer = as_messages(stream).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
     return _start(stream, writer.option("topic", topic), checkpoint, interval)
 
 
@@ -80,10 +84,8 @@ def batch_topic(
     """Batch handler that publishes the rows of ``transform(batch)`` as JSON, at least once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
-        rows.select(json_record(*rows.columns).alias("value")).write.format("kafka").option(
-            "kafka.bootstrap.servers", servers
-        ).option("topic", topic).save()
+        writer = as_messages(transform(batch)).write.format("kafka")
+        writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
     return write
 

@@ -87,6 +87,11 @@ def test_revenue_windows_count_orders_and_close(topic, land, p):
     got = records.first().asDict()
     assert got["metric"] == "revenue_window" and got["window_start"] == 1704067200
     assert got["window_end"] == 1704067210 and got["window_duration_minutes"] == pytest.approx(1 / 6)
+    message = json.loads(sinks.as_messages(records).first()["value"])
+    assert message == got | {"total_revenue": 30.30}
+    assert list(message) == [
+        "metric", "window_start", "window_end", "total_orders", "total_revenue", "window_duration_minutes",
+    ]
 
 
 def test_late_orders(topic, land, p):
