@@ -125,3 +125,28 @@ def test_partitioned_marts_are_rebalanced(spark, tmp_path, conf):
     assert write_mart(df, f"{tmp_path}/mart", Layout(("part",))) == 200_000
     files = {p: len(list((tmp_path / f"mart/part={p}").glob("*.parquet"))) for p in "ab"}
     assert files["a"] > files["b"] and files["b"] == 1
+
+
+OTHER_PLANS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "13",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.files.maxPartitionBytes": "64KB",
+}
+
+
+@pytest.mark.parametrize("name", [
+    "customer_segmentation", "customer_segmentation_all_orders", "base_product_metrics", "top_products_by_name",
+    "user_features", "product_features", "data_quality", "cdc_merged_orders", "revenue_trend", "enriched_top_products",
+])
+def test_results_do_not_depend_on_the_plan(spark, conf, name):
+    """Without broadcasts, with other partitions and with splits forced, to the last digit."""
+    from basketlens.queries import REGISTRY
+
+    usual = rows(REGISTRY[name](spark, SMALL))
+    for key, value in OTHER_PLANS.items():
+        conf(key, value)
+    assert rows(REGISTRY[name](spark, SMALL)) == usual
