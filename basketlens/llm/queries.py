@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, packing
+from basketlens.llm import binary_tokens, line_quality, packing
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,12 @@ def op2_binary_tokens(spark, sf):
 def op10_best_fit_packing(spark, sf):
     packed = packing.pack_documents(table(spark, sf, "documents"), WORD_BPE, end_id=0)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op5_line_quality(spark, sf):
+    verdicts = line_quality.judged(table(spark, sf, "documents"), host="source")
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.coalesce(F.size("removed"), F.lit(0)).alias("lines_removed"),
+    )
