@@ -38,24 +38,56 @@ ESCAPE = 1
 PAYLOAD = np.uint64((1 << 60) - 1)
 
 
-def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pack(ids: np.ndarray, blocks_at_once: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, escapes and block table of uint64 ids. Each word takes the most ids that fit."""
+    parts = [_pack(ids[at : at + blocks_at_once * BLOCK]) for at in range(0, len(ids), blocks_at_once * BLOCK)]
+    words, escapes, blocks = [], [], []
+    ids_before = words_before = escapes_before = 0
+    for n, w, e, b in parts:
+        w[w >> np.uint64(60) == ESCAPE] += np.uint64(escapes_before)
+        words.append(w)
+        escapes.append(e)
+        blocks.append(b + np.array([ids_before, words_before], np.uint64))
+        ids_before, words_before, escapes_before = ids_before + n, words_before + len(w), escapes_before + len(e)
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *words]), np.concatenate([none, *escapes]), np.concatenate([none.reshape(0, 2), *blocks])
+
+
+def _choose(ids: np.ndarray) -> np.ndarray:
+    """For each place the selector whose word takes the most ids from there on.
+
+    More ids of fewer bits fit only where fewer ids of more bits do, so the search goes from wide to
+    narrow and ends at the first selector that fits nowhere. Room behind the end of a block counts
+    as fitting: the word is then not full.
+    """
+    rows = -(-len(ids) // BLOCK)
+    fits = np.zeros((rows, BLOCK + COUNTS.max()), bool)
+    chosen = np.full((rows, BLOCK), ESCAPE, np.int8)
+    flat = np.zeros(rows * BLOCK, bool)
+    for s in (*range(15, 1, -1), 0):
+        flat[: len(ids)] = (ids >> np.uint64(BITS[s])) == 0
+        flat[len(ids) :] = True
+        fits[:, :BLOCK] = flat.reshape(rows, BLOCK)
+        fits[:, BLOCK:] = True
+        span = 1
+        while span < COUNTS[s]:  # all of the next `span` ids fit; doubled up to the count
+            step = min(span, COUNTS[s] - span)
+            fits[:, :-step] &= fits[:, step:]
+            span += step
+        here = fits[:, :BLOCK]
+        if not here.any():
+            break
+        chosen[here] = s
+    return chosen.reshape(-1)[: len(ids)]
+
+
+def _pack(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    ids = ids.astype(np.uint64)
     n = len(ids)
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     left = np.minimum(n, (place // BLOCK + 1) * BLOCK) - place
-    selector = np.full(n, ESCAPE, np.int8)
-    takes = np.ones(n, np.int64)
-    open_ = np.ones(n, bool)
-    for s in (0, *range(2, 16)):
-        large = np.flatnonzero(ids >> np.uint64(BITS[s]))
-        after = np.searchsorted(large, place)
-        room = np.append(large, n)[after] - place  # ids from here that all fit
-        reach = np.minimum(COUNTS[s], left)
-        fits = open_ & (room >= reach) & (left > 0)
-        selector[fits], takes[fits] = s, reach[fits]
-        open_ &= ~fits
-        if not open_.any():
-            break
+    selector = _choose(ids)
+    takes = np.minimum(COUNTS.astype(np.int32)[selector], left)
     starts = []
     step = takes.tolist()
     i = 0
@@ -73,27 +105,32 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 break
             words[some] |= ids[starts[some] + k] << np.uint64(k * BITS[s])
     escaped = np.flatnonzero(chosen == ESCAPE)
-    escapes = ids[starts[escaped]]
     words[escaped] |= np.arange(len(escaped), dtype=np.uint64)
     first = np.arange(0, n, BLOCK)
     blocks = np.stack([first, np.searchsorted(starts, first)], axis=1).astype(np.uint64)
-    return words, escapes, blocks
+    return n, words, ids[starts[escaped]], blocks
 
 
-def unpack(words: np.ndarray, escapes: np.ndarray, blocks: np.ndarray, n: int) -> np.ndarray:
-    """All ids of the words, by array operations."""
+def unpack(words: np.ndarray, escapes: np.ndarray, blocks: np.ndarray, n: int, blocks_at_once: int = 64) -> np.ndarray:
+    """All ids of the words, by array operations over some blocks at a time."""
     out = np.empty(n, np.uint64)
-    if not n:
-        return out
+    table = np.concatenate([blocks.astype(np.int64), [[n, len(words)]]])
+    for at in range(0, len(blocks), blocks_at_once):
+        part = table[at : at + blocks_at_once + 1]
+        (a, w), (z, v) = part[0], part[-1]
+        _unpack(words[w:v], escapes, part[:, 0] - a, part[:-1, 1] - w, out[a:z])
+    return out
+
+
+def _unpack(words: np.ndarray, escapes: np.ndarray, ids_at: np.ndarray, words_at: np.ndarray, out: np.ndarray) -> None:
     selector = (words >> np.uint64(60)).astype(np.int64)
     payload = words & PAYLOAD
     count = COUNTS[selector]
     before = np.cumsum(count) - count
     # The last word of a block may have room to spare, so places count from the start of each block.
-    ids_at, words_at = blocks[:, 0].astype(np.int64), blocks[:, 1].astype(np.int64)
-    block = np.repeat(np.arange(len(blocks)), np.diff(np.append(words_at, len(words))))
+    block = np.repeat(np.arange(len(words_at)), np.diff(np.append(words_at, len(words))))
     place = before - before[words_at][block] + ids_at[block]
-    end = np.append(ids_at[1:], n)[block]
+    end = ids_at[1:][block]
     for s in np.unique(selector):
         at = np.flatnonzero(selector == s)
         mask = np.uint64((1 << int(BITS[s])) - 1)
@@ -103,11 +140,10 @@ def unpack(words: np.ndarray, escapes: np.ndarray, blocks: np.ndarray, n: int) -
                 out[place[some]] = escapes[payload[some].astype(np.int64)]
             else:
                 out[place[some] + k] = (payload[some] >> np.uint64(k * BITS[s])) & mask if s else 0
-    return out
 
 
 def shard_bytes(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
-    words, escapes, blocks = pack(ids.astype(np.uint64))
+    words, escapes, blocks = pack(ids)
     head = np.array([MAGIC, VERSION, len(doc_ids), len(ids), len(words), len(blocks), len(escapes), BLOCK], "<u8")
     table = np.stack([doc_ids.astype("<i8").view("<u8"), counts.astype("<u8")], axis=1)
     return b"".join(x.astype("<u8").tobytes() for x in (head, words, escapes, blocks, table))
@@ -132,7 +168,7 @@ SHARDS = "part long, piece long, file string, first_doc long, docs long, ids lon
 
 def write_shards(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = None,
-    shard_ids: int = 8_000_000, partitions: int | None = None,
+    shard_ids: int = 4_000_000, partitions: int | None = None,
 ) -> DataFrame:
     """Encode ``text`` and write the ids as shards below ``folder``, in ascending order of ``doc_id``.
 

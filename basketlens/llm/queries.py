@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, line_quality, packing
+from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op5_line_quality(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.coalesce(F.size("removed"), F.lit(0)).alias("lines_removed"),
     )
+
+
+@query
+def op6_ngram_jaccard(spark, sf):
+    return jaccard_join.components(table(spark, sf, "documents"))

@@ -26,7 +26,7 @@ class Encoder:
     ``keep`` bounds how many pieces are remembered; beyond it memory starts anew, results stay.
     """
 
-    def __init__(self, path: str, keep: int = 700_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
         from tokenizers import Tokenizer
 
@@ -74,19 +74,24 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split: list[list[str] | None] = []
+        found: list[list[bytes | None]] = []
+        new: set[str] = set()
+        if len(self.known) > self.keep:
+            self.known.clear()
+        look = self.known.get
         for text in texts:
             whole = text and (OTHER_SPACE.search(text) or any(s in text for s in self.special))
-            split.append(None if whole else self.pieces(text or ""))
-        new = set().union(*(s for s in split if s)) - self.known.keys()
-        if len(self.known) + len(new) > self.keep:
-            self.known.clear()
-            new = set().union(*(s for s in split if s))
+            pieces = None if whole else self.pieces(text or "")
+            ids = [array("I", self.ids(text)).tobytes()] if pieces is None else list(map(look, pieces))
+            if None in ids:
+                new.update([p for p, x in zip(pieces, ids) if x is None])
+            split.append(pieces)
+            found.append(ids)
         if new:
             self._learn(list(new))
         known = self.known
         return [
-            array("I", self.ids(text)).tobytes() if pieces is None else b"".join([known[p] for p in pieces])
-            for text, pieces in zip(texts, split)
+            b"".join([known[p] for p in pieces] if None in ids else ids) for pieces, ids in zip(split, found)
         ]
 
 
