@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing
+from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing, pii
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,12 @@ def op5_line_quality(spark, sf):
 @query
 def op6_ngram_jaccard(spark, sf):
     return jaccard_join.components(table(spark, sf, "documents"))
+
+
+@query
+def op7_personal_data(spark, sf):
+    found = pii.personal_data(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base_text", 256).alias("base_sha256"), F.col("spans_text").alias("spans"),
+    )
