@@ -39,7 +39,7 @@ PAYLOAD = np.uint64((1 << 60) - 1)
 
 
 def pack(ids: np.ndarray, blocks_at_once: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, escapes and block table of uint64 ids. Each word takes the most ids that fit."""
+    """Words, escapes and block table of unsigned ids. Each word takes the most ids that fit."""
     parts = [_pack(ids[at : at + blocks_at_once * BLOCK]) for at in range(0, len(ids), blocks_at_once * BLOCK)]
     words, escapes, blocks = [], [], []
     ids_before = words_before = escapes_before = 0
@@ -65,7 +65,7 @@ def _choose(ids: np.ndarray) -> np.ndarray:
     chosen = np.full((rows, BLOCK), ESCAPE, np.int8)
     flat = np.zeros(rows * BLOCK, bool)
     for s in (*range(15, 1, -1), 0):
-        flat[: len(ids)] = (ids >> np.uint64(BITS[s])) == 0
+        flat[: len(ids)] = True if BITS[s] >= 8 * ids.itemsize else ids < (1 << int(BITS[s]))
         flat[len(ids) :] = True
         fits[:, :BLOCK] = flat.reshape(rows, BLOCK)
         fits[:, BLOCK:] = True
@@ -82,11 +82,11 @@ def _choose(ids: np.ndarray) -> np.ndarray:
 
 
 def _pack(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    ids = ids.astype(np.uint64)
     n = len(ids)
     place = np.arange(n, dtype=np.int32)
     left = np.minimum(n, (place // BLOCK + 1) * BLOCK) - place
     selector = _choose(ids)
+    ids = ids.astype(np.uint64)
     takes = np.minimum(COUNTS.astype(np.int32)[selector], left)
     starts = []
     step = takes.tolist()

@@ -12,6 +12,8 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PUNCTUATION = re.escape(".,;:!?|#*$%&()\"=+/@<>[]{}\\^_~-")
 CORE = (
@@ -54,45 +56,45 @@ class Encoder:
             return self._each(pieces)
         plain = [p for p in pieces if self.core not in p]
         self._each([p for p in pieces if self.core in p])
+        known = self.known
         for k in range(0, len(plain), 4000):
             part = plain[k : k + 4000]
-            ids = array("I", self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids)
-            cuts, at = [], -1
-            while True:
-                try:
-                    at = ids.index(self.mark_id, at + 1)
-                except ValueError:
-                    break
-                cuts.append(at)
+            joined = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
             if len(cuts) != len(part) - 1:
                 self._each(part)
                 continue
-            start = 0
-            for piece, end in zip(part, [*cuts, len(ids)]):
-                self.known[piece] = ids[start:end].tobytes()
-                start = end + 1
+            raw, start = ids.tobytes(), 0
+            for piece, end in zip(part, [*cuts, len(raw)]):
+                known[piece] = raw[start:end]
+                start = end + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        found: list[list[bytes | None]] = []
-        new: set[str] = set()
         if len(self.known) > self.keep:
             self.known.clear()
         look = self.known.get
+        found: list[list[bytes | None]] = []
+        missed: list[tuple[list, list[str], list[int]]] = []  # ids of a text, its pieces, places not known
+        new: set[str] = set()
         for text in texts:
-            whole = text and (OTHER_SPACE.search(text) or any(s in text for s in self.special))
-            pieces = None if whole else self.pieces(text or "")
-            ids = [array("I", self.ids(text)).tobytes()] if pieces is None else list(map(look, pieces))
-            if None in ids:
-                new.update([p for p, x in zip(pieces, ids) if x is None])
-            split.append(pieces)
+            if text and (OTHER_SPACE.search(text) or any(s in text for s in self.special)):
+                found.append([array("I", self.ids(text)).tobytes()])
+                continue
+            pieces = self.pieces(text or "")
+            ids = list(map(look, pieces))
             found.append(ids)
+            if None in ids:
+                places = [i for i, x in enumerate(ids) if x is None]
+                new.update([pieces[i] for i in places])
+                missed.append((ids, pieces, places))
         if new:
             self._learn(list(new))
-        known = self.known
-        return [
-            b"".join([known[p] for p in pieces] if None in ids else ids) for pieces, ids in zip(split, found)
-        ]
+            known = self.known
+            for ids, pieces, places in missed:
+                for i in places:
+                    ids[i] = known[pieces[i]]
+        return [b"".join(ids) for ids in found]
 
 
 _encoders: dict[str, Encoder] = {}
