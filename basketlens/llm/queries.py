@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing, pii
+from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing, pii, toxicity
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,10 @@ def op7_personal_data(spark, sf):
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.sha2("base_text", 256).alias("base_sha256"), F.col("spans_text").alias("spans"),
     )
+
+
+@query
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.learn(docs, table(spark, sf, "labels"))
+    return toxicity.scored(docs, model, threshold=0.3)
