@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, line_quality, packing, pii, toxicity
+from basketlens.llm import binary_tokens, jaccard_join, line_quality, nearest, packing, pii, toxicity
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op8_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels"))
     return toxicity.scored(docs, model, threshold=0.3)
+
+
+@query
+def op9_one_bit_neighbours(spark, sf):
+    return nearest.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
