@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, line_quality, nearest, packing, pii, toxicity
+from basketlens.llm import binary_tokens, jaccard_join, license_scan, line_quality, nearest, packing, pii, toxicity
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op8_toxicity(spark, sf):
 @query
 def op9_one_bit_neighbours(spark, sf):
     return nearest.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op1_license_scan(spark, sf):
+    return license_scan.scan(table(spark, sf, "documents"))
