@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, license_scan, line_quality, nearest, packing, pii, toxicity
+from basketlens.llm import binary_tokens, jaccard_join, license_scan, line_quality, nearest, packing, pii, toxicity, url_rules
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,17 @@ def op9_one_bit_neighbours(spark, sf):
 @query
 def op1_license_scan(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
+
+
+# The listed rules.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query
+def op4_url_rules(spark, sf):
+    pages = table(spark, sf, "pages")
+    rules = url_rules.mined(pages, table(spark, sf, "labels"))
+    return url_rules.judged(pages, URL_RULES, rules).select("page_id", "host", "path", "rule", "verdict")
