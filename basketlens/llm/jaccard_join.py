@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 
 from basketlens.llm.common import fields_of, map_arrow, require, ship, staged
 from basketlens.llm.components import connected_components
-from basketlens.llm.shingles import WordHashes, shingle_sets
+from basketlens.llm.shingles import BASE, WordHashes, mix, shingle_sets
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ class Settings:
 
     words: int = 5
     percent: int = 75
-    evidence: float = 0.05
+    evidence: float = 0.15
     frequent: int = 1 << 18
     frequent_from: int = 8
     count_bits: int = 32
@@ -178,15 +178,16 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> np.ndarray:
 
 # --- 2. blocks ---------------------------------------------------------------------------------
 
-FIRST = "shingle long, node long, to long, n int, size int"
+# ``meta`` holds the size of the set, and in its lower half how often the node is known to share.
+FIRST = "shingle long, node long, meta long"
 
 
 def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFrame:
     """Rows (shingle, node) for the first shingles of each set.
 
-    Sets of one task that share a shingle are tied there: one of them stands for all, and the others
-    are sent as edges to it (``to``, with the number of such shingles). So a shingle that very many
-    sets share arrives once per task.
+    Sets of one task that share a shingle are tied there: one of them stands for all, and each other
+    one shares a made-up shingle with it, sent once with the number of shingles it stands for. So a
+    shingle that very many sets share arrives once per task.
     """
     spark = docs.sparkSession
     bits = np.uint64(64 - settings.count_bits)
@@ -205,7 +206,7 @@ def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) ->
 
         def send() -> Iterator[pa.RecordBatch]:
             each = np.array([len(f) for f in firsts])
-            node, size = np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
+            node, size = np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int64), each)
             shingle = np.concatenate(firsts).view(np.int64)
             by = np.lexsort((node, shingle))
             shingle, node, size = shingle[by], node[by], size[by]
@@ -213,12 +214,15 @@ def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) ->
             group = np.cumsum(begins) - 1
             many = (np.bincount(group) > 1)[group]
             lead = node[np.flatnonzero(begins)][group]
-            yield _rows(schema, shingle[begins], node[begins], pa.nulls(int(begins.sum()), pa.int64()),
-                        many[begins].astype(np.int32), size[begins])
+            yield _rows(schema, shingle[begins], node[begins], (size[begins] << 32) + many[begins])
             if not begins.all():
-                pairs = np.stack([node[~begins], lead[~begins], size[~begins].astype(np.int64)], axis=1)
+                lead_size = size[np.flatnonzero(begins)][group]
+                pairs = np.stack([node, lead, size, lead_size], axis=1)[~begins]
                 pairs, n = np.unique(pairs, axis=0, return_counts=True)
-                yield _rows(schema, pairs[:, 0], pairs[:, 0], pairs[:, 1], n, pairs[:, 2])
+                one, to, one_size, to_size = np.ascontiguousarray(pairs.T)
+                tie = mix(one.view(np.uint64) * BASE + to.view(np.uint64)).view(np.int64)
+                yield _rows(schema, np.concatenate([tie, tie]), np.concatenate([one, to]),
+                            np.concatenate([(one_size << 32) + n, to_size << 32]))
 
         for batch in batches:
             for one in _sets(batch, words, settings):
@@ -258,10 +262,11 @@ def candidate_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
     by_shingle = W.partitionBy("shingle").orderBy("node")
     tied = F.first("node").over(by_shingle)
     follows = F.lead("node").over(by_shingle)
-    found = rows.withColumns({"tied": tied, "follows": follows}).select(
-        "node", "size", F.coalesce("to", "tied").alias("to"),
-        F.when(F.col("to").isNotNull() | (F.col("n") > 0), F.col("n"))
-        .when((F.col("tied") != F.col("node")) | (F.col("follows") != F.col("node")), 1).otherwise(0).alias("n"),
+    known = F.col("meta").bitwiseAND(F.lit((1 << 32) - 1))
+    found = rows.withColumns({"to": tied, "follows": follows}).select(
+        "node", "to", F.shiftright("meta", 32).alias("size"),
+        F.when(known > 0, known)
+        .when((F.col("to") != F.col("node")) | (F.col("follows") != F.col("node")), 1).otherwise(0).alias("n"),
     ).where("n > 0")
     edges = staged(found.groupBy("node", "to").agg(F.sum("n").alias("n"), F.max("size").alias("size")), "ties")
     # A similar set may be smaller, down to the least overlap; then fewer shingles are shared.
@@ -438,15 +443,18 @@ def _block_links(docs: DataFrame, named: DataFrame, blocks: DataFrame, settings:
         rows = [(*names[i], *names[k]) for i, k in enumerate(to)]
         return pa.Table.from_batches([_rows(out, *zip(*rows))])
 
+    dealt_blocks = blocks.withColumn("s1", F.col("node"))
+    if blocks.count() <= settings.broadcast_rows:
+        dealt_blocks = F.broadcast(dealt_blocks)
     # A block above the limit is cut into parts, and every two parts meet in a task.
     parts = F.when(F.col("total") <= settings.block, F.lit(1)).otherwise(F.ceil(2 * F.col("total") / settings.block)).cast("int")
     dealt = (
         map_arrow(chosen, sets_of, sets_schema)
-        .join(blocks.withColumn("parts", parts).select(F.col("node").alias("s1"), "block", "parts"), "s1")
+        .join(dealt_blocks, "s1").withColumn("parts", parts)
         .withColumn("part", F.pmod("s2", F.col("parts").cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .where((F.col("parts") == 1) | (F.col("other") != F.col("part")))
-        .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+        .select("block", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "s1", "s2", "shingles")
     )
     ship(spark)
     return dealt.groupBy("block", "low", "high").applyInArrow(join, LINKED)
