@@ -8,25 +8,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import packing
-from basketlens.llm.queries import WORD_BPE
+from basketlens.llm import jaccard_join, line_quality, mixing, packing, pii
+from basketlens.llm.queries import WORD_BPE, table
 from basketlens.session import pin_utc, scratch
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; lines that many documents of a source share go from the others."""
+    return line_quality.clean(docs, host="source")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays: five-word shingles, similarity 0.75."""
+    return jaccard_join.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind."""
+    return pii.redacted(docs)
+
+
+def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents at the rates of the wanted mix; clean documents stay as they are, others become rare."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens, by piece."""
+    """Sequences of at most 2048 tokens: per piece its place and its token ids."""
     return packing.pack_documents(docs, WORD_BPE, end_id=0)
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard", near_duplicates),
+    ("personal_data", personal_data),
+    ("target_mix", target_mix),
     ("best_fit_packing", best_fit_packing),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pin_utc(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
+    """All stages over the table of documents below ``sf_dir``."""
+    docs = table(pin_utc(spark), sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         if k:
             path = scratch(spark, f"pipeline-{k}")
             docs.write.parquet(path)
@@ -35,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Packing and similarity have no SQL form; the stages are tested against brute force.
+# Similarity joins and packing have no SQL form; the pipeline is tested against brute force.
 ORACLE_SQL = None
