@@ -146,7 +146,7 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> np.ndarray:
                     seen.add(name)
                     held.append(one >> np.uint64(64 - bits))
                     size += len(one)
-                    if size >= 3_000_000:
+                    if size >= 2_000_000:
                         yield send()
                         held, size = [], 0
         if held:
@@ -171,9 +171,9 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> np.ndarray:
     ship(spark)
     found = (
         map_arrow(docs.select("text"), count, COUNTS).groupBy("part").applyInArrow(total, "shingle long, n long")
-        .orderBy(F.desc("n"), "shingle").limit(keep)
-    ).collect()
-    return np.array([r["shingle"] for r in reversed(found)], np.int64).view(np.uint64)
+        .orderBy(F.desc("n"), "shingle").limit(keep).select("shingle")
+    ).toArrow()
+    return found.column("shingle").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 # --- 2. blocks ---------------------------------------------------------------------------------
