@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 INT, BIGINT, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
 STRING, BOOLEAN, TIMESTAMP = T.StringType(), T.BooleanType(), T.TimestampType()
-PRICE = T.DecimalType(10, 2)
+PRICE = T.DecimalType(18, 2)
 
 
 def schema_of(**columns: T.DataType) -> T.StructType:
@@ -16,34 +16,34 @@ def schema_of(**columns: T.DataType) -> T.StructType:
 # Table and column names of the shop database.
 TABLES: dict[str, T.StructType] = {
     "customers": schema_of(
-        customer_id=INT, first_name=STRING, last_name=STRING, email=STRING, password=STRING,
+        customer_id=BIGINT, first_name=STRING, last_name=STRING, email=STRING, password=STRING,
         address=STRING, phone_number=STRING, created_at=TIMESTAMP, updated_at=TIMESTAMP,
     ),
     "categories": schema_of(
-        category_id=INT, name=STRING, description=STRING, created_at=TIMESTAMP,
+        category_id=BIGINT, name=STRING, description=STRING, created_at=TIMESTAMP,
     ),
     "products": schema_of(
-        product_id=INT, sku=STRING, name=STRING, description=STRING, price=PRICE, stock=INT,
-        category_id=INT, is_active=BOOLEAN, created_at=TIMESTAMP, updated_at=TIMESTAMP,
+        product_id=BIGINT, sku=STRING, name=STRING, description=STRING, price=PRICE, stock=INT,
+        category_id=BIGINT, is_active=BOOLEAN, created_at=TIMESTAMP, updated_at=TIMESTAMP,
     ),
     "orders": schema_of(
-        order_id=INT, order_date=TIMESTAMP, total_price=PRICE, status=STRING, customer_id=INT,
-        payment_id=INT, shipment_id=INT,
+        order_id=BIGINT, order_date=TIMESTAMP, total_price=PRICE, status=STRING, customer_id=BIGINT,
+        payment_id=BIGINT, shipment_id=BIGINT,
     ),
     "order_items": schema_of(
-        order_item_id=INT, quantity=INT, price=PRICE, order_id=INT, product_id=INT,
+        order_item_id=BIGINT, quantity=INT, price=PRICE, order_id=BIGINT, product_id=BIGINT,
     ),
     "carts": schema_of(
-        cart_id=INT, quantity=INT, added_at=TIMESTAMP, customer_id=INT, product_id=INT,
+        cart_id=BIGINT, quantity=INT, added_at=TIMESTAMP, customer_id=BIGINT, product_id=BIGINT,
     ),
-    "wishlists": schema_of(wishlist_id=INT, added_at=TIMESTAMP, customer_id=INT, product_id=INT),
+    "wishlists": schema_of(wishlist_id=BIGINT, added_at=TIMESTAMP, customer_id=BIGINT, product_id=BIGINT),
     "payments": schema_of(
-        payment_id=INT, payment_date=TIMESTAMP, payment_method=STRING, amount=PRICE,
-        status=STRING, transaction_id=STRING, customer_id=INT,
+        payment_id=BIGINT, payment_date=TIMESTAMP, payment_method=STRING, amount=PRICE,
+        status=STRING, transaction_id=STRING, customer_id=BIGINT,
     ),
     "shipments": schema_of(
-        shipment_id=INT, shipment_date=TIMESTAMP, address=STRING, city=STRING, state=STRING,
-        country=STRING, zip_code=STRING, status=STRING, tracking_number=STRING, customer_id=INT,
+        shipment_id=BIGINT, shipment_date=TIMESTAMP, address=STRING, city=STRING, state=STRING,
+        country=STRING, zip_code=STRING, status=STRING, tracking_number=STRING, customer_id=BIGINT,
         created_at=TIMESTAMP, updated_at=TIMESTAMP,
     ),
 }
@@ -51,6 +51,9 @@ TABLES: dict[str, T.StructType] = {
 # Partition column of orders written by month, as YYYY-MM.
 MONTH = "order_month"
 
+# Partition column of tables without partitions of their own; its one folder is replaced as a whole.
+SNAPSHOT = "snapshot"
+
 PRIMARY_KEYS: dict[str, str] = {
     "customers": "customer_id",
     "categories": "category_id",

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from basketlens.schemas import MONTH
+from basketlens.schemas import MONTH, SNAPSHOT
 
 
 @dataclass(frozen=True)
@@ -29,16 +29,24 @@ def write_mart(df: DataFrame, path: str, layout: Layout = Layout()) -> int:
 
     Partitioned marts are rebalanced on their partition columns first: each folder gets few,
     evenly sized files, and a folder with much of the data is split over several tasks.
+
+    Folders are replaced when all rows are written, not before: a run that fails leaves the former
+    ones. A mart without partitions is one folder, ``snapshot=current``, for that reason.
     """
+    partition_by = layout.partition_by or (SNAPSHOT,)
     if layout.partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+    else:
+        df = df.withColumn(SNAPSHOT, F.lit("current"))
     counter = Observation()  # last before the write, so that repeated shuffle tasks count once
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(layout.mode).option("compression", "snappy")
-    if layout.partition_by:
-        writer = writer.partitionBy(*layout.partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    return int(counter.get["rows"])
+    writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    rows = int(counter.get["rows"])
+    if not rows and not layout.partition_by:
+        # no folder is written for no rows: an empty one replaces what was there
+        df.drop(SNAPSHOT).limit(0).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}=current")
+    return rows
 
 
 def write_marts(

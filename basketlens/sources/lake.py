@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.schemas import MONTH, TABLES
+from basketlens.schemas import MONTH, SNAPSHOT, TABLES
 
 
 def read_table(
@@ -46,7 +46,7 @@ def read_tables(
 
 def read_marts(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """Open written marts; partition folders come back as columns."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    return {name: spark.read.parquet(f"{root}/{name}").drop(SNAPSHOT) for name in names}
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -5,10 +5,11 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from basketlens.operators import checks, cleaning, incremental
 from basketlens.plans import ingest
-from basketlens.schemas import TABLES
+from basketlens.schemas import BIGINT, PRICE, STRING, TABLES, schema_of
 
 
 def _dirty(spark):
@@ -24,7 +25,7 @@ def _dirty(spark):
 
 
 def test_cleaning_to_declared_types(spark):
-    cleaned = cleaning.clean_table(_dirty(spark), TABLES["customers"])
+    cleaned = cleaning.clean_table(_dirty(spark), TABLES["customers"], "", cleaning.NULL_TEXTS)
     assert cleaned.schema.simpleString() == TABLES["customers"].simpleString()
     got = cleaned.select("customer_id", "first_name", "phone_number", "created_at", "email").collect()
     assert [tuple(r) for r in got] == [
@@ -35,8 +36,8 @@ def test_cleaning_to_declared_types(spark):
 
 
 def test_nulls_can_be_kept(spark):
-    cleaned = cleaning.clean_table(_dirty(spark), TABLES["customers"], null_text=None)
-    assert [r[0] for r in cleaned.select("first_name").collect()] == [None, None, "Ann"]
+    cleaned = cleaning.clean_table(_dirty(spark), TABLES["customers"])
+    assert [r[0] for r in cleaned.select("first_name").collect()] == ["nan", "None", "Ann"]
     assert cleaned.filter("email is null").count() == 3
 
 
@@ -94,10 +95,11 @@ def test_incremental_load(spark):
     data = [(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2, 3, 4, 5, 678900))]
     df = spark.createDataFrame(data, "id INT, updated_at TIMESTAMP")
     assert incremental.changed_since(df, "updated_at", None).count() == 2
-    assert rows(incremental.changed_since(df, "updated_at", "2024-01-01 00:00:00"), "id") == [(2,)]
+    assert rows(incremental.changed_since(df, "updated_at", "2024-01-01 00:00:00"), "id") == [(1,), (2,)]
+    assert rows(incremental.changed_since(df, "updated_at", "2024-01-01 00:00:01"), "id") == [(2,)]
     mark = incremental.high_water_mark(df, "updated_at")
     assert mark == "2024-01-02 03:04:05.6789"
-    assert incremental.changed_since(df, "updated_at", mark).isEmpty()
+    assert rows(incremental.changed_since(df, "updated_at", mark), "id") == [(2,)]
     assert incremental.high_water_mark(df.limit(0), "updated_at") is None
 
 
@@ -105,3 +107,45 @@ def test_decimal_text(spark):
     df = spark.createDataFrame([("12.345",), ("x",)], "price STRING")
     got = df.select(cleaning.clean_column(df.price, TABLES["products"]["price"].dataType).alias("p")).collect()
     assert [r.p for r in got] == [Decimal("12.35"), None]
+
+
+def _numbered(spark, n, broken=False):
+    """Rows of which the last one can make the read fail."""
+    value = F.col("id")
+    if broken:
+        value = F.when(F.col("id") == n - 1, F.raise_error(F.lit("connection lost")).cast("long")).otherwise(value)
+    return spark.range(n).select(value.alias("order_id"), F.lit("1.50").alias("total_price"), F.lit("x").alias("status"))
+
+
+SCHEMA = schema_of(order_id=BIGINT, total_price=PRICE, status=STRING)
+
+
+def test_a_source_that_fails_midway_leaves_the_former_table(spark, tmp_path):
+    path = str(tmp_path)
+    assert ingest.snapshot_table("orders", lambda: _numbered(spark, 50), SCHEMA, path).row_count == 50
+    failed = ingest.snapshot_table("orders", lambda: _numbered(spark, 80, broken=True), SCHEMA, path)
+    assert failed.status == "FAILED" and "connection lost" in failed.error
+    assert spark.read.parquet(f"{path}/orders").count() == 50
+    assert ingest.snapshot_table("orders", lambda: _numbered(spark, 30), SCHEMA, path).row_count == 30
+    assert spark.read.parquet(f"{path}/orders").count() == 30
+
+
+def test_values_that_do_not_fit_are_counted_and_stop_the_table(spark, tmp_path):
+    path = str(tmp_path)
+    rows = [("3000000000", "123456789.99", "nan"), ("9" * 25, "1.00", None), ("7.5", "9" * 20, "None"), ("8.0", None, "")]
+    source = spark.createDataFrame(rows, "order_id string, total_price string, status string")
+    failed = ingest.snapshot_table("orders", lambda: source, SCHEMA, path)
+    assert failed.status == "FAILED" and dict(failed.misfits) == {"order_id": 2, "total_price": 1}
+    done = ingest.snapshot_table("orders", lambda: source, SCHEMA, path, allow_misfits=True)
+    assert done.status == "SUCCESS" and dict(done.misfits) == {"order_id": 2, "total_price": 1}
+    got = {(r.order_id, r.total_price and str(r.total_price), r.status) for r in spark.read.parquet(f"{path}/orders").collect()}
+    assert got == {(3000000000, "123456789.99", "nan"), (None, "1.00", None), (None, None, "None"), (8, None, "")}
+
+
+def test_rows_at_the_mark_are_loaded_once(spark):
+    columns = "order_id long, day string, status string"
+    copy = spark.createDataFrame([(1, "2000-01-01", "a"), (2, "2000-01-02", "a")], columns)
+    now = spark.createDataFrame([(1, "2000-01-01", "z"), (2, "2000-01-02", "b"), (3, "2000-01-02", "a"), (4, "2000-01-03", "a")], columns)
+    since = incremental.changed_since(now, "day", incremental.high_water_mark(copy, "day"))
+    got = sorted(tuple(r) for r in incremental.merged(copy, since, ["order_id"], "day").collect())
+    assert got == [(1, "2000-01-01", "a"), (2, "2000-01-02", "b"), (3, "2000-01-02", "a"), (4, "2000-01-03", "a")]
