@@ -98,8 +98,14 @@ def current_state(records: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def apply_changes(current: DataFrame, records: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A table brought up to date: rows without changes stay, changed rows take their last image,
-    deleted rows go. Both sides join as one row per key."""
-    latest = latest_images(records, keys)
-    untouched = current.join(latest.select(*keys), list(keys), "left_anti")
-    renewed = latest.filter(~F.col("__deleted")).select(*current.columns)
-    return untouched.unionByName(renewed)
+    deleted rows go.
+
+    The table's rows count as images older than any change, so one aggregation over both decides,
+    and the log is read, parsed and shuffled once.
+    """
+    position, gone = F.col("__lsn"), F.col("__deleted")
+    before = current.withColumns({"__lsn": F.lit(None).cast("bigint"), "__deleted": F.lit(False)})
+    log = records.select(*(F.col(c).cast(current.schema[c].dataType).alias(c) for c in current.columns), "__lsn", "__deleted")
+    images = before.unionByName(log).withColumn("__lsn", F.coalesce(position, F.lit(-(1 << 63))))
+    alive = latest_images(images, keys).filter(~gone)
+    return alive.select(*current.columns)

@@ -202,6 +202,25 @@ def item_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def item_changes(events: DataFrame) -> DataFrame:
+    """A log of purchased items: each is inserted, those with an even id get one more unit later, and
+    those with an id that three divides are deleted, with their full image."""
+    steps = F.array(F.lit("c"), F.when(F.col("event_id") % 2 == 0, "u"), F.when(F.col("event_id") % 3 == 0, "d"))
+    image = F.struct(
+        F.col("event_id").alias("order_item_id"),
+        F.col("event_id").alias("order_id"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+        (F.col("event_id") % 5 + 1 + (F.col("op") == "u").cast("int")).alias("quantity"),
+        F.col("value").alias("price"),
+        F.col("op").alias("__op"),
+        F.lit("order_items").alias("__table"),
+        F.col("event_id").alias("__lsn"),
+        F.when(F.col("op") == "d", "true").otherwise("false").alias("__deleted"),
+    )
+    sold = events.filter(F.col("event_type") == "purchase").withColumn("op", F.explode(F.array_compact(steps)))
+    return sold.select(F.to_json(F.struct(image.alias("payload"))).alias("value"))
+
+
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log of all orders, as JSON texts.
 

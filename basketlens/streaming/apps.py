@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.operators import changes
@@ -35,6 +36,15 @@ def orders_of(messages: DataFrame, p: Params, per_change: bool = False) -> DataF
     return _counted(changes.parse_orders(messages), p, per_change)
 
 
+def items_of(messages: DataFrame, per_change: bool = False) -> DataFrame:
+    """Items sold, from the messages of the item topic: an item counts once, when it is created,
+    unless every change of it is to be counted. Deletes are not sales."""
+    items = changes.parse_order_items(messages)
+    if per_change:
+        return items.filter(F.coalesce(F.col("__deleted"), F.lit("false")) != "true").filter(F.coalesce("__op", F.lit("c")) != "d")
+    return changes.created_only(items)
+
+
 def landed_orders(spark: SparkSession, path: str, p: Params, per_change: bool = False) -> DataFrame:
     """Stream of the orders that ``land_orders`` writes."""
     landed = spark.readStream.schema(order_streams.LANDED).parquet(path)
@@ -53,10 +63,10 @@ def revenue_statistics(
 
 def top_product_statistics(
     messages: DataFrame, p: Params, servers: str, topic: str, checkpoint: str,
-    by: str = "quantity", interval: str | None = None,
+    by: str = "quantity", interval: str | None = None, per_change: bool = False,
 ) -> StreamingQuery:
     """Best sellers per window, published as JSON records."""
-    items = order_streams.timed(changes.parse_order_items(messages), p, "timestamp")
+    items = order_streams.timed(items_of(messages, per_change), p, "timestamp")
 
     def publish(rank: Callable[[DataFrame], DataFrame]):
         return sinks.batch_topic(

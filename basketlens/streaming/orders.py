@@ -101,11 +101,12 @@ def similar_order_alerts(orders: DataFrame, p: Params, time: str = "event_time")
 
 
 def all_alerts(orders: DataFrame, p: Params) -> DataFrame:
-    """High-value alerts at once and frequent-order alerts when their window closes.
+    """High-value alerts at once; frequent and similar orders when their window closes.
 
-    ``orders`` must carry its watermark already, so that both branches share it.
+    ``orders`` must carry its watermark already, so that all branches share it.
     """
-    return high_value_alerts(orders, p).unionByName(frequent_order_alerts(orders, p))
+    windows = frequent_order_alerts(orders, p).unionByName(similar_order_alerts(orders, p))
+    return high_value_alerts(orders, p).unionByName(windows)
 
 
 def with_alert_text(alerts: DataFrame) -> DataFrame:

@@ -1,6 +1,11 @@
-SELECT user_id AS customer_id, 'High value order' AS reason,
-       regexp_replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '0$', '') || ' VND' AS value
-FROM events WHERE value > 200
+WITH o AS (
+  SELECT user_id, ts, CAST(10000 * ceil(CAST(value AS DECIMAL(18,2)) / 10) AS BIGINT) AS amount FROM events
+)
+SELECT user_id AS customer_id, 'High value order' AS reason, format('{:,}', amount) || '.5 VND' AS value
+FROM o WHERE amount + 0.5 > 200000
 UNION ALL
 SELECT user_id AS customer_id, 'Frequent orders' AS reason, count(*) || ' orders in 1 day' AS value
-FROM events GROUP BY user_id, time_bucket(INTERVAL '1 day', ts) HAVING count(*) > 5
+FROM o GROUP BY user_id, time_bucket(INTERVAL '1 day', ts) HAVING count(*) > 5
+UNION ALL
+SELECT user_id AS customer_id, 'Similar orders' AS reason, count(*) || ' x ' || format('{:,}', amount) || '.5 VND' AS value
+FROM o GROUP BY user_id, amount, time_bucket(INTERVAL '1 day', ts) HAVING count(*) >= 2

@@ -1,4 +1,3 @@
-SELECT o_orderkey AS order_id, o_orderdate AS order_date, CAST(o_totalprice AS DECIMAL(18,2)) AS total_price,
+SELECT o_orderkey AS order_id, date_trunc('day', o_orderdate) AS order_date, CAST(o_totalprice AS DECIMAL(18,2)) AS total_price,
        o_orderstatus AS status, o_custkey AS customer_id
 FROM orders
-WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01')

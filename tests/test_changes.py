@@ -3,9 +3,11 @@ from __future__ import annotations
 import json
 import random
 
-from conftest import money, rows
+from conftest import SMALL, money, rows
 
 from basketlens.operators import changes
+from basketlens.sources import driver_tables as shop
+from basketlens.streaming import apps
 
 
 def _event(op, lsn, table="customers", deleted="false", **columns):
@@ -115,3 +117,22 @@ def test_broker_columns_do_not_disturb_the_parsers(spark):
     assert rows(orders, "order_id", "timestamp", "offset") == [(1, 1704067201000, 0)]
     items = changes.parse_order_items(messages)
     assert rows(items, "order_item_id", "timestamp") == [(1, when)]
+
+
+def test_the_merge_reads_and_parses_the_log_once(spark, tmp_path):
+    shop.order_changes(spark, SMALL).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    current = shop.orders(spark, SMALL).select("order_id", "customer_id", "status")
+    merged = changes.apply_changes(current, changes.change_records(log, "orders"), ["order_id"])
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("Join") == 0
+
+
+def test_items_count_once(spark):
+    def event(op, quantity, lsn, deleted="false"):
+        return (f'{{"payload":{{"order_item_id":1,"order_id":1,"product_id":7,"quantity":{quantity},"price":1.5,'
+                f'"__op":"{op}","__table":"order_items","__lsn":{lsn},"__deleted":"{deleted}"}}}}',)
+
+    log = spark.createDataFrame([event("c", 2, 1), event("u", 3, 2), event("d", 3, 3, "true")], "value string")
+    assert [r.quantity for r in apps.items_of(log).collect()] == [2]
+    assert sorted(r.quantity for r in apps.items_of(log, per_change=True).collect()) == [2, 3]

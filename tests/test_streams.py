@@ -108,19 +108,24 @@ def test_late_orders(topic, land, p):
 
 
 def test_only_the_sixth_order_in_a_minute_alerts(topic, land, p):
-    lines = [order(i, 5, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(5)]
-    lines += [order(10 + i, 6, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)]
+    lines = [order(i, 5, i + 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(5)]
+    lines += [order(10 + i, 6, i + 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)]
     # six orders, but in two minutes
-    lines += [order(20 + i, 7, 1, f"2024-01-01T00:0{i % 2}:30Z") for i in range(6)]
+    lines += [order(20 + i, 7, i + 1, f"2024-01-01T00:0{i % 2}:30Z") for i in range(6)]
+    # one amount three times in a minute, and three times in two minutes
+    lines += [order(40 + i, 4, 7, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(3)]
+    lines += [order(50 + i, 3, 7, f"2024-01-01T00:0{i % 2}:30Z") for i in range(3)]
     # the limit itself is not above the limit
     lines += [order(30, 8, 10_000_000, "2024-01-01T00:00:30Z"), order(31, 9, 12_345_678.5, "2024-01-01T00:00:30Z")]
     topic.add(*lines)
     topic.add(order(99, 1, 1, SENTINEL))
     alerts = land(order_streams.all_alerts(orders_of(topic, p), p))
-    assert rows(alerts) == [
+    assert rows(alerts.filter("customer_id <> 4")) == [
         (6, "Frequent orders", "6 orders in 1 minute"),
         (9, "High value order", "12,345,678.5 VND"),
     ]
+    assert rows(alerts.filter("customer_id = 4")) == [(4, "Similar orders", "3 x 7.0 VND")]
+    alerts = alerts.filter("customer_id <> 4")
     assert rows(order_streams.with_alert_text(alerts), "message")[0] == (
         "🚨 Fraud Alert: Customer 6 | Frequent orders (Value: 6 orders in 1 minute)",
     )
@@ -315,8 +320,8 @@ def test_alert_application(spark, topic, tmp_path, p):
     from basketlens.streaming import apps
 
     # one order and its two updates are one order, unless changes are to be counted
-    lines = [order(i, 6, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(4)]
-    lines += [order(1, 6, 1, "2024-01-01T00:00:40Z", "u"), order(2, 6, 1, "2024-01-01T00:00:41Z", "u")]
+    lines = [order(i, 6, i + 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(4)]
+    lines += [order(1, 6, 2, "2024-01-01T00:00:40Z", "u"), order(2, 6, 3, "2024-01-01T00:00:41Z", "u")]
     topic.add(*lines, order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"))
     topic.add(order(99, 1, 1, SENTINEL))
     for per_change, customers in ((False, {9}), (True, {6, 9})):
@@ -343,7 +348,7 @@ def test_alerts_without_channel_are_printed(topic, tmp_path, p):
 def test_landed_orders_feed_the_same_alerts(spark, topic, tmp_path, land, p):
     from basketlens.streaming import apps
 
-    topic.add(*[order(i, 6, 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)])
+    topic.add(*[order(i, 6, i + 1, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)])
     topic.add(order(31, 9, 12_000_000, "2024-01-01T00:00:30Z"), order(31, 9, 12_000_000, "2024-01-01T00:00:30Z", "u"))
     topic.add(order(99, 1, 1, SENTINEL))
     table = str(tmp_path / "table")
