@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 import os
 import sys
@@ -10,8 +11,8 @@ import sys
 from basketlens import jobs
 from basketlens.params import Params
 from basketlens.plans import ingest
-from basketlens.schemas import CAPTURED_TABLES, PRIMARY_KEYS, TABLES, topic
-from basketlens.session import build_session, scratch
+from basketlens.schemas import PRIMARY_KEYS, TABLES, topic
+from basketlens.session import build_session
 from basketlens.sinks.delivery import http_sender
 from basketlens.sources import topics
 from basketlens.sources.database import Database, read_snapshot
@@ -21,6 +22,10 @@ from basketlens.streaming import apps
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="basketlens")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
+    parser.add_argument(
+        "--set", action="append", default=[], metavar="NAME=VALUE", dest="settings",
+        help="a parameter, such as revenue_window='1 minute' or alert_orders=10; may be repeated",
+    )
     commands = parser.add_subparsers(dest="command", required=True)
 
     batch = commands.add_parser("batch", help="run a batch job on lake tables")
@@ -31,9 +36,10 @@ def arguments() -> argparse.ArgumentParser:
 
     snapshot = commands.add_parser("snapshot", help="take database tables into the lake")
     snapshot.add_argument("--url", required=True)
-    snapshot.add_argument("--tables", default=",".join(CAPTURED_TABLES))
+    snapshot.add_argument("--tables", default=",".join(TABLES))
     snapshot.add_argument("--destination", required=True)
     snapshot.add_argument("--partitions", type=int, default=16)
+    snapshot.add_argument("--allow-misfits", action="store_true", help="make values null that their type cannot hold")
 
     stream = commands.add_parser("stream", help="run a stream application")
     stream.add_argument("app", choices=["revenue", "top-products", "alerts", "land-orders"])
@@ -53,11 +59,24 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def params_of(options: argparse.Namespace) -> Params:
+    """Parameters with the values given on the command line, in the types of the defaults."""
+    given = {}
+    for setting in options.settings:
+        name, separator, value = setting.partition("=")
+        fields = {f.name: f for f in dataclasses.fields(Params) if f.name != "as_of"}
+        if not separator or name not in fields:
+            raise SystemExit(f"--set {setting}: known are {', '.join(sorted(fields))}")
+        kind = type(fields[name].default)
+        given[name] = tuple(value.split(",")) if kind is tuple else kind(value)
+    return Params(as_of=options.as_of, **given)
+
+
 def run_batch(options: argparse.Namespace) -> int:
     spark = build_session(f"basketlens-{options.job}")
     report = jobs.run_from_lake(
         spark, jobs.JOBS[options.job], options.source, options.destination,
-        Params(as_of=options.as_of), options.format,
+        params_of(options), options.format,
     )
     print(f"{report.job_name}: {report.status} in {report.duration_seconds:.1f} s")
     print(f"read {report.processed}, wrote {report.written}")
@@ -74,15 +93,21 @@ def run_snapshot(options: argparse.Namespace) -> int:
         return lambda: read_snapshot(spark, db, table, PRIMARY_KEYS[table], options.partitions)
 
     names = options.tables.split(",")
-    results = ingest.snapshot_tables({n: reader(n) for n in names}, TABLES, options.destination)
+    results = ingest.snapshot_tables(
+        {n: reader(n) for n in names}, TABLES, options.destination, options.allow_misfits
+    )
     for result in results:
-        print(result.table_name, result.status, result.row_count, result.error or "")
+        misfits = " ".join(f"{column}={n}" for column, n in result.misfits.items())
+        print(result.table_name, result.status, result.row_count, misfits, result.error or "")
     return 1 if any(r.status == "FAILED" for r in results) else 0
 
 
 def run_stream(options: argparse.Namespace) -> int:
+    # A folder that changed with every start would lose what the checkpoint counts as done.
+    if options.path is None and (options.app == "land-orders" or options.webhook):
+        raise SystemExit(f"{options.app} needs --path, the same at every start")
     spark = build_session(f"basketlens-{options.app}")
-    p = Params(as_of=options.as_of)
+    p = params_of(options)
     table = "order_items" if options.app == "top-products" else "orders"
     messages = topics.read_topic_stream(
         spark, options.servers, topic(table), options.starting, options.app, options.per_batch
@@ -99,13 +124,11 @@ def run_stream(options: argparse.Namespace) -> int:
         )
     elif options.app == "alerts":
         send = http_sender(options.webhook) if options.webhook else None
-        log = options.path or scratch(spark, "alert-log")
         query = apps.order_alerts(
-            apps.orders_of(messages, p), p, options.checkpoint, log, send, options.interval
+            apps.orders_of(messages, p), p, options.checkpoint, options.path, send, options.interval
         )
     else:
-        path = options.path or scratch(spark, "orders")
-        query = apps.land_orders(messages, p, path, options.checkpoint, options.interval)
+        query = apps.land_orders(messages, p, options.path, options.checkpoint, options.interval)
     query.awaitTermination()
     return 0
 

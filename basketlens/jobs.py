@@ -156,7 +156,7 @@ _BY_DATE = Layout(("analysis_date",))
 
 SEGMENTATION = Job(
     "segmentation_customer", _segmentation,
-    {"customer_segmentation": Layout(("process_date", "customer_segment"), "append", at_root=True)},
+    {"customer_segmentation": Layout(("process_date", "customer_segment"), at_root=True)},
 )
 REVENUE = Job(
     "revenue_statistics", _revenue, {"revenue_monthly": _BY_DATE, "revenue_daily": _BY_DATE}

@@ -42,6 +42,7 @@ class Params:
 
     # recommendations
     recommendations: int = 5
+    als_blocks: int = 10
     als_iterations: int = 10
     als_regularisation: float = 0.01
     seed: int = 42

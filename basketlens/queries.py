@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from basketlens import jobs
 from basketlens.operators import changes, checks, cleaning, incremental, interactions
 from basketlens.plans import customers, features, ingest, products, recommend, revenue
-from basketlens.schemas import BIGINT, INT, PRICE, STRING, TIMESTAMP, schema_of
+from basketlens.schemas import BIGINT, INT, PRICE, STRING, TABLES, TIMESTAMP, schema_of
 from basketlens.session import pin_utc, scratch
 from basketlens.sinks import marts as mart_sink
 from basketlens.sinks import streams as sinks
 from basketlens.sources import catalog, topics
 from basketlens.sources import driver_tables as shop
+from basketlens.streaming import apps
 from basketlens.streaming import orders as order_streams
 from basketlens.streaming import products as product_streams
 
@@ -204,8 +205,22 @@ def feature_entries(spark, sf):
 
 @query
 def als_recommendations(spark, sf):
-    model = recommend.train(interaction_score(spark, sf), P)
-    return recommend.recommend(model, shop.customers(spark, sf), P)
+    """For the customers of the last 90 days, from a model that was saved and loaded."""
+    path = scratch(spark, "als-model")
+    recommend.save(recommend.train(interaction_score(spark, sf), P), path)
+    served = recommend.active_customers(shop.orders(spark, sf), P)
+    return recommend.recommend(recommend.load(path), served, P)
+
+
+@query
+def als_recommendation_ranks(spark, sf):
+    """Who is served which ranks, and whether the products of each list exist and differ."""
+    ranked = als_recommendations(spark, sf)
+    known = shop.products(spark, sf).select("product_id", F.lit(1).alias("known"))
+    return ranked.join(known, "product_id", "left").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("ranks"), F.max("rank").alias("last_rank"),
+        F.count_distinct("product_id").alias("products"), F.count("known").alias("known_products"),
+    )
 
 
 # --- ingest ------------------------------------------------------------------------------------
@@ -254,7 +269,7 @@ def cleaned_orders(spark, sf):
         F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).try_cast("double").alias("customer_id"),
         F.concat(F.lit("00"), F.col("o_custkey").cast("string")).alias("phone_number"),
     )
-    return cleaning.clean_table(dirty, DIRTY_ORDERS)
+    return cleaning.clean_table(dirty, DIRTY_ORDERS, null_text="", stand_ins=cleaning.NULL_TEXTS)
 
 
 @query
@@ -287,11 +302,35 @@ def data_quality(spark, sf):
 
 @query
 def incremental_orders(spark, sf):
-    """Orders newer than the last one of the year 2000."""
+    """The copy of last year, loaded further: half of the orders of its last day had not arrived."""
     orders = shop.orders(spark, sf)
-    loaded = orders.filter(F.col("order_date") < _utc("2001-01-01"))
-    mark = incremental.high_water_mark(loaded, "order_date")
-    return incremental.changed_since(orders, "order_date", mark)
+    day = F.col("order_date").cast("date").cast("timestamp")
+    last = orders.filter(F.col("order_date") < _utc("2001-01-01")).agg(F.max(day)).first()[0]
+    early = (F.col("order_date") < F.lit(last)) | ((day == F.lit(last)) & (F.col("order_id") % 2 == 0))
+    copy = orders.filter(early).withColumn("order_date", day)
+    mark = incremental.high_water_mark(copy, "order_date")
+    since = incremental.changed_since(orders.withColumn("order_date", day), "order_date", mark)
+    return incremental.merged(copy, since, ["order_id"], "order_date")
+
+
+def _misfit_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw orders as text, some with ids, amounts and dates that no declared type holds."""
+    low = F.col("o_orderpriority") == "5-LOW"
+    return shop.raw(spark, sf, "orders").select(
+        F.when(low, F.concat("o_orderkey", F.lit("0" * 19))).otherwise(F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.col("o_orderdate").cast("string")).alias("order_date"),
+        F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("9" * 17), F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
+        .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("total_price"),
+        F.when(low, "None").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(low, "nan").when(F.col("o_orderstatus") == "F", F.concat("o_custkey", F.lit(".5")))
+        .otherwise(F.concat(F.lit("30"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))).alias("customer_id"),
+    )
+
+
+@query
+def ingest_misfits(spark, sf):
+    """Values per column that the declared types cannot hold."""
+    return cleaning.misfit_counts(_misfit_orders(spark, sf), TABLES["orders"])
 
 
 # --- change events -----------------------------------------------------------------------------
@@ -311,6 +350,17 @@ def cdc_item_events(spark, sf):
     return items.select("order_item_id", "product_id", "quantity", "price", "event_time")
 
 
+@query
+def cdc_item_sales(spark, sf):
+    """Units sold per product, from a log in which items are also changed and deleted."""
+    log = shop.item_changes(shop.raw(spark, sf, "events"))
+    return _unit_sales(apps.items_of(log))
+
+
+def _unit_sales(items: DataFrame) -> DataFrame:
+    return items.groupBy("product_id").agg(F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("items"))
+
+
 @query
 def cdc_change_records(spark, sf):
     """The flattened log: how many records of each kind, and how far it reaches."""
@@ -378,6 +428,19 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
     return shop.product_events(shop.raw(spark, sf, "events"), "purchase")
 
 
+# Amounts a thousand times as large, so that alerts have thousands to set apart.
+DEAR = dataclasses.replace(P, alert_amount=1000 * P.alert_amount)
+
+
+def _in_thousands(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("total_price", (F.col("total_price") * 1000).cast("decimal(18,2)"))
+
+
+def _same_amounts(orders: DataFrame) -> DataFrame:
+    """In thousands, and to the next ten thousand, so that some customers repeat an amount."""
+    return orders.withColumn("total_price", (F.ceil(F.col("total_price") / 10) * 10_000 + F.lit("0.5").cast("decimal(2,1)")).cast("decimal(18,2)"))
+
+
 @query
 def window_revenue_10s(spark, sf):
     return order_streams.window_revenue(_orders(spark, sf), "10 seconds")
@@ -444,7 +507,7 @@ def product_trend(spark, sf):
 
 @query
 def high_value_alerts(spark, sf):
-    return order_streams.with_alert_text(order_streams.high_value_alerts(_orders(spark, sf), P))
+    return order_streams.with_alert_text(order_streams.high_value_alerts(_in_thousands(_orders(spark, sf)), DEAR))
 
 
 @query
@@ -459,7 +522,7 @@ def similar_order_alerts(spark, sf):
 
 @query
 def all_alerts(spark, sf):
-    return order_streams.all_alerts(_orders(spark, sf), P)
+    return order_streams.all_alerts(_same_amounts(_orders(spark, sf)), DEAR)
 
 
 # --- the same on streams ---------------------------------------------------------------------------
@@ -497,6 +560,13 @@ def stream_top_products(spark, sf):
     return spark.read.parquet(f"{path}/data").drop("batch_id")
 
 
+@query
+def stream_item_sales(spark, sf):
+    """The same count over a stream of the log."""
+    items = apps.items_of(shop.item_changes(shop.events_stream(spark, sf)))
+    return _unit_sales(_landed(spark, items.select("order_item_id", "product_id", "quantity"), "items"))
+
+
 @query
 def stream_enriched_top_products(spark, sf):
     """Ranking records published as JSON by one stream, read and enriched by another."""
@@ -511,7 +581,7 @@ def stream_enriched_top_products(spark, sf):
 
 @query
 def stream_alerts(spark, sf):
-    return _landed(spark, order_streams.all_alerts(_order_stream(spark, sf), P), "alerts")
+    return _landed(spark, order_streams.all_alerts(_same_amounts(_order_stream(spark, sf)), DEAR), "alerts")
 
 
 @query
@@ -589,6 +659,18 @@ def job_counts(spark, sf):
     return result
 
 
+@query
+def segmentation_rerun(spark, sf):
+    """Rows per segment after the segmentation has run twice for one day."""
+    target = scratch(spark, "marts")
+    for _ in range(2):
+        report = jobs.run_job(jobs.SEGMENTATION, shop.shop(spark, sf), target, P)
+        if report.status != "SUCCESS":
+            raise RuntimeError(report.error_message)
+    written = spark.read.parquet(f"{target}/segmentation_customer")
+    return written.groupBy("customer_segment").agg(F.count(F.lit(1)).alias("customers"))
+
+
 @query
 def job_category_mart(spark, sf):
     """Category performance as the product job wrote it."""

@@ -25,12 +25,12 @@ def test_dates_written_earlier_survive(spark, tmp_path):
     assert written.groupBy("analysis_date", "order_month").count().filter("count > 1").isEmpty()
 
 
-def test_segments_are_appended(spark, tmp_path):
+def test_a_second_run_replaces_its_day(spark, tmp_path):
     tables = shop.shop(spark, SMALL)
     for _ in range(2):
         report = jobs.run_job(jobs.SEGMENTATION, tables, str(tmp_path), P)
     written = spark.read.parquet(f"{tmp_path}/segmentation_customer")
-    assert written.count() == 2 * report.records_written
+    assert written.count() == report.records_written
     assert (tmp_path / "segmentation_customer/process_date=2001-08-01").is_dir()
 
 

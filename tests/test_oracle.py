@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 from conftest import SMALL
@@ -23,11 +25,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not re.match(r"op\d+_|pipeline$", n)))
 def test_query_matches_sql(spark, duck, name):
     result = QUERIES[name](spark, SMALL)
     expected = duck.execute(SQL[name])
