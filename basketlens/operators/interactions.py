@@ -14,9 +14,8 @@ INTERACTION = ("customer_id", "product_id", "weight", "timestamp")
 
 def with_recency(df: DataFrame, as_of: dt.date) -> DataFrame:
     """Weight = quantity x recency, kept as an exact decimal."""
-    age = F.datediff(F.lit(as_of), F.col("timestamp"))
-    weight = F.col("quantity").cast("decimal(12,0)") * recency_weight(age)
-    return df.withColumns({"days_ago": age, "recency_weight": recency_weight(age), "weight": weight})
+    recency = recency_weight(F.datediff(F.lit(as_of), F.col("timestamp")))
+    return df.withColumn("weight", F.col("quantity").cast("decimal(12,0)") * recency)
 
 
 def purchases(orders: DataFrame, items: DataFrame, as_of: dt.date) -> DataFrame:

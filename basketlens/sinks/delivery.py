@@ -7,6 +7,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +89,11 @@ def delivery_handler(
 
 
 def _logged(batch: DataFrame, log_path: str, batch_id: int) -> bool:
-    spark = batch.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{log_path}/batch_id={batch_id}")
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    """Whether the log has outcomes of the batch; reads that batch's folder alone."""
+    reader = batch.sparkSession.read.schema(f"{ALERT_LOG_SCHEMA}, batch_id BIGINT")
+    try:
+        return not reader.parquet(log_path).filter(F.col("batch_id") == batch_id).isEmpty()
+    except AnalysisException as missing:  # nothing has been logged yet
+        if "PATH_NOT_FOUND" in str(missing):
+            return False
+        raise

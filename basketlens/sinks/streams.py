@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from basketlens.functions.render import json_record
 from basketlens.session import stream_settings
-from basketlens.sources.database import Database, append_rows
+from basketlens.sources.database import Database, replace_rows, upsert_statements
 
 
 def _start(
@@ -90,10 +90,19 @@ def batch_topic(
     return write
 
 
-def batch_table(db: Database, table: str) -> Callable[[DataFrame, int], None]:
-    """Batch handler that appends to a database table, creating it when missing."""
+def batch_upsert(
+    db: Database, target: str, staging: str, keys: Sequence[str], latest: Callable[[DataFrame], DataFrame],
+    execute: Callable[[list[str]], None], write: Callable[[DataFrame, Database, str], None] = replace_rows,
+    deleted: str = "deleted",
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler that applies the last image per key of each batch to a database table: rows are
+    staged by all tasks, then ``execute`` runs the upsert in one transaction. A repeated batch stages
+    and applies the same rows, so it changes nothing."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        append_rows(batch, db, table)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = latest(batch)
+        write(rows, db, staging)
+        columns = [c for c in rows.columns if c != deleted]
+        execute(upsert_statements(target, staging, columns, keys, deleted))
 
-    return write
+    return handle

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,20 @@ def read_snapshot(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def append_rows(df: DataFrame, db: Database, table: str) -> None:
-    """Append, creating the table when missing."""
-    df.write.format("jdbc").options(**db.options(), dbtable=table).mode("append").save()
+def replace_rows(df: DataFrame, db: Database, table: str) -> None:
+    """Make ``table`` hold these rows alone; used for staging tables."""
+    df.write.format("jdbc").options(**db.options(), dbtable=table).mode("overwrite").save()
+
+
+def upsert_statements(target: str, staging: str, columns: Sequence[str], keys: Sequence[str], deleted: str) -> list[str]:
+    """Statements that bring ``target`` up to date from ``staging``, which has one row per key and a
+    flag for rows that are gone. Run in one transaction they may be repeated without harm."""
+    same = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    rest = [c for c in columns if c not in keys]
+    update = f"DO UPDATE SET {', '.join(f'{c} = excluded.{c}' for c in rest)}" if rest else "DO NOTHING"
+    names = ", ".join(columns)
+    return [
+        f"DELETE FROM {target} AS t USING {staging} AS s WHERE {same} AND s.{deleted}",
+        f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging} WHERE NOT {deleted} "
+        f"ON CONFLICT ({', '.join(keys)}) {update}",
+    ]

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.operators import changes
-from basketlens.operators.cleaning import clean_table
+from basketlens.operators.cleaning import clean_table, without_columns
 from basketlens.params import Params
-from basketlens.schemas import TABLES
+from basketlens.plans.ingest import SECRET_COLUMNS
+from basketlens.schemas import BOOLEAN, PRIMARY_KEYS, TABLES, schema_of
 from basketlens.sinks import streams as sinks
 from basketlens.sinks.delivery import delivery_handler
 from basketlens.sources.database import Database
@@ -97,9 +98,22 @@ def land_orders(
     return sinks.to_files(landed, path, checkpoint, interval=interval)
 
 
+def latest_rows(records: DataFrame, table: str) -> DataFrame:
+    """The last image per key of a batch of flattened records, in the declared types and without
+    secrets; ``deleted`` marks keys whose last change took them away."""
+    key = PRIMARY_KEYS[table]
+    last = changes.latest_images(records, [key])
+    declared = schema_of(**{f.name: f.dataType for f in TABLES[table].fields}, deleted=BOOLEAN)
+    return without_columns(clean_table(last.withColumnRenamed("__deleted", "deleted"), declared), *SECRET_COLUMNS)
+
+
 def copy_to_table(
-    messages: DataFrame, table: str, db: Database, target: str, checkpoint: str, interval: str | None = None
+    messages: DataFrame, table: str, db: Database, target: str, checkpoint: str,
+    execute: Callable[[list[str]], None], interval: str | None = None,
 ) -> StreamingQuery:
-    """Records of one captured table, in their declared types, appended to a database table."""
-    rows = clean_table(changes.payloads(messages, table), TABLES[table], null_text=None)
-    return sinks.per_batch(rows, sinks.batch_table(db, target), checkpoint, interval)
+    """Keep a database table equal to a captured one: changed rows take their last image, deleted
+    rows go. ``execute`` runs statements on the database, all in one transaction."""
+    handle = sinks.batch_upsert(
+        db, target, f"{target}_staging", [PRIMARY_KEYS[table]], lambda batch: latest_rows(batch, table), execute
+    )
+    return sinks.per_batch(changes.change_records(messages, table), handle, checkpoint, interval)

@@ -136,3 +136,39 @@ def test_items_count_once(spark):
     log = spark.createDataFrame([event("c", 2, 1), event("u", 3, 2), event("d", 3, 3, "true")], "value string")
     assert [r.quantity for r in apps.items_of(log).collect()] == [2]
     assert sorted(r.quantity for r in apps.items_of(log, per_change=True).collect()) == [2, 3]
+
+
+def test_a_batch_is_applied_by_key_and_may_be_repeated(spark):
+    """The statements are run on an in-process database of this test."""
+    import duckdb
+
+    from basketlens.schemas import TABLES
+    from basketlens.sinks import streams as sinks
+
+    con = duckdb.connect()
+    columns = [f.name for f in TABLES["customers"].fields if f.name != "password"]
+    con.execute(f"CREATE TABLE shop ({', '.join(c + (' BIGINT PRIMARY KEY' if c == 'customer_id' else ' VARCHAR') for c in columns)})")
+
+    def stage(rows, db, table):
+        held = [tuple(None if v is None else v if isinstance(v, (bool, int)) else str(v) for v in r) for r in rows.collect()]
+        con.execute(f"CREATE OR REPLACE TABLE {table} ({', '.join(c + (' BIGINT' if c == 'customer_id' else ' BOOLEAN' if c == 'deleted' else ' VARCHAR') for c in rows.columns)})")
+        if held:
+            con.executemany(f"INSERT INTO {table} VALUES ({', '.join('?' * len(rows.columns))})", held)
+
+    def execute(statements):
+        for statement in statements:
+            con.execute(statement)
+
+    handle = sinks.batch_upsert(None, "shop", "shop_staging", ["customer_id"], lambda b: apps.latest_rows(b, "customers"), execute, stage)
+    first = _log(spark, _event("c", 1, customer_id=1, first_name="Ida", password="x"), _event("c", 2, customer_id=2, first_name="Bo"),
+                 _event("u", 3, customer_id=1, first_name="Ada"), None)
+    second = _log(spark, _event("d", 5, deleted="true", customer_id=2), _event("u", 4, customer_id=2, first_name="Bob"),
+                  _event("c", 6, customer_id=3, first_name="Cy"))
+    state = lambda: con.execute("SELECT customer_id, first_name FROM shop ORDER BY 1").fetchall()
+    for _ in range(2):
+        handle(changes.change_records(first, "customers"), 0)
+        assert state() == [(1, "Ada"), (2, "Bo")]
+    for _ in range(2):
+        handle(changes.change_records(second, "customers"), 1)
+        assert state() == [(1, "Ada"), (3, "Cy")]
+    assert "password" not in apps.latest_rows(changes.change_records(first, "customers"), "customers").columns
