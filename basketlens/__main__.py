@@ -12,7 +12,7 @@ from basketlens import jobs
 from basketlens.params import Params
 from basketlens.plans import ingest
 from basketlens.schemas import PRIMARY_KEYS, TABLES, topic
-from basketlens.session import build_session
+from basketlens.session import build_session, scratch
 from basketlens.sinks.delivery import http_sender
 from basketlens.sources import topics
 from basketlens.sources.database import Database, read_snapshot
@@ -135,7 +135,9 @@ def run_stream(options: argparse.Namespace) -> int:
 
 def run_peek(options: argparse.Namespace) -> int:
     spark = build_session("basketlens-peek")
-    messages = topics.read_topic(spark, options.servers, options.topic)
+    messages = topics.read_topic_head(
+        spark, options.servers, options.topic, options.messages, scratch(spark, "peek")
+    )
     topics.peek(messages, options.messages).show(truncate=False)
     return 0
 

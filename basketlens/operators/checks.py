@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.session import staged
+
 
 class ValidationError(ValueError):
     """A required table is empty or lacks required columns."""
@@ -90,6 +92,52 @@ def orphan_check(
     return _check_row(table, f"orphan:{key}", lost)
 
 
+def key_checks(
+    table: str, df: DataFrame, unique: Mapping[str, Sequence[str]], references: Mapping[str, DataFrame],
+    conditions: Mapping[str, Column],
+) -> DataFrame:
+    """All checks of one table from one scan: broken ``conditions``, surplus rows of ``unique`` keys, and
+    for each of ``references`` (a key column: its parents, one column of the same name) rows that
+    are null or have no parent.
+
+    Rows are counted per key first, every key as a grouping set of one aggregation, so a key that
+    holds much of the table is one row from then on. The counts are written once and serve all
+    checks.
+    """
+    sets = {f"unique:{name}": list(keys) for name, keys in unique.items()} | {f"key:{k}": [k] for k in references}
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    flags = {f"_c{i}": cond.cast("int") for i, cond in enumerate(conditions.values())}
+    rows = df.select(*columns, *[flag.alias(name) for name, flag in flags.items()])
+    grouped = rows.groupingSets(list(sets.values()) + [[]], *columns) if columns else rows.groupBy()
+    counts = staged(
+        grouped.agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in flags],
+            *([F.grouping_id(*columns).alias("_set")] if columns else [F.lit(0).alias("_set")]),
+        ), "key-counts")
+
+    def of(keys: Sequence[str]) -> DataFrame:
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        return counts.filter(F.col("_set") == number)
+
+    checks = []
+    if conditions:
+        cells = F.array(*[
+            F.struct(F.lit(name).alias("check_name"), F.coalesce(f"_c{i}", F.lit(0)).cast("bigint").alias("violations"))
+            for i, name in enumerate(conditions)
+        ])
+        whole = of([]).agg(*[F.sum(name).alias(name) for name in flags])  # one row, also of an empty table
+        checks.append(whole.select(F.lit(table).alias("table_name"), F.inline(cells)))
+    for name, keys in unique.items():
+        surplus = of(keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
+        checks.append(_check_row(table, f"duplicate:{'+'.join(keys)}", surplus))
+    for key, parents in references.items():
+        empty = of([key]).agg(F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("violations"))
+        lost = of([key]).filter(F.col(key).isNotNull()).join(parents.select(key), key, "left_anti").agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+        checks += [_check_row(table, f"null:{key}", empty), _check_row(table, f"orphan:{key}", lost)]
+    return _union(checks)
+
+
 def quality_report(*checks: DataFrame) -> DataFrame:
     return _union(list(checks))
 

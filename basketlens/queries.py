@@ -287,16 +287,14 @@ def data_quality(spark, sf):
     orders = shop.orders(spark, sf)
     items = shop.order_items(spark, sf)
     return checks.quality_report(
-        checks.condition_checks("orders", orders, {
-            "null:status": F.col("status").isNull(),
-            "range:total_price": ~F.col("total_price").between(0, 400_000),
-        }),
-        checks.null_checks("order_items", items, ["order_id", "product_id", "price"]),
-        checks.duplicate_check("orders", orders, ["order_id"]),
-        checks.duplicate_check("order_items", items, ["order_id", "order_item_id"]),
-        checks.orphan_check("order_items", items, "order_id", orders, "order_id"),
-        checks.orphan_check("orders", orders, "customer_id", shop.customers(spark, sf), "customer_id"),
-        checks.orphan_check("order_items", items, "product_id", shop.products(spark, sf), "product_id"),
+        checks.key_checks(
+            "orders", orders, {"key": ["order_id"]}, {"customer_id": shop.customers(spark, sf)},
+            {"null:status": F.col("status").isNull(), "range:total_price": ~F.col("total_price").between(0, 400_000)},
+        ),
+        checks.key_checks(
+            "order_items", items, {"key": ["order_id", "order_item_id"]},
+            {"order_id": orders, "product_id": shop.products(spark, sf)}, {"null:price": F.col("price").isNull()},
+        ),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,31 @@ def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return raw.load()
 
 
+def read_topic_head(spark: SparkSession, servers: str, topic: str, n: int, checkpoint: str) -> DataFrame:
+    """The first ``n`` messages of a topic, undecoded."""
+    options = topic_options(servers, topic, "earliest", per_batch=n)
+    return first_messages(spark.readStream.format("kafka").options(**options).load(), n, checkpoint)
+
+
+def first_messages(stream: DataFrame, n: int, checkpoint: str, wait: float = 0.2) -> DataFrame:
+    """The first ``n`` messages of a stream, which is read in small batches (``per_batch``) and stopped
+    when they are there: a long topic is not read to its end."""
+    found: list[Row] = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        if len(found) < n:
+            found.extend(batch.orderBy("partition", "offset").limit(n - len(found)).collect())
+
+    query = (
+        stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    while len(found) < n and not query.awaitTermination(wait):
+        pass
+    query.stop()
+    return stream.sparkSession.createDataFrame(found, stream.schema)
+
+
 def decode(messages: DataFrame) -> DataFrame:
     return messages.withColumns(
         {"key": F.col("key").cast("string"), "value": F.col("value").cast("string")}

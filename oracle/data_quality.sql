@@ -9,3 +9,4 @@ UNION ALL SELECT 'order_items', 'duplicate:order_id+order_item_id',
 UNION ALL SELECT 'order_items', 'orphan:order_id', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL SELECT 'orders', 'orphan:customer_id', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
 UNION ALL SELECT 'order_items', 'orphan:product_id', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'orders', 'null:customer_id', count(*) FILTER (o_custkey IS NULL) FROM orders

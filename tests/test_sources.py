@@ -51,3 +51,30 @@ def test_zoneless_timestamps_are_utc_instants(spark):
     first = shop.orders(spark, SMALL).orderBy("order_id").first()
     raw = spark.read.parquet(f"{SMALL}/orders.parquet").orderBy("o_orderkey").first()
     assert first["order_date"] == raw["o_orderdate"]
+
+
+def test_the_first_messages_of_a_long_topic(spark, tmp_path):
+    schema = "key binary, value binary, partition int, offset long, timestamp timestamp"
+    for i in range(12):
+        one = spark.range(10).selectExpr(
+            "cast(null as binary) key", f"cast(concat('[', id, ',{i}]') as binary) value", "0 partition", f"id + {10 * i} offset", "timestamp'2024-01-01' timestamp")
+        one.coalesce(1).write.mode("append").parquet(str(tmp_path / "topic"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "topic"))
+    head = topics.first_messages(stream, 13, str(tmp_path / "check"))
+    assert head.count() == 13
+    assert topics.peek(head, 5).count() == 5
+    assert len(list((tmp_path / "check" / "commits").glob("[0-9]*"))) < 12
+
+
+def test_key_checks_of_an_empty_table_and_one_scan(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from basketlens.operators import checks
+
+    parents = spark.createDataFrame([(1,), (2,)], "p long")
+    rows = [(1, 1, 5), (1, 1, 6), (2, None, 7), (3, 9, -1), (3, 9, 1)]
+    for data, expected in ((rows, {"negative": 1, "duplicate:k+p": 2, "null:p": 1, "orphan:p": 2}), ([], {})):
+        df = spark.createDataFrame(data, "k long, p long, v int")
+        report = checks.key_checks("t", df, {"key": ["k", "p"]}, {"p": parents}, {"negative": F.col("v") < 0})
+        got = {r.check_name: r.violations for r in report.collect()}
+        assert got == {"negative": 0, "duplicate:k+p": 0, "null:p": 0, "orphan:p": 0} | expected
