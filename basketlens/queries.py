@@ -336,7 +336,7 @@ def ingest_misfits(spark, sf):
 
 @query
 def cdc_order_events(spark, sf):
-    return changes.parse_orders(shop.order_changes(spark, sf)).select(
+    return changes.parse_orders(shop.order_log(spark, sf)).select(
         "order_id", "customer_id", "total_price", "status", "timestamp",
         F.col("__op").alias("op"), F.col("__lsn").alias("lsn"),
     )
@@ -362,7 +362,7 @@ def _unit_sales(items: DataFrame) -> DataFrame:
 @query
 def cdc_change_records(spark, sf):
     """The flattened log: how many records of each kind, and how far it reaches."""
-    records = changes.captured(changes.change_records(shop.order_changes(spark, sf), "orders"))
+    records = changes.captured(changes.change_records(shop.order_log(spark, sf), "orders"))
     return records.groupBy(
         F.col("__table").alias("table_name"), F.col("__op").alias("op"), F.col("__deleted").alias("deleted")
     ).agg(F.count(F.lit(1)).alias("records"), F.max("__lsn").alias("last_lsn"))
@@ -370,7 +370,7 @@ def cdc_change_records(spark, sf):
 
 @query
 def cdc_current_orders(spark, sf):
-    records = changes.change_records(shop.order_changes(spark, sf), "orders")
+    records = changes.change_records(shop.order_log(spark, sf), "orders")
     dated = records.filter(F.col("order_date").isNotNull() | F.col("__deleted"))
     state = changes.current_state(dated, ["order_id"])
     return state.select(
@@ -385,7 +385,7 @@ def cdc_merged_orders(spark, sf):
     columns = ["order_id", "customer_id", "status"]
     copy = shop.orders(spark, sf).filter(F.col("order_date") < _utc("2001-01-01"))
     pending = copy.withColumn("status", F.lit("pending")).select(columns)
-    records = changes.change_records(shop.order_changes(spark, sf), "orders")
+    records = changes.change_records(shop.order_log(spark, sf), "orders")
     since = records.filter(F.col("__deleted") | (F.col("order_date") >= "2000-06-01"))
     return changes.apply_changes(pending, since, ["order_id"])
 
@@ -393,7 +393,7 @@ def cdc_merged_orders(spark, sf):
 @query
 def cdc_new_orders(spark, sf):
     """Monthly order counts, by orders and by change events."""
-    events = changes.parse_orders(shop.order_changes(spark, sf))
+    events = changes.parse_orders(shop.order_log(spark, sf))
     return events.groupBy(F.date_trunc("month", "event_time").alias("order_month")).agg(
         F.count(F.lit(1)).alias("change_events"),
         F.count_if(F.col("__op").isin(*changes.CREATED)).alias("new_orders"),
@@ -527,12 +527,12 @@ def all_alerts(spark, sf):
 
 
 def _order_stream(spark: SparkSession, sf: str) -> DataFrame:
-    messages = shop.order_messages(shop.events_stream(spark, sf))
+    messages = shop.order_message_stream(spark, sf)
     return order_streams.timed(changes.parse_orders(messages), P)
 
 
 def _item_stream(spark: SparkSession, sf: str) -> DataFrame:
-    messages = shop.item_messages(shop.events_stream(spark, sf))
+    messages = shop.item_message_stream(spark, sf)
     return order_streams.timed(changes.parse_order_items(messages), P)
 
 
@@ -612,7 +612,7 @@ def stream_category_windows(spark, sf):
 @query
 def stream_deduplicated_orders(spark, sf):
     """Every order event arrives twice and is counted once."""
-    messages = shop.order_messages(shop.events_stream(spark, sf))
+    messages = shop.order_message_stream(spark, sf)
     twice = messages.select(F.explode(F.array("value", "value")).alias("value"))
     first = changes.first_event_per_key(changes.parse_orders(twice), "order_id", "event_time", "5 seconds")
     return _landed(spark, order_streams.window_revenue(first, P.revenue_window), "deduplicated")

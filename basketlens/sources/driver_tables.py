@@ -8,13 +8,14 @@ column could not be filtered in the scan; the status code for completed orders i
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions.exact import money
 from basketlens.params import Params
-from basketlens.session import pin_utc
+from basketlens.session import pin_utc, scratch
 from basketlens.sources.lake import read_table
 from basketlens.schemas import BIGINT, DOUBLE, INT, STRING, TIMESTAMP, schema_of
 
@@ -62,6 +63,35 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(pin_utc(spark), f"{sf_dir}/{name}.parquet", RAW[name])
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written_log(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> str:
+    """Folder of a change log made from the tables, written once per application: the logs stand for
+    what a broker would hold, so making them is no part of a query."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = scratch(spark, f"log-{name}")
+        make().write.parquet(path)
+        _written[key] = path
+    return _written[key]
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = written_log(spark, sf_dir, "order-changes", lambda: order_changes(spark, sf_dir))
+    return spark.read.schema("value STRING").parquet(path)
+
+
+def order_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = written_log(spark, sf_dir, "orders", lambda: order_messages(raw(spark, sf_dir, "events")))
+    return spark.readStream.schema("value STRING").parquet(path)
+
+
+def item_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = written_log(spark, sf_dir, "items", lambda: item_messages(raw(spark, sf_dir, "events")))
+    return spark.readStream.schema("value STRING, event_time TIMESTAMP").parquet(path)
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log as a stream of files. A pattern, because the table may be one file or a
     folder of files, and a stream takes a single file only by pattern. There is no limit of files
