@@ -8,8 +8,8 @@ its place from its rank among the pieces of its length.
 
 from __future__ import annotations
 
-import heapq
 import zlib
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,20 +41,26 @@ class Capacity:
         return length, 1, length * length
 
 
-def best_bin(open_bins, need, capacity, score: str):
+def best_bin(rooms: list[int], by_room: dict[int, set], need: tuple, capacity: tuple, score: str):
     """The residual to put a piece in, or None. ``norm``: the least squared norm of what is left,
     each resource as a share of its capacity. ``dot``: the least share of room left beside the
-    piece, weighted by what the piece needs."""
+    piece, weighted by what the piece needs.
+
+    Rooms in tokens rise, and tokens alone are part of either score: where that part reaches the
+    best score found, no larger room can be better.
+    """
+    share = [n / c for n, c in zip(need, capacity)]
     best = None
-    for left in open_bins:
-        if all(n <= r for n, r in zip(need, left)):
-            rest = [(r - n) / c for n, r, c in zip(need, left, capacity)]
-            value = (
-                sum(x * x for x in rest) if score == "norm"
-                else sum(x * n / c for x, n, c in zip(rest, need, capacity))
-            )
-            if best is None or (value, left) < best:
-                best = value, left
+    for room in rooms[bisect_left(rooms, need[0]) :]:
+        tokens = (room - need[0]) / capacity[0]
+        if best is not None and (tokens * tokens if score == "norm" else tokens * share[0]) > best[0]:
+            break
+        for left in by_room[room]:
+            if left[1] >= need[1] and left[2] >= need[2]:
+                rest = [(r - n) / c for n, r, c in zip(need, left, capacity)]
+                value = sum(x * x for x in rest) if score == "norm" else sum(x * y for x, y in zip(rest, share))
+                if best is None or (value, left) < best:
+                    best = value, left
     return best and best[1]
 
 
@@ -68,15 +74,21 @@ def plan(counts: dict[int, int], capacity: Capacity, score: str = "norm") -> lis
     total = capacity.vector
     classes: dict[tuple, list[tuple[int, int]]] = defaultdict(list)  # residual: (first sequence, number)
     by_room: dict[int, set] = defaultdict(set)  # room in tokens: residuals
-    rooms: list[int] = []
+    rooms: list[int] = []  # rooms with residuals, rising
     places, sequences = [], 0
 
     def add(left, first, number):
         if left[0] and left[1] and left[2]:
             classes[left].append((first, number))
-            if left not in by_room[left[0]]:
-                by_room[left[0]].add(left)
-                heapq.heappush(rooms, left[0])
+            if not by_room[left[0]]:
+                insort(rooms, left[0])
+            by_room[left[0]].add(left)
+
+    def remove(left):
+        del classes[left]
+        by_room[left[0]].discard(left)
+        if not by_room[left[0]]:
+            del rooms[bisect_left(rooms, left[0])]
 
     for length in sorted(counts, reverse=True):
         need = capacity.need(length)
@@ -84,12 +96,7 @@ def plan(counts: dict[int, int], capacity: Capacity, score: str = "norm") -> lis
             raise ValueError(f"a piece of {length} tokens exceeds the capacity of a sequence")
         rank, rest = 0, counts[length]
         while rest:
-            # The tightest rooms that hold the piece come first; a looser one cannot fit better
-            # in tokens, and the other resources choose among residuals of equal room.
-            left = None
-            for room in sorted(r for r, some in by_room.items() if some and r >= length):
-                if left := best_bin(by_room[room], need, total, score):
-                    break
+            left = best_bin(rooms, by_room, need, total, score)
             if left is None:
                 # New sequences take as many pieces of this length at once as still fit there.
                 fit = min(c // n for n, c in zip(need, total))
@@ -109,8 +116,7 @@ def plan(counts: dict[int, int], capacity: Capacity, score: str = "norm") -> lis
             if used < number:
                 runs.append((first + used, number - used))
             if not runs:
-                del classes[left]
-                by_room[left[0]].discard(left)
+                remove(left)
             places.append((length, rank, used, first, total[0] - left[0]))
             rank, rest = rank + used, rest - used
             add(tuple(r - n for n, r in zip(need, left)), first, used)
