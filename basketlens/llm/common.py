@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 
 from basketlens.session import scratch, staged
 
-__all__ = ["let", "scratch", "staged", "running_total", "text_slices", "require", "with_cast"]
+__all__ = ["let", "scratch", "staged", "running_total", "text_slices", "require", "with_changes", "columns_of"]
 _shipped: set[str] = set()
 
 
@@ -55,8 +55,26 @@ def require(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
-def with_cast(df: DataFrame, **types: str) -> DataFrame:
-    return df.withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
+def with_changes(docs: DataFrame, changes: DataFrame, small: bool) -> DataFrame:
+    """Every row as a struct ``doc``, with the row of ``changes`` for its doc_id and text hash, if there is
+    one, as ``change``. As structs, columns of either side cannot clash. ``small`` says that the
+    table of changes has been found small enough to broadcast; otherwise the join shuffles."""
+    left = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("doc"))
+    right = changes.select(F.struct("*").alias("change"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("change.doc_id")) & (F.xxhash64("doc.text") == F.col("change.text_hash"))
+    return left.join(F.broadcast(right) if small else right, same, "left")
+
+
+def columns_of(docs: DataFrame, text: Column | None = None, changed: Column | None = None) -> list[Column]:
+    """The columns of ``docs`` out of ``doc``, with ``text`` in place of the text and its length in
+    n_chars where ``changed``."""
+    new = {}
+    if text is not None:
+        new["text"] = F.when(changed, text).otherwise(F.col("doc.text"))
+        if "n_chars" in docs.columns:
+            kind = docs.schema["n_chars"].dataType
+            new["n_chars"] = F.when(changed, F.length(text).cast(kind)).otherwise(F.col("doc.n_chars"))
+    return [new.get(n, F.col(f"doc.`{n}`")).alias(n) for n in docs.columns]
 
 
 def running_total(df: DataFrame, order: str, value: str, into: str) -> DataFrame:

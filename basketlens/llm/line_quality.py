@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import let, require, staged
+from basketlens.llm.common import columns_of, let, require, staged, with_changes
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -161,30 +161,20 @@ def clean(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> D
     """
     verdicts = judged(docs, host, limits).where("NOT kept OR removed IS NOT NULL")
     changes = staged(
-        verdicts.select(
-            F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"),
-            F.col("kept").alias("_keep"), F.col("removed").alias("_lines"),
-        ).dropDuplicates(["_doc", "_text"]),
-        "line-changes",
-    )
-    if _bytes(changes) <= limits.broadcast_bytes:
-        changes = F.broadcast(changes)
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
+        verdicts.select("doc_id", "text_hash", "kept", "removed").dropDuplicates(["doc_id", "text_hash"]), "line-changes")
+    joined = with_changes(docs, changes, _bytes(changes) <= limits.broadcast_bytes)
     rest = F.array_join(
         F.filter(
-            F.split("text", "\n"),
-            lambda line: ~F.array_contains("_lines", F.xxhash64(normal_line(line))) | ~line.rlike(WORD),
+            F.split("doc.text", "\n"),
+            lambda line: ~F.array_contains("change.removed", F.xxhash64(normal_line(line))) | ~line.rlike(WORD),
         ),
         "\n",
     )
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(rest)
-    kept = docs.join(changes, same, "left").where(F.coalesce("_keep", F.lit(True))).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_lines").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return kept.select(*(F.col(f"`{n}`") for n in docs.columns))
+    kept = joined.where(F.coalesce("change.kept", F.lit(True)))
+    return kept.select(*columns_of(docs, rest, F.col("change.removed").isNotNull()))
 
 
 def _bytes(changes: DataFrame) -> int:
     """What the table of changes takes in memory, about."""
-    lines = F.when(F.col("_lines").isNull(), F.lit(0)).otherwise(F.size("_lines"))
+    lines = F.when(F.col("removed").isNull(), F.lit(0)).otherwise(F.size("removed"))
     return changes.agg(F.sum(F.lit(48) + 8 * lines)).first()[0] or 0

@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import require, staged
+from basketlens.llm.common import columns_of, require, staged, with_changes
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -179,15 +179,11 @@ def mixed(docs: DataFrame, labels: DataFrame, mix: Mix = Mix(), repeat: bool = F
     """``docs`` at their rates: rows without copies go, and with ``repeat`` rows come as often as they
     have copies. Changes are found by (doc_id, text hash) and broadcast up to
     ``mix.broadcast_rows`` rows; beyond that the join shuffles."""
-    changed = rates(docs, labels, mix).where("copies <> 1" if repeat else "copies < 1")
-    changed = staged(
-        changed.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), F.col("copies").alias("_copies"))
-        .dropDuplicates(["_doc", "_text"]), "mixing-changes")
-    if changed.count() <= mix.broadcast_rows:
-        changed = F.broadcast(changed)
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.xxhash64("text").eqNullSafe(F.col("_text"))
-    if not repeat:
-        return docs.join(changed, same, "left_anti")
-    joined = docs.join(changed, same, "left").where(F.coalesce("_copies", F.lit(1)) > 0)
-    times = F.sequence(F.lit(1), F.coalesce("_copies", F.lit(1)))
-    return joined.withColumn("_time", F.explode(times)).select(*(F.col(f"`{n}`") for n in docs.columns))
+    changes = rates(docs, labels, mix).where("copies <> 1" if repeat else "copies < 1")
+    changes = staged(changes.select("doc_id", "text_hash", "copies").dropDuplicates(["doc_id", "text_hash"]), "mixing-changes")
+    joined = with_changes(docs, changes, changes.count() <= mix.broadcast_rows)
+    copies = F.coalesce("change.copies", F.lit(1))
+    kept = joined.where(copies > 0)
+    if repeat:
+        kept = kept.withColumn("time", F.explode(F.sequence(F.lit(1), copies)))
+    return kept.select(*columns_of(docs))

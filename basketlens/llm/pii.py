@@ -19,8 +19,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from basketlens.llm.common import let, require, staged
+from basketlens.llm.common import columns_of, let, require, staged, with_changes
 
 # The base kinds in their order. A match may only begin where a run of its first
 # characters begins, or where the last match ended, and runs are not given back: both leave the
@@ -162,9 +163,23 @@ def _share(match: Column, of: str) -> Column:
     return F.length(F.regexp_replace(match, f"[^{of}]", "")) / F.length(match)
 
 
+def _with_overlap(spans: DataFrame) -> DataFrame:
+    """One row per proposed span, with whether it overlaps a base span (``on_base``). Base spans come as
+    rows beside the proposed ones, so that a text with very many of both costs their sum."""
+    some = spans.where(F.size("proposed") > 0)
+    proposed = some.select("row", "doc_id", F.explode("proposed").alias("c")).select("row", "doc_id", "c.*", F.lit(False).alias("is_base"))
+    base = some.select("row", F.explode("base").alias("b")).select("row", "b.start", "b.end", F.lit(True).alias("is_base"))
+    both = proposed.unionByName(base, allowMissingColumns=True)
+    by_place = W.partitionBy("row").orderBy("start", "end")
+    reached = F.max(F.when(F.col("is_base"), F.col("end"))).over(by_place.rowsBetween(W.unboundedPreceding, -1))
+    follows = F.min(F.when(F.col("is_base"), F.col("start"))).over(by_place.rowsBetween(1, W.unboundedFollowing))
+    overlap = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(follows < F.col("end"), F.lit(False))
+    return both.withColumn("on_base", overlap).where(~F.col("is_base")).drop("is_base")
+
+
 def candidates(spans: DataFrame) -> DataFrame:
     """One row per proposed span with its features, and what a strict form says of it (``proved``)."""
-    each = spans.select("row", "doc_id", "base", F.explode("proposed").alias("c")).select("row", "doc_id", "base", "c.*")
+    each = _with_overlap(spans)
     number = digits(F.col("match"))
     numeric = {
         "length": F.least(F.length("match"), F.lit(200)),
@@ -191,11 +206,10 @@ def candidates(spans: DataFrame) -> DataFrame:
         "is_secret": (F.col("kind") == "secret").cast("int"),
         "is_number": (F.col("kind") == "number").cast("int"),
     }
-    on_base = F.exists("base", lambda b: (b.start < F.col("end")) & (F.col("start") < b.end))
     strict = F.col("match").rlike("^AKIA[0-9A-Z]{16}$") | (
         (F.col("kind") == "secret") & F.col("before").rlike(SECRET_WORD) & (F.length("match") >= 16))
     features = VectorAssembler(inputCols=list(numeric), outputCol="features")
-    rows = each.withColumns({"on_base": on_base, "proved": (on_base | strict).cast("double")})
+    rows = each.withColumn("proved", (F.col("on_base") | strict).cast("double"))
     rows = rows.withColumns({name: value.cast("double") for name, value in numeric.items()})
     return features.transform(rows).select("row", "doc_id", "kind", "start", "end", "match", "on_base", "proved", "features")
 
@@ -269,15 +283,9 @@ def redacted(docs: DataFrame, training: Training = Training()) -> DataFrame:
     by the first. Rows are found by (doc_id, text hash); the table of changes is broadcast up to
     ``training.broadcast_rows`` rows, and joined by a shuffle beyond."""
     found = personal_data(docs, training).where(F.size("spans") > 0)
-    changes = staged(
-        found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), F.col("spans").alias("_spans"))
-        .dropDuplicates(["_doc", "_text"]),
-        "pii-changes",
-    )
-    if changes.count() <= training.broadcast_rows:
-        changes = F.broadcast(changes)
+    changes = staged(found.select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"]), "pii-changes")
+    joined = with_changes(docs, changes, changes.count() <= training.broadcast_rows)
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
 
     def replaced(text: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -292,10 +300,7 @@ def redacted(docs: DataFrame, training: Training = Training()) -> DataFrame:
         def rest(a: Column) -> Column:
             return F.array_join(F.array_append(a.parts, F.substring(text, a.at + 1, F.length(text))), "")
 
-        return F.aggregate("_spans", start, step, rest)
+        return F.aggregate("change.spans", start, step, rest)
 
-    joined = docs.join(changes, same, "left")
-    out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(F.col("text"), replaced)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*(F.col(f"`{n}`") for n in docs.columns))
+    changed = F.col("change.spans").isNotNull()
+    return joined.select(*columns_of(docs, let(F.col("doc.text"), replaced), changed))

@@ -58,3 +58,26 @@ def test_run_is_the_stages_in_turn(spark):
         docs = written(spark, stage(spark, docs, SMALL))
     digest = lambda found: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found)
     assert digest(rows) == digest(docs.collect())
+
+
+ODD = (
+    "doc_id long, text string, lang string, source string, n_chars long, change string, doc string, copy long, "
+    "text_hash string, row int, lines string, p_clean double, length int, kept boolean"
+)
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark):
+    extra = ("c", "d", 7, "t", 1, "l", 0.5, 3, True)
+    long = " ".join(f"word{i} x@y.zz" for i in range(9000))
+    texts = [None, "", " \n", "short", "short", long, long + " more", "ñé " * 80, "one 1.2.3.4 two"] + [f"plain text number {i} " * 20 for i in range(3)]
+    rows = [(i, t, "en", "s", len(t or ""), *extra) for i, t in enumerate(texts)]
+    rows += [(None, "without an id " * 30, None, None, None, *(None,) * 9), (5, long, "en", "s", len(long), *extra)]
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, ODD)
+        for name, stage in corpus_pipeline.STAGES:
+            one = stage(spark, docs, SMALL)
+            if name != "best_fit_packing":
+                assert one.columns == docs.columns and one.schema.simpleString() == docs.schema.simpleString()
+            assert one.count() <= (len(data) if name != "best_fit_packing" else 10**6)
+            if name == "ngram_jaccard" and data:
+                assert sorted((r.doc_id for r in one.collect()), key=str) == sorted([0, 1, 2, 3, 5, 5, 7, 8, 9, 10, 11, None], key=str)
