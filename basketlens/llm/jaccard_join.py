@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from basketlens.llm.common import fields_of, map_arrow, require, ship, staged
+from basketlens.llm.common import columns_of, fields_of, map_arrow, require, ship, staged
 from basketlens.llm.components import connected_components
 from basketlens.llm.shingles import BASE, WordHashes, mix, shingle_sets
 
@@ -485,6 +485,9 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     least = whole.groupBy("component").agg(F.min("first").alias("least"))
     known = whole.join(least, "component").select("s1", "s2", "least")
     whole = first.join(known, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"))
+    # Written, so that both sides of the last join are plain shuffles: a set that very many rows
+    # have can then be split over tasks.
+    whole = staged(whole, "classes")
     return (
         named.join(whole, ["s1", "s2"], "left")
         .select("doc_id", "n_shingles",
@@ -494,7 +497,9 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest doc_id."""
-    found = staged(components(docs, settings).where("doc_id <> component_id").select(F.col("doc_id").alias("_doc")).distinct(), "copies")
+    found = components(docs, settings).where("doc_id <> component_id").select(F.col("doc_id").alias("copy")).distinct()
+    found = staged(found, "copies")
     if found.count() <= settings.broadcast_rows:
         found = F.broadcast(found)
-    return docs.join(found, F.col("doc_id") == F.col("_doc"), "left_anti")
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("doc"))
+    return rows.join(found, F.col("doc.doc_id") == F.col("copy"), "left_anti").select(*columns_of(docs))
