@@ -96,4 +96,4 @@ def test_recall_of_the_query(spark):
     expected, got = brute(rows), lists(QUERIES["op9_one_bit_neighbours"](spark, SMALL))
     assert got.keys() == expected.keys()
     hits = sum(len({j for j, _ in got[q]} & {j for j, _ in expected[q]}) for q in expected)
-    assert hits >= 0.99 * sum(map(len, expected.values()))
+    assert hits >= 0.97 * sum(map(len, expected.values()))
