@@ -16,10 +16,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import require
+from basketlens.llm.common import require, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCK = "=block"  # the label's token; no url token begins with this sign
 
 
 @dataclass(frozen=True)
@@ -101,23 +100,38 @@ def mined(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -> Dat
         return nothing
     least = max(mining.support, mining.share * total)
     each = rows.select("row", "bad", F.explode("tokens").alias("token"))
-    often = each.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad_n")).where(F.col("n") >= least)
+    counts = each.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad_n"), F.bit_xor(F.xxhash64("row")).alias("pages"))
+    # Tokens of the very same pages say the same; the shortest stands for them.
+    often = counts.where((F.col("n") >= least) & (F.col("bad_n") > 0)).groupBy("n", "bad_n", "pages").agg(
+        F.min_by("token", F.struct(F.length("token"), "token")).alias("token"))
     # Tokens that lean towards block come first; the bound per page keeps itemsets few.
     often = often.withColumn("lean", F.col("bad_n") / F.col("n"))
-    kept = each.join(often, "token").groupBy("row").agg(
-        F.max("bad").alias("bad"), F.slice(F.sort_array(F.collect_list(F.struct("lean", "token")), asc=False), 1, mining.tokens).alias("some"))
-    items = F.concat(F.col("some.token"), F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>")))
-    baskets = kept.select(items.alias("items"))
-    base = n_bad / total
-    growth = FPGrowth(itemsCol="items", minSupport=min(1.0, least * mining.confidence / total), minConfidence=max(mining.confidence, mining.lift * base) if mining.lift * base <= 1 else 1.0)
-    found = growth.fit(baskets).associationRules.where(F.array_contains("consequent", BLOCK)).select(
-        F.sort_array("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * total / F.col("confidence")).cast("long").alias("matched"))
-    # Token counts are over labelled pages; the bound on rules bounds what is broadcast.
-    surest = found.where(F.col("matched") >= least).orderBy(F.desc("confidence"), F.desc("matched"), F.size("tokens"), "tokens").limit(mining.rules)
-    surest = surest.withColumn("id", F.xxhash64("tokens"))
-    named = surest.select("id", F.explode("tokens").alias("token")).join(often.select("token", "n"), "token")
+    kept = staged(each.join(often, "token").groupBy("row").agg(
+        F.max("bad").alias("bad"),
+        F.slice(F.sort_array(F.collect_list(F.struct("lean", "token")), asc=False), 1, mining.tokens)["token"].alias("has"),
+        F.collect_list(F.col("token")).alias("tokens"),
+    ), "url-tokens")
+    # Itemsets of pages to block; how many other pages have them is counted afterwards.
+    baskets = kept.where("bad").select(F.col("has").alias("items"))
+    growth = FPGrowth(itemsCol="items", minSupport=min(1.0, least * mining.confidence / n_bad), minConfidence=1.0)
+    sets = growth.fit(baskets).freqItemsets.select(F.sort_array("items").alias("tokens"), F.col("freq").alias("hits"))
+    sets = sets.withColumn("id", F.xxhash64("tokens"))
+    named = sets.select("id", F.explode("tokens").alias("token")).join(often.select("token", "n"), "token")
     rarest = named.groupBy("id").agg(F.min_by("token", F.struct("n", "token")).alias("rarest"))
-    rules = surest.join(rarest, "id")
+    sets = staged(sets.join(rarest, "id"), "url-itemsets")
+    pages_of = kept.select(F.col("tokens").alias("has"), F.explode("tokens").alias("token"))
+    matched = (
+        sets.select("id", "tokens", "rarest").join(pages_of, F.col("token") == F.col("rarest"))
+        .where(F.size(F.array_except("tokens", "has")) == 0).groupBy("id").agg(F.count("*").alias("matched"))
+    )
+    sure = F.col("confidence") >= max(mining.confidence, mining.lift * n_bad / total)
+    surest = (
+        sets.join(matched, "id").withColumn("confidence", F.col("hits") / F.col("matched"))
+        .where((F.col("matched") >= least) & sure)
+        .orderBy(F.desc("confidence"), F.desc("matched"), F.size("tokens"), "tokens").limit(mining.rules)
+    )
+    rules = staged(surest.select("id", "tokens", "rarest", "matched", "confidence"), "url-rules")
     # A rule is left out if one with some of its tokens is as sure.
     shorter = rules.select(F.col("tokens").alias("less"), F.col("rarest").alias("its_rarest"), F.col("confidence").alias("as_sure"))
     tokens = rules.select("id", "tokens", "confidence", F.explode("tokens").alias("one"))
