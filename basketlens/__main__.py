@@ -10,12 +10,14 @@ import sys
 
 from basketlens import jobs
 from basketlens.params import Params
-from basketlens.plans import ingest
+from basketlens.plans import ingest, products, recommend
 from basketlens.schemas import PRIMARY_KEYS, TABLES, topic
 from basketlens.session import build_session, scratch
 from basketlens.sinks.delivery import http_sender
+from basketlens.sinks.marts import write_mart
 from basketlens.sources import topics
 from basketlens.sources.database import Database, read_snapshot
+from basketlens.sources.lake import read_tables
 from basketlens.streaming import apps
 
 
@@ -41,6 +43,12 @@ def arguments() -> argparse.ArgumentParser:
     snapshot.add_argument("--partitions", type=int, default=16)
     snapshot.add_argument("--allow-misfits", action="store_true", help="make values null that their type cannot hold")
 
+    recommend_ = commands.add_parser("recommend", help="recommend products to the customers of the last days")
+    recommend_.add_argument("--source", required=True)
+    recommend_.add_argument("--destination", required=True)
+    recommend_.add_argument("--model", required=True, help="folder of the model")
+    recommend_.add_argument("--reuse", action="store_true", help="use the model that is there instead of training one")
+
     stream = commands.add_parser("stream", help="run a stream application")
     stream.add_argument("app", choices=["revenue", "top-products", "alerts", "land-orders"])
     stream.add_argument("--servers", required=True)
@@ -102,6 +110,21 @@ def run_snapshot(options: argparse.Namespace) -> int:
     return 1 if any(r.status == "FAILED" for r in results) else 0
 
 
+def run_recommend(options: argparse.Namespace) -> int:
+    spark = build_session("basketlens-recommend")
+    p = params_of(options)
+    tables = read_tables(spark, options.source, ("orders", "order_items"))
+    if options.reuse:
+        model = recommend.load(options.model)
+    else:
+        model = recommend.train(products.interaction_score(tables["orders"], tables["order_items"]), p)
+        recommend.save(model, options.model)
+    served = recommend.active_customers(tables["orders"], p)
+    rows = write_mart(recommend.recommend(model, served, p), f"{options.destination}/recommendations")
+    print(f"recommendations: {rows} rows")
+    return 0
+
+
 def run_stream(options: argparse.Namespace) -> int:
     # A folder that changed with every start would lose what the checkpoint counts as done.
     if options.path is None and (options.app == "land-orders" or options.webhook):
@@ -144,7 +167,9 @@ def run_peek(options: argparse.Namespace) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     options = arguments().parse_args(argv)
-    commands = {"batch": run_batch, "snapshot": run_snapshot, "stream": run_stream, "peek": run_peek}
+    commands = {
+        "batch": run_batch, "snapshot": run_snapshot, "recommend": run_recommend, "stream": run_stream, "peek": run_peek,
+    }
     return commands[options.command](options)
 
 

@@ -181,3 +181,46 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(FakeSession("yarn"))
     assert session.scratch(spark, "x") != session.scratch(spark, "x")
+
+
+def test_a_snapshot_of_all_tables_serves_every_job(spark, tmp_path):
+    """The tables that the command line takes by default are those that the jobs need."""
+    from basketlens import __main__ as cli
+    from basketlens.plans import ingest
+    from basketlens.schemas import REQUIRED_COLUMNS, TABLES
+
+    names = cli.arguments().parse_args(["snapshot", "--url", "u", "--destination", "d"]).tables.split(",")
+    assert {t for tables in REQUIRED_COLUMNS.values() for t in tables} <= set(names)
+    tables = shop.shop(spark, SMALL)
+    readers = {n: (lambda n=n: tables.get(n)) for n in names}
+    results = ingest.snapshot_tables(readers, TABLES, str(tmp_path / "lake"), allow_misfits=True)
+    assert {r.table_name for r in results if r.status == "SUCCESS"} == set(tables)
+    report = jobs.run_from_lake(spark, jobs.FEATURES, str(tmp_path / "lake"), str(tmp_path / "marts"), P)
+    assert report.status == "SUCCESS", report.error_message
+
+
+def test_recommendations_from_the_lake(spark, tmp_path, monkeypatch):
+    from basketlens import __main__ as cli
+    from basketlens.sinks.marts import write_mart
+
+    monkeypatch.setattr(cli, "build_session", lambda app: spark)
+    for name in ("orders", "order_items"):
+        write_mart(shop.shop(spark, SMALL)[name], f"{tmp_path}/lake/{name}")
+    for more in ([], ["--reuse"]):
+        cli.main(["--as-of", "2001-08-01", "--set", "recommendations=3", "--set", "als_iterations=2", "recommend", "--source", f"{tmp_path}/lake",
+                  "--destination", f"{tmp_path}/marts", "--model", f"{tmp_path}/model", *more])
+        written = lake.read_marts(spark, f"{tmp_path}/marts", ["recommendations"])["recommendations"]
+        assert written.count() and written.filter("rank > 3").isEmpty()
+
+
+def test_unknown_settings_and_missing_folders_are_refused():
+    from basketlens import __main__ as cli
+
+    for arguments in (["--set", "no_such=1", "batch", "feature_ml", "--source", "s", "--destination", "d"],):
+        with pytest.raises(SystemExit):
+            cli.params_of(cli.arguments().parse_args(arguments))
+    stream = ["stream", "land-orders", "--servers", "s", "--checkpoint", "c"]
+    with pytest.raises(SystemExit):
+        cli.run_stream(cli.arguments().parse_args(stream))
+    options = cli.arguments().parse_args(["--set", "revenue_window=1 minute", "--set", "alert_orders=9", *stream])
+    assert (cli.params_of(options).revenue_window, cli.params_of(options).alert_orders) == ("1 minute", 9)
