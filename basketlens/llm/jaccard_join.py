@@ -146,7 +146,7 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> np.ndarray:
                     seen.add(name)
                     held.append(one >> np.uint64(64 - bits))
                     size += len(one)
-                    if size >= 2_000_000:
+                    if size >= 1_200_000:
                         yield send()
                         held, size = [], 0
         if held:
@@ -245,7 +245,7 @@ def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) ->
                 nodes.append(name[0])
                 sizes.append(len(one))
                 held += len(firsts[-1])
-                if held >= 1_000_000:
+                if held >= 600_000:
                     yield from send()
                     firsts, nodes, sizes, held = [], [], [], 0
         if firsts:

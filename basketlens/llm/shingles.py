@@ -48,7 +48,7 @@ class WordHashes:
         return words, np.searchsorted(starts, offsets)
 
 
-def shingle_sets(texts: pa.Array, words: WordHashes, size: int, most_bytes: int = 2 << 20) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, words: WordHashes, size: int, most_bytes: int = 1 << 20) -> Iterator[np.ndarray]:
     """Per text its distinct shingles of ``size`` words, sorted; a shorter text is one shingle, one
     without words or null is empty. Some texts are hashed together, at most ``most_bytes`` or one."""
     texts = texts.cast(pa.large_string())
