@@ -277,7 +277,11 @@ def candidate_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
         .where(F.col("n") >= needed).select("node", "size")
     )
     likely = staged(likely, "likely")
-    ties = edges.where("node <> to").join(likely.select("node"), "node", "left_semi")
+    # A lead that is not likely itself still stands for likely sets of its task, so its own ties, to
+    # the first nodes of the shingles it was sent for, tie those sets as well.
+    own = edges.where("node <> to").join(likely.select("node"), "node", "left_semi")
+    leads = own.select(F.col("to").alias("node")).distinct().join(likely.select("node"), "node", "left_anti")
+    ties = own.union(edges.where("node <> to").join(leads, "node", "left_semi").select(*own.columns))
     labels = connected_components(ties.select(F.col("node").alias("a"), F.col("to").alias("b")))
     blocks = likely.join(labels, "node").select("node", F.col("component").alias("block"), "size")
     large = blocks.groupBy("block").agg(F.count("*").alias("sets"), F.sum("size").alias("total")).where("sets > 1")

@@ -73,6 +73,20 @@ def test_components_of_all_links(spark, settings):
     assert sorted(tuple(r) for r in join.components(frame(spark, rows), settings).collect()) == brute(rows)
 
 
+def test_links_across_tasks_by_way_of_long_documents(spark):
+    """Two near copies in different tasks; in the task of one of them a long document quotes both."""
+    r = random.Random(3)
+    word = lambda: f"v{r.randrange(10**9)}"
+    here, there = [], []
+    for i in range(60):
+        base = [word() for _ in range(60)]
+        here += [(4 * i, " ".join(base)), (4 * i + 1, " ".join([*base, *(word() for _ in range(1000))]))]
+        there += [(4 * i + 2, " ".join([*base[:-1], word()])), (4 * i + 3, word())]
+    dealt = spark.sparkContext.parallelize(here + there, 2)  # two tasks of equally many rows
+    docs = spark.createDataFrame(dealt, "doc_id long, text string")
+    assert sorted(tuple(r) for r in join.components(docs).collect()) == brute(here + there)
+
+
 def test_no_documents(spark):
     assert join.components(frame(spark, [])).count() == 0
     assert join.components(frame(spark, [(1, None), (2, "")])).count() == 2
