@@ -10,10 +10,12 @@ that differ are never taken for each other.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import cache
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -23,10 +25,11 @@ from pyspark.sql import functions as F
 from basketlens.llm.common import fields_of, map_arrow, require
 from basketlens.llm.license_templates import TEMPLATES
 
+# Words of one wording may be on two lines.
 SPEAKS = (
     r"(?i)licen[sc]e|copyright|rights reserved|redistribut|public domain|creative commons|\bcc[- ](?:by|0)\b|"
     r"free of charge|free software|gnu general public|warrant(?:y|ies)|permission (?:is|to)"
-)
+).replace("[- ]", "[-@]").replace(" ", r"[\x20\x09-\x0D]+").replace("@", r"\x20\x09-\x0D")
 SPEAKS_RE = re.compile(SPEAKS)
 SEGMENT = re.compile(r"[^\n]+?(?:[.!?;:](?=\s)|(?=\n)|\Z)")
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -34,7 +37,8 @@ WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 @dataclass(frozen=True)
 class Settings:
-    """``gap``: segments between two that speak of licences, within one block. ``ranked``: templates
+    """``gap``: segments between two that speak of licences, within one block; wrapped wordings are
+    also looked for by ``reach``, in words. ``ranked``: templates
     compared word by word. ``differing``: words that may differ, as a share of a template's words."""
 
     gap: int = 2
@@ -82,8 +86,10 @@ def words_of(text: str) -> tuple[str, ...]:
 def blocks(text: str, gap: int, near: int = 600) -> Iterator[tuple[int, int]]:
     """Places of blocks: segments that speak of licences, with at most ``gap`` others between two, and
     as many before and after, of at most ``near`` characters, which may belong to the wording."""
-    spans = [(m.start(), m.end(), bool(SPEAKS_RE.search(m[0]))) for m in SEGMENT.finditer(text)]
-    speaking = [i for i, s in enumerate(spans) if s[2]]
+    spans = [m.span() for m in SEGMENT.finditer(text)]
+    begins = [a for a, _ in spans]
+    speaking = sorted({i for m in SPEAKS_RE.finditer(text) for i in range(
+        max(0, bisect_right(begins, m.start()) - 1), bisect_right(begins, m.end() - 1))})
     while speaking:
         last = next((k for k in range(1, len(speaking)) if speaking[k] - speaking[k - 1] > gap + 1), len(speaking))
         first, end = speaking[0], speaking[last - 1]
@@ -96,6 +102,37 @@ def blocks(text: str, gap: int, near: int = 600) -> Iterator[tuple[int, int]]:
         yield spans[first][0], spans[end][1]
 
 
+@cache
+def reach(differing: float) -> int:
+    """The most words in a row of a template, of which some may differ, without a key word."""
+    most = 0
+    for text in (normal(t) for texts in TEMPLATES.values() for t in texts):
+        places = [0, *(p for m in SPEAKS_RE.finditer(text) for p in m.span()), len(text)]
+        most = max(most, *(len(WORD.findall(text[a:z])) for a, z in zip(places[::2], places[1::2])))
+    return int((1 + differing) * most) + 2
+
+
+def wide_blocks(text: str, words: int) -> Iterator[tuple[int, int]]:
+    """Places of key words with at most ``words`` others between two, and as many before and after,
+    however they are dealt out over lines."""
+    held: tuple[int, int] | None = None
+
+    def widened(begin: int, end: int) -> tuple[int, int]:
+        before = [m.start() for m in WORD.finditer(text, max(0, begin - 60 * words), begin)][-words:]
+        after = [m.end() for m in islice(WORD.finditer(text, end, end + 60 * words), words)]
+        return (before or [begin])[0], (after or [end])[-1]
+
+    for m in SPEAKS_RE.finditer(text):
+        if held and sum(1 for _ in islice(WORD.finditer(text, held[1], m.start()), words + 1)) <= words:
+            held = held[0], m.end()
+        else:
+            if held:
+                yield widened(*held)
+            held = m.span()
+    if held:
+        yield widened(*held)
+
+
 def saved(block: str, level: int = 12) -> list[tuple[float, int, int]]:
     """(share, bytes saved, template) by falling share. The share sets the bytes that a template
     saves against those it saves on its own wording, or on the whole block if that is shorter."""
@@ -171,6 +208,19 @@ def judge(text: str, begin: int, end: int, settings: Settings) -> list[Found]:
     return sorted(out, key=lambda f: f.start) or ([best_left] if best_left else [])
 
 
+def notices(text: str, settings: Settings = Settings()) -> list[Found]:
+    """Notices confirmed in wide blocks, and what blocks of segments give besides."""
+    spans = list(blocks(text, settings.gap))
+    whole: list[Found] = []
+    for begin, end in wide_blocks(text, reach(settings.differing)):
+        if not any(a <= begin and end <= z for a, z in spans):
+            whole += [f for f in judge(text, begin, end, settings) if f.confirmed]
+    whole = [f for i, f in enumerate(whole) if all(f.start >= o.end or o.start >= f.end for o in whole[:i])]
+    other = [f for a, z in spans for f in judge(text, a, z, settings)]
+    other = [f for f in other if all(f.start >= o.end or o.start >= f.end for o in whole)]
+    return sorted(whole + other, key=lambda f: f.start)
+
+
 ROWS = (
     "doc_id long, start int, end int, license string, saved_bytes int, saved_share double, differing int, "
     "template_words int, wording string, confirmed boolean"
@@ -191,8 +241,7 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for begin, end in blocks(text, settings.gap):
-                    rows += [(doc_id, *vars(f).values()) for f in judge(text, begin, end, settings)]
+                rows += [(doc_id, *vars(f).values()) for f in notices(text, settings)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 
 import pytest
 from hypothesis import given, settings
@@ -33,6 +34,26 @@ def test_every_template_finds_itself(name, text):
     assert body[got[0].start : got[0].end] in text
 
 
+@pytest.mark.parametrize("name,text", [(n, t) for n, texts in TEMPLATES.items() for t in texts])
+def test_every_template_is_found_when_wrapped(name, text):
+    for width in range(40, 81):
+        body = "some words before it\n" + textwrap.fill(text, width, break_on_hyphens=False, break_long_words=False) + "\nand some words after it"
+        got = [f for f in licenses.notices(body) if f.confirmed]
+        assert [(f.license, f.differing) for f in got] == [(name, 0)], width
+
+
+def test_the_unlicense_as_published():
+    text = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors"""
+    assert [f.license for f in licenses.notices(text) if f.confirmed] == ["Unlicense"]
+
+
 def test_versions_are_told_apart():
     assert [f.license for f in found("This work is licensed under the GNU General Public License, version 2.")] == ["GPL-2.0"]
     assert [f.license for f in found("Licensed under CC BY-NC 4.0.")] == ["CC-BY-NC-4.0"]
