@@ -24,9 +24,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @dataclass(frozen=True)
 class Mining:
     """``rows``: labelled pages learned from at most, those with the smallest hashes, and
-    ``tokens``: per such page, its most frequent ones; both bound the itemsets. ``support``: pages
-    that a rule must have matched, as a number and as a share. ``rules``: kept at most, the surest;
-    they are broadcast."""
+    ``tokens``: per such page, those that lean most, of which itemsets are made; both bound the
+    itemsets. Pages matched and confidence are counted over all tokens. ``support``: pages
+    that a rule must have matched, as a number and as a share. ``rules``: broadcast up to so many,
+    beyond that joined by a shuffle."""
 
     rows: int = 200_000
     tokens: int = 12
@@ -115,24 +116,29 @@ def mined(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -> Dat
     # Itemsets of pages to block; how many other pages have them is counted afterwards.
     baskets = kept.where("bad").select(F.col("has").alias("items"))
     growth = FPGrowth(itemsCol="items", minSupport=min(1.0, least * mining.confidence / n_bad), minConfidence=1.0)
-    sets = growth.fit(baskets).freqItemsets.select(F.sort_array("items").alias("tokens"), F.col("freq").alias("hits"))
+    sets = growth.fit(baskets).freqItemsets.select(F.sort_array("items").alias("tokens"))
     sets = sets.withColumn("id", F.xxhash64("tokens"))
     named = sets.select("id", F.explode("tokens").alias("token")).join(often.select("token", "n"), "token")
     rarest = named.groupBy("id").agg(F.min_by("token", F.struct("n", "token")).alias("rarest"))
     sets = staged(sets.join(rarest, "id"), "url-itemsets")
-    pages_of = kept.select(F.col("tokens").alias("has"), F.explode("tokens").alias("token"))
+    pages_of = kept.select("bad", F.col("tokens").alias("has"), F.explode("tokens").alias("token"))
     matched = (
         sets.select("id", "tokens", "rarest").join(pages_of, F.col("token") == F.col("rarest"))
-        .where(F.size(F.array_except("tokens", "has")) == 0).groupBy("id").agg(F.count("*").alias("matched"))
+        .where(F.size(F.array_except("tokens", "has")) == 0).groupBy("id").agg(
+            F.count("*").alias("matched"), F.sum(F.col("bad").cast("long")).alias("hits"))
     )
     sure = F.col("confidence") >= max(mining.confidence, mining.lift * n_bad / total)
     surest = (
         sets.join(matched, "id").withColumn("confidence", F.col("hits") / F.col("matched"))
         .where((F.col("matched") >= least) & sure)
-        .orderBy(F.desc("confidence"), F.desc("matched"), F.size("tokens"), "tokens").limit(mining.rules)
     )
-    rules = staged(surest.select("id", "tokens", "rarest", "matched", "confidence"), "url-rules")
-    # A rule is left out if one with some of its tokens is as sure.
+    surest = staged(surest.select("id", "tokens", "rarest", "matched", "confidence"), "url-rules")
+    # A rule is left out if one with some of its tokens is as sure. Most are by a single token, which
+    # is looked at first: what covers a covered rule is covered by that token too.
+    single = surest.where(F.size("tokens") == 1).select(F.col("rarest").alias("one"), F.col("confidence").alias("as_sure"))
+    by_one = surest.where(F.size("tokens") > 1).select("id", "confidence", F.explode("tokens").alias("one")).join(single, "one")
+    by_one = by_one.where(F.col("as_sure") >= F.col("confidence")).select("id").distinct()
+    rules = staged(surest.join(by_one, "id", "left_anti"), "url-rules")
     shorter = rules.select(F.col("tokens").alias("less"), F.col("rarest").alias("its_rarest"), F.col("confidence").alias("as_sure"))
     tokens = rules.select("id", "tokens", "confidence", F.explode("tokens").alias("one"))
     covered = tokens.join(shorter, F.col("one") == F.col("its_rarest")).where(
@@ -150,15 +156,17 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], mined_rules: DataFram
     url = F.col("url")
     rows = require(pages, "page_id", "url").withColumns({"host": host_of(url), "path": path_of(url)})
     rows = rows.withColumn("listed", listed(F.col("host"), F.col("path"), rules))
-    index = mined_rules.orderBy(F.desc("confidence"), F.desc("matched"), "tokens").limit(mining.rules)
+    index = staged(mined_rules, "url-index")
+    if index.count() <= mining.rules:
+        index = F.broadcast(index)
     open_tokens = F.when(F.col("listed").isNull(), tokens_of(url, F.col("host"), F.col("path"))).otherwise(F.array().cast("array<string>"))
     looked = (
         rows.withColumn("row", F.monotonically_increasing_id()).withColumn("has", open_tokens)
         .withColumn("token", F.explode_outer("has"))
-        .join(F.broadcast(index), F.col("token") == F.col("rarest"), "left")
+        .join(index, F.col("token") == F.col("rarest"), "left")
         .withColumn("hit", F.when(F.size(F.array_except("tokens", "has")) == 0, F.struct("confidence", "matched", "tokens")))
     )
-    # The tokens of a row are in one task, so they are one row again before the shuffle.
+    # With a broadcast index the tokens of a row are in one task and one row again before the shuffle.
     one = looked.groupBy("row").agg(
         *(F.first(c).alias(c) for c in ("page_id", "url", "host", "path", "listed")), F.max("hit").alias("hit"))
     verdict = F.coalesce(F.col("listed.verdict"), F.when(F.col("hit").isNotNull(), F.lit("block")), F.lit("allow"))

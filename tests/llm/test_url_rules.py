@@ -99,6 +99,37 @@ def test_mined_rules_are_those_of_all_itemsets(spark):
         assert verdicts[i].verdict == ("block" if not listed and any(s <= has[i] for s in short) else "allow")
 
 
+def test_no_rule_is_lost_or_unsure_by_a_bound(spark):
+    """Hosts with very many sure itemsets, a smaller host, and pages of many tokens, with the settings of the query."""
+    r = random.Random(4)
+    rows, bad = [], []
+
+    def add(url, is_bad):
+        rows.append((len(rows), url))
+        bad.append(int(is_bad))
+
+    for h in range(4):
+        for _ in range(60):
+            add(f"http://h{h}.org/" + "/".join(f"t{h}x{k}" for k in range(11) if r.random() < 0.97), True)
+    for i in range(20):
+        add("http://small.org/a", i < 18)
+    for i in range(40):  # their common token leans least of all theirs, and is often cut from the page
+        add("http://long.org/weak/" + "/".join(f"s{k}" for k in range(13) if (i + k) % 14), i < 36)
+    for i in range(900):
+        add(f"http://good{i % 7}.org/{r.choice('bcde')}", False)
+    labels = spark.createDataFrame([(i, 1 - b, 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+    rules = url_rules.mined(frame(spark, rows), labels)
+    got = {tuple(x.tokens): (x.matched, x.confidence, x.rarest) for x in rules.collect()}
+    has = tokens(spark, rows)
+    for some, (matched, confidence, _) in got.items():
+        pages = [i for i in has if set(some) <= has[i]]
+        assert (matched, round(confidence, 9)) == (len(pages), round(sum(bad[i] for i in pages) / len(pages), 9))
+    for mining in (url_rules.Mining(), url_rules.Mining(rules=1)):
+        verdicts = {x.page_id: x.verdict for x in url_rules.judged(frame(spark, rows), [], rules, mining).collect()}
+        blocked = {i for i, v in verdicts.items() if v == "block"}
+        assert len(verdicts) == len(rows) and blocked == {i for i, u in rows if "good" not in u}
+
+
 def test_nothing_to_mine(spark):
     rows, _ = made(40)
     for labels in ([], [(1, 1, 0)], [(1, 0, 1)], [(None, None, None), (2, None, None)]):
