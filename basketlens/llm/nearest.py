@@ -32,7 +32,7 @@ class Settings:
     A query block and a candidate block meet in one task."""
 
     neighbours: int = 20
-    bound: float = 1.8
+    bound: float = 3.0
     seed: int = 11
     query_block: int = 1024
     candidate_block: int = 16384

@@ -97,3 +97,13 @@ def test_recall_of_the_query(spark):
     assert got.keys() == expected.keys()
     hits = sum(len({j for j, _ in got[q]} & {j for j, _ in expected[q]}) for q in expected)
     assert hits >= 0.97 * sum(map(len, expected.values()))
+
+
+def test_hardly_a_neighbour_is_missed_on_even_vectors():
+    v = np.random.default_rng(5).standard_normal((4000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    turn = nearest.rotation(64, 3)
+    best, _ = nearest.search_block(v[:100], v, np.arange(4000), *nearest.encode(v, turn), turn, nearest.Settings())
+    true = np.argsort(-(v[:100] @ v.T), axis=1)[:, :20]
+    hits = sum(len(set(true[i]) & set(best.id[best.query == i])) for i in range(100))
+    assert hits >= 0.999 * 2000
