@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, jaccard_join, license_scan, line_quality, mixing, nearest, packing, pii, toxicity, url_rules
+from basketlens.llm import binary_tokens, jaccard_join, license_scan, line_quality, lloyd, mixing, nearest, packing, pii, toxicity, url_rules
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,8 @@ def op4_url_rules(spark, sf):
 def op3_soft_mixing(spark, sf):
     found = mixing.rates(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return found.drop("text_hash")
+
+
+@query
+def op11_dimension_lloyd(spark, sf):
+    return lloyd.clusters(table(spark, sf, "embeddings"))

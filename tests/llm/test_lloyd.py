@@ -1,0 +1,81 @@
+"""Clustering by shards of dimensions against Lloyd's rounds in plain integers."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from basketlens.llm import lloyd
+
+SCHEMA = "vec_id long, embedding array<double>, label int, cluster string, v int, distance string, block int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v and [None if x is None else float(x) for x in v], 0, "k", 1, "x", 3) for i, v in rows], SCHEMA)
+
+
+def brute(rows, s):
+    rows = [(i, [math.floor(Fraction(x) * s.scale) for x in v]) for i, v in rows if v and len(v) == s.dimension and all(x is not None and math.isfinite(x) for x in v)]
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    first = sorted(rows, key=lambda r: (r[0] is None, sha(f"{s.seed}:{r[0]}"), r[1]))
+    cents = [v for _, v in first[: s.clusters]]
+    near = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(cents))
+    for _ in range(s.rounds):
+        own = {}
+        for _, v in rows:
+            own.setdefault(near(v)[1], []).append(v)
+        cents = [[sum(x) // len(own[k]) for x in zip(*own[k])] if k in own else c for k, c in enumerate(cents)]
+    found = [(i, *near(v)[::-1]) for i, v in rows]
+    long = lambda n: n if n < 2**63 else None
+    per = {k: sum(d for _, c, d in found if c == k) for _, k, _ in found}
+    too_long = any(long(d) is None for _, _, d in found)
+    total = None if too_long else long(sum(per.values()))
+    bad = {k for _, k, d in found if long(d) is None}
+    return sorted(
+        (repr(i), k, long(d), None if k in bad else long(per[k]), total, sha(",".join(map(str, cents[k])))) for i, k, d in found
+    ) if rows else []
+
+
+def plain(df):
+    return sorted(((repr(r[0]), *r[1:]) for r in df.collect()), key=repr)
+
+
+def made(n, dimension, seed=0):
+    r = np.random.default_rng(seed)
+    centres = r.standard_normal((5, dimension))
+    return [(i, (centres[i % 5] + 0.3 * r.standard_normal(dimension)).tolist()) for i in range(n)]
+
+
+ODD = [(900, None), (901, []), (902, [1.0] * 5), (903, [1.0, None] * 3), (904, [float("nan")] * 6), (905, [float("inf")] + [0.0] * 5)]
+
+
+@pytest.mark.parametrize("shards, block", [(1, 4096), (4, 7), (6, 1)])
+def test_equals_plain_rounds(spark, shards, block):
+    s = lloyd.Settings(clusters=7, rounds=3, dimension=6, shards=shards, block=block)
+    rows = made(60, 6) + [(500, [0.0] * 6)] * 3 + [(None, [0.1] * 6), (7, [2.0, -2, 2, -2, 2, -2])]  # zero, repeated, without id, id twice
+    assert plain(lloyd.clusters(frame(spark, rows + ODD), s)) == sorted(brute(rows, s), key=repr)
+
+
+def test_ties_and_empty_clusters(spark):
+    s = lloyd.Settings(clusters=4, rounds=5, dimension=2, shards=2, block=3)
+    rows = [(i, [1.0, 1.0]) for i in range(6)] + [(i, [-1.0, 0.0]) for i in range(6, 9)]  # equal starts: only the first is ever nearest
+    assert plain(lloyd.clusters(frame(spark, rows), s)) == sorted(brute(rows, s), key=repr)
+
+
+@pytest.mark.parametrize("size", [1e4, 3e6, 1e9, 1e30, 1e306])
+def test_large_components_stay_exact(spark, size):
+    s = lloyd.Settings(clusters=3, rounds=2, dimension=4, shards=2, block=5)
+    rows = [(i, [x * size for x in v]) for i, v in made(20, 4)] + [(50, [0.25, -0.25, 1e-300, -1e-300])]
+    assert plain(lloyd.clusters(frame(spark, rows), s)) == sorted(brute(rows, s), key=repr)
+
+
+def test_few_or_no_vectors(spark):
+    s = lloyd.Settings(dimension=6, rounds=2)
+    assert plain(lloyd.clusters(frame(spark, made(5, 6)), s)) == sorted(brute(made(5, 6), s), key=repr)
+    none = lloyd.clusters(frame(spark, ODD), s)
+    assert none.count() == 0 and none.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert lloyd.clusters(frame(spark, []), s).count() == 0
