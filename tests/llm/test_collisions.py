@@ -1,0 +1,129 @@
+"""Near duplicates of embeddings against all cosines."""
+
+from __future__ import annotations
+
+import dataclasses
+import math
+
+import numpy as np
+import pytest
+
+from basketlens.llm import collisions
+from basketlens.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<double>, label int, node string, ball int, u string, rows int, cell int"
+SURE = dataclasses.replace(collisions.Settings(), recall=0.999999)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(i, v if v is None else [None if x is None else float(x) for x in v], k, "n", 1, "u", 2, 3) for i, v, k in rows], SCHEMA)
+
+
+def good(i, v, k):
+    return i is not None and k is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, threshold=0.93):
+    fine = [n for n, r in enumerate(rows) if good(*r)]
+    unit = {n: np.array(rows[n][1]) / np.abs(rows[n][1]).max() for n in fine}
+    unit = {n: u / np.linalg.norm(u) for n, u in unit.items()}
+    near = {n: [m for m in fine if m != n and rows[m][2] == rows[n][2] and len(unit[m]) == len(unit[n]) and unit[m] @ unit[n] >= threshold] for n in fine}
+    least = {n: rows[n][0] for n in fine}
+    moved = True
+    while moved:
+        moved = False
+        for n in fine:
+            for m in near[n]:
+                if least[m] < least[n]:
+                    least[n], moved = least[m], True
+    return sorted((repr(r[0]), len(near.get(n, [])), least.get(n, r[0]), r[0] == least.get(n, r[0])) for n, r in enumerate(rows))
+
+
+def plain(df):
+    return sorted((repr(r.vec_id), r.n_links, r.component_id, r.kept) for r in df.collect())
+
+
+def near(r, v, cosine):
+    """A vector with just this cosine to ``v``."""
+    side = r.standard_normal(len(v))
+    side -= (side @ v) / (v @ v) * v
+    return cosine * v / np.linalg.norm(v) + math.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+
+
+def made(seed=0, dimension=24):
+    r = np.random.default_rng(seed)
+    rows = [(i, r.standard_normal(dimension).tolist(), i % 3) for i in range(400)]
+    for n, cosine in enumerate([0.9301, 0.9299, 0.94, 0.96, 0.99, 0.9999] * 8):  # pairs on both sides of the threshold
+        rows.append((1000 + n, (near(r, np.array(rows[n][1]), cosine) * 3).tolist(), rows[n][2]))
+    for k, cosine in enumerate((0.9995, 0.985, 0.97, 0.96)):  # groups from tight to loose
+        centre = r.standard_normal(dimension)
+        rows += [(2000 + 100 * k + n, near(r, centre, cosine).tolist(), k % 2) for n in range(60)]
+    rows += [(3000 + n, rows[450][1], rows[450][2]) for n in range(30)]  # copies of a member, and of a lone vector
+    rows += [(3100 + n, rows[200][1], rows[200][2]) for n in range(5)] + [(3200, rows[200][1], 2 if rows[200][2] != 2 else 1)]
+    return rows
+
+
+ODD = [
+    (5000, None, 1), (5001, [], 1), (5002, [0.0] * 24, 1), (5003, [1.0, None] * 12, 1), (5004, [float("nan")] * 24, 1), (5005, [float("inf")] * 24, 1),
+    (5006, [1.0, 2.0], 1), (5007, [1.0, 2.0], 1), (5008, [1.0, 2.0], None), (None, [1.0, 2.0], 1), (5009, [1e300, 2e300], 1), (5010, [1e-300, 2e-300], 1),
+    (7, [1.0, 2.0], 1),  # an id twice, with another vector
+]
+
+
+@pytest.mark.parametrize("cell, rounds", [(24, 3), (4, 3), (1000, 0)])
+def test_equals_all_cosines(spark, cell, rounds):
+    rows = made() + ODD
+    settings = dataclasses.replace(SURE, cell=cell, rounds=rounds)
+    assert plain(collisions.near_duplicates(frame(spark, rows), settings)) == brute(rows)
+
+
+def test_tight_groups_become_few_balls(spark):
+    r = np.random.default_rng(4)
+    centre = r.standard_normal(64)
+    rows = [(i, near(r, centre, 0.997).tolist(), 1) for i in range(600)] + [(1000 + i, r.standard_normal(64).tolist(), 1) for i in range(600)]
+    nodes = collisions.nodes_of(collisions.rows_of(frame(spark, rows)))
+    members = collisions.gathered(nodes, 5, collisions.Settings())
+    balls = members.join(nodes.where("first < 1000").select("node"), "node").select("ball").distinct().count()
+    assert balls < 90
+    met = collisions.candidates(nodes, members, 5, collisions.Settings()).count()
+    assert met < 0.3 * (600 + balls) ** 2 / 2  # of 600 x 600 / 2 pairs of the group, none but those of its balls
+    assert plain(collisions.near_duplicates(frame(spark, rows))) == brute(rows)
+
+
+def test_recall_at_the_threshold(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(2000):
+        v = r.standard_normal(64)
+        rows += [(2 * i, v.tolist(), 0), (2 * i + 1, near(r, v, 0.93000001).tolist(), 0)]
+    got = collisions.near_duplicates(frame(spark, rows))
+    assert got.where("n_links = 1").count() >= 0.99 * 4000
+
+
+def test_nothing_to_compare(spark):
+    assert collisions.near_duplicates(frame(spark, [])).count() == 0
+    assert plain(collisions.near_duplicates(frame(spark, ODD[:6]))) == brute(ODD[:6])
+    assert plain(collisions.near_duplicates(frame(spark, [(1, [1.0, 0.0], 5)]))) == [("1", 0, 1, True)]
+
+
+def test_calibration():
+    s = collisions.Settings()
+    counts = [collisions.calibrated(s, b) for b in range(0, 20, 4)]
+    assert counts == sorted(counts)
+    r = np.random.default_rng(2)
+    v = r.standard_normal(64)
+    hits = []
+    for _ in range(300):  # the collisions of a pair at the threshold, by a plain count
+        w = near(r, v, s.threshold)
+        u = v / np.linalg.norm(v)
+        n = collisions.calibrated(s, 6)
+        signs, lines = r.standard_normal((n, 6, 64)), r.standard_normal((n, 64))
+        same = ((signs @ u >= 0) == (signs @ w >= 0)).all(1) & (np.abs(lines @ u - lines @ w) <= s.width)
+        hits.append(same.sum() >= s.collisions)
+    assert np.mean(hits) >= s.recall - 0.01
+
+
+def test_the_query(spark):
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    assert plain(QUERIES["op12_collision_neighbours"](spark, "/root/testdata/sf0.01")) == brute(rows)
