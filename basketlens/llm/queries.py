@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import binary_tokens, collisions, jaccard_join, license_scan, line_quality, lloyd, mixing, nearest, packing, pii, toxicity, url_rules
+from basketlens.llm import binary_tokens, collisions, divergence, jaccard_join, license_scan, line_quality, lloyd, mixing, nearest, packing, pii, toxicity, url_rules
 from basketlens.session import pin_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ def op11_dimension_lloyd(spark, sf):
 @query
 def op12_collision_neighbours(spark, sf):
     return collisions.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_source_divergence(spark, sf):
+    return divergence.audited(table(spark, sf, "documents"))
