@@ -12,7 +12,6 @@ Divergences are computed shard by shard, each with the counts of all sources of
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,36 +19,34 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from basketlens.llm.common import fields_of, map_arrow, require, ship, staged
+from basketlens.llm.common import fields_of, map_arrow, require, ship, staged, text_slices
 from basketlens.llm.shingles import mix
 
 
 @dataclass(frozen=True)
 class Settings:
     """``documents``: that a kept term is in, at least. ``terms``: that are listed per group. ``shard``: terms
-    of a shard, about. ``broadcast``: bytes of hashes up to which they are broadcast. ``held``: entries a
-    task counts before it hands them on."""
+    of a shard, about. ``broadcast``: bytes of hashes up to which they are broadcast. ``slice``: bytes of text
+    that a task cuts at once, or one text. ``held``: counts that a task holds before it hands them on."""
 
     documents: int = 3
     terms: int = 200
     scale: int = 1_000_000_000
     shard: int = 2048
     broadcast: int = 48 << 20
-    held: int = 1 << 19
+    slice: int = 4 << 20
+    held: int = 1 << 24
 
 
 # --- terms -----------------------------------------------------------------------------------
 
 # Letters and everything beyond ASCII are kept, A-Z in lower case; the rest separates.
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-
-
-def terms_of(text: bytes | None) -> list[bytes]:
-    return text.translate(LOWER).split() if text else []
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -57,6 +54,43 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return require(docs, "text", "lang", "source").select(*(F.coalesce(F.col(c), F.lit("")).cast("binary").alias(c) for c in ("text", "lang", "source")))
 
 
+@dataclass
+class Cut:
+    """The terms of some texts: each distinct one, and for every occurrence its number and its text."""
+
+    distinct: pa.Array
+    number: np.ndarray
+    text: np.ndarray
+
+
+def cut(texts: pa.Array) -> Cut:
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = LOWER[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]]
+    offsets = offsets - offsets[0]
+    inside = data != 32
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(inside & (np.append(True, ~inside[:-1]) | edge[:-1])[: len(data)])
+    ends = np.flatnonzero(inside & (np.append(~inside[1:], True) | edge[1:])[: len(data)]) + 1
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=bounds[1:])
+    terms = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])])
+    coded = terms.dictionary_encode()
+    return Cut(coded.dictionary, coded.indices.to_numpy(), np.searchsorted(offsets, starts, side="right") - 1)
+
+
+def cuts(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[tuple[pa.RecordBatch, Cut]]:
+    for batch in batches:
+        for part in text_slices(batch, "text", settings.slice):
+            yield part, cut(part.column("text"))
+
+
+def numbered(column: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    coded = column.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
+
+
 # --- minimal perfect hashes ------------------------------------------------------------------
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -66,8 +100,8 @@ def hashes(terms: list[bytes], seed: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(t, seed) for t in terms], np.uint64)
 
 
-def places(h: np.ndarray, pilots: np.ndarray, size: int) -> np.ndarray:
-    return (mix(h ^ (pilots.astype(np.uint64) * STEP)) % np.uint64(size)).astype(np.int64)
+def places(h: np.ndarray, pilots: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+    return (mix(h ^ (pilots.astype(np.uint64) * STEP)) % np.asarray(size, np.uint64)).astype(np.int64)
 
 
 class PerfectHash:
@@ -124,8 +158,9 @@ class PerfectHash:
 HASHES = "lang binary, shard int, seed int, pilots binary, keys array<binary>"
 
 
-def from_row(seed: int, pilots: bytes, keys: list[bytes]) -> PerfectHash:
-    return PerfectHash(seed, np.frombuffer(pilots, np.uint32), pa.array(keys, pa.large_binary()))
+def from_row(seed: int, pilots: bytes, keys) -> PerfectHash:
+    keys = keys.cast(pa.large_binary()) if isinstance(keys, pa.Array) else pa.array(keys, pa.large_binary())
+    return PerfectHash(seed, np.frombuffer(pilots, np.uint32), keys)
 
 
 def shard_of(term: bytes, shards: int) -> int:
@@ -134,11 +169,39 @@ def shard_of(term: bytes, shards: int) -> int:
     return (h - (1 << 64) if h >> 63 else h) % shards
 
 
-# --- passes ----------------------------------------------------------------------------------
+class Shards:
+    """The perfect hashes of a language, one after another: slots are numbered through."""
+
+    def __init__(self, parts: dict[int, PerfectHash], shards: int):
+        self.shards, sizes, buckets = shards, np.zeros(shards, np.int64), np.ones(shards, np.int64)
+        for k, h in parts.items():
+            sizes[k], buckets[k] = len(h.keys), len(h.pilots)
+        self.sizes, self.buckets = sizes, buckets
+        self.base, self.bucket_base = np.cumsum(sizes) - sizes, np.cumsum(buckets) - buckets
+        self.pilots = np.zeros(int(buckets.sum()), np.uint32)
+        for k, h in parts.items():
+            self.pilots[self.bucket_base[k] : self.bucket_base[k] + buckets[k]] = h.pilots
+        self.keys = pa.concat_arrays([parts[k].keys for k in sorted(parts)])
+        self.seeds = {k: h.seed for k, h in parts.items() if h.seed}
+
+    def slots(self, distinct: pa.Array) -> np.ndarray:
+        """The numbered slot of each term, -1 for a term that is not stored."""
+        terms = distinct.to_pylist()
+        shard = np.array([shard_of(t, self.shards) for t in terms], np.int64)
+        h = hashes(terms, 0)
+        for k, seed in self.seeds.items():
+            own = np.flatnonzero(shard == k)
+            h[own] = hashes([terms[i] for i in own.tolist()], seed)
+        known = self.sizes[shard] > 0
+        size = np.where(known, self.sizes[shard], 1).astype(np.uint64)
+        bucket = ((h >> np.uint64(32)) % self.buckets[shard].astype(np.uint64)).astype(np.int64)
+        at = places(h, self.pilots[self.bucket_base[shard] + bucket], size) + self.base[shard]
+        at = np.where(known, at, 0)
+        same = pc.equal(self.keys.take(pa.array(at)), distinct).to_numpy(zero_copy_only=False)
+        return np.where(same & known, at, -1)
 
 
-def rows_of(names: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    yield from pa.table([pa.array(v, t) for v, t in zip(names.values(), schema.types)], schema=schema).to_batches(max_chunksize=1 << 16)
+# --- passes ----------------------------------------------------------------------------------
 
 
 def frequent(texts: DataFrame, settings: Settings) -> DataFrame:
@@ -147,18 +210,23 @@ def frequent(texts: DataFrame, settings: Settings) -> DataFrame:
     schema = fields_of(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Counter] = {}
+        held: list[pa.Table] = []
 
         def out():
-            for lang, counts in held.items():
-                yield from rows_of({"lang": [lang] * len(counts), "term": list(counts), "n": list(counts.values())}, schema)
+            if held:
+                summed = pa.concat_tables(held).group_by(["lang", "term"]).aggregate([("n", "sum")])
+                yield from summed.select(["lang", "term", "n_sum"]).cast(schema.set(2, pa.field("n_sum", pa.int64()))).rename_columns(schema.names).to_batches(max_chunksize=1 << 16)
             held.clear()
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                held.setdefault(lang, Counter()).update(set(terms_of(text.as_py())))
-                if sum(map(len, held.values())) > settings.held:
-                    yield from out()
+        for part, c in cuts(batches, settings):
+            langs, lang = numbered(part.column("lang"))
+            size = max(1, len(c.distinct))
+            once = np.unique(c.text * size + c.number)  # a term counts once per text
+            pair, n = np.unique(lang[once // size].astype(np.int64) * size + once % size, return_counts=True)
+            held.append(pa.table({
+                "lang": pa.array(langs, pa.binary()).take(pa.array(pair // size)), "term": c.distinct.take(pa.array(pair % size)), "n": n}))
+            if sum(t.num_rows for t in held) > 1 << 20:
+                yield from out()
         yield from out()
 
     counted = map_arrow(texts.select("lang", "text"), run, ddl).groupBy("lang", "term").agg(F.sum("n").alias("n"))
@@ -181,96 +249,120 @@ def hashed(kept: DataFrame, shards: int) -> DataFrame:
     return staged(dealt.groupBy("lang", "shard").applyInArrow(build, HASHES), "hashes")
 
 
-COUNTS = "lang binary, source binary, shard int, slot int, n long"
-
+COUNTS = "lang binary, source binary, shard int, tasks int, counts binary, total long"
 
-class Slots:
-    """Dense counts per group and shard."""
 
-    def __init__(self, schema: pa.Schema):
-        self.schema, self.arrays, self.size = schema, {}, 0
+def packed(counts: np.ndarray) -> bytes:
+    """The counts of a shard's slots: those that are not 0, or all where that is shorter."""
+    slot = np.flatnonzero(counts)
+    kind = "<u4" if counts.max(initial=0) < 1 << 32 else "<i8"
+    if len(slot) * 2 > len(counts):
+        return b"d" + kind[1:].encode() + counts.astype(kind).tobytes()
+    return b"s" + kind[1:].encode() + len(slot).to_bytes(4, "little") + slot.astype("<u4").tobytes() + counts[slot].astype(kind).tobytes()
 
-    def add(self, lang: bytes, source: bytes, shard: int, hash_: PerfectHash, terms: list[bytes], n: list[int]) -> None:
-        at = hash_.slots(terms)
-        known = at >= 0
-        if (key := (lang, source, shard)) not in self.arrays:
-            self.arrays[key] = np.zeros(len(hash_.keys), np.int64)
-            self.size += len(hash_.keys)
-        self.arrays[key][at[known]] += np.array(n, np.int64)[known]  # terms are distinct, so are their slots
 
-    def out(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source, shard), counts in self.arrays.items():
-            slot = np.flatnonzero(counts)
-            if len(slot):
-                k = len(slot)
-                yield from rows_of({"lang": [lang] * k, "source": [source] * k, "shard": [shard] * k, "slot": slot, "n": counts[slot]}, self.schema)
-        self.arrays, self.size = {}, 0
+def add_packed(into: np.ndarray, data: bytes) -> None:
+    kind = f"<{data[1:3].decode()}"
+    if data[:1] == b"d":
+        into += np.frombuffer(data, kind, offset=3).astype(np.int64)
+    else:
+        n = int.from_bytes(data[3:7], "little")
+        into[np.frombuffer(data, "<u4", n, 7)] += np.frombuffer(data, kind, n, 7 + 4 * n).astype(np.int64)
 
 
 def counted(texts: DataFrame, found: DataFrame, shards: int, settings: Settings, bytes_: int) -> DataFrame:
-    """How often each kept term occurs in each group: ``lang``, ``source``, ``shard``, ``slot``, ``n``."""
+    """How often each kept term occurs in each group: packed ``counts`` per ``lang``, ``source`` and ``shard``, with
+    their ``total``. Several rows of a group add up."""
     spark, schema, kinds = texts.sparkSession, fields_of(COUNTS), fields_of("lang binary, source binary, term binary, n long")
     small = bytes_ <= settings.broadcast
     sent = None
     if small:
-        sent = spark.sparkContext.broadcast({(r.lang, r.shard): (r.seed, bytes(r.pilots), [bytes(k) for k in r["keys"]]) for r in found.toLocalIterator()})
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[tuple[bytes, bytes], Counter]]:
-        """Counts of terms per group, handed on whenever many are held, and at the end."""
-        held: dict[tuple[bytes, bytes], Counter] = {}
-        for batch in batches:
-            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")):
-                held.setdefault((lang, source), Counter()).update(terms_of(text.as_py()))
-                if sum(map(len, held.values())) > settings.held:
-                    yield held
-                    held = {}
-        yield held
+        parts: dict[bytes, dict[int, PerfectHash]] = {}
+        for lang, shard, seed, pilots, keys in zip(*(found.toArrow().column(c) for c in ("lang", "shard", "seed", "pilots", "keys"))):
+            parts.setdefault(lang.as_py(), {})[shard.as_py()] = from_row(seed.as_py(), pilots.as_py(), keys.values)
+        sent = spark.sparkContext.broadcast({lang: Shards(own, shards) for lang, own in parts.items()})
+
+    def groups(part: pa.RecordBatch, c: Cut) -> Iterator[tuple[bytes, bytes, np.ndarray]]:
+        """The numbers of the terms of each language and source."""
+        langs, lang = numbered(part.column("lang"))
+        sources, source = numbered(part.column("source"))
+        group = (lang.astype(np.int64) * len(sources) + source)[c.text]
+        by = np.argsort(group, kind="stable")
+        edges = np.flatnonzero(np.diff(group[by], prepend=-1))
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(by)]):
+            g = int(group[by[a]])
+            yield langs[g // len(sources)], sources[g % len(sources)], c.number[by[a:z]]
 
     def into_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: dict[tuple[bytes, int], PerfectHash] = {}
-        slots = Slots(schema)
-        for held in groups(batches):
-            for (lang, source), counts in held.items():
-                parts: dict[int, list[bytes]] = {}
-                for t in counts:
-                    parts.setdefault(shard_of(t, shards), []).append(t)
-                for shard, terms in parts.items():
-                    if (lang, shard) in sent.value:
-                        if (lang, shard) not in ready:
-                            ready[lang, shard] = from_row(*sent.value[lang, shard])
-                        slots.add(lang, source, shard, ready[lang, shard], terms, [counts[t] for t in terms])
-                    if slots.size > 8 * settings.held:
-                        yield from slots.out()
-        yield from slots.out()
+        dense: dict[tuple[bytes, bytes], np.ndarray] = {}
+        tasks = TaskContext.get().partitionId() // 256
+
+        def out():
+            for (lang, source), counts in dense.items():
+                of, rows = sent.value[lang], []
+                for shard in np.flatnonzero(of.sizes).tolist():
+                    own = counts[of.base[shard] : of.base[shard] + of.sizes[shard]]
+                    if total := int(own.sum()):
+                        rows.append((lang, source, shard, tasks, packed(own), total))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), schema.types)], schema=schema)
+            dense.clear()
+
+        for part, c in cuts(batches, settings):
+            by: dict[bytes, list[tuple[bytes, np.ndarray]]] = {}
+            for lang, source, number in groups(part, c):
+                if lang in sent.value:
+                    by.setdefault(lang, []).append((source, number))
+            for lang, own in by.items():
+                of, slots = sent.value[lang], np.full(len(c.distinct), -1)
+                used = np.unique(np.concatenate([number for _, number in own]))
+                slots[used] = of.slots(c.distinct.take(pa.array(used)))
+                for source, number in own:
+                    at = slots[number]
+                    if (lang, source) not in dense:
+                        if sum(map(len, dense.values())) + len(of.keys) > settings.held:
+                            yield from out()
+                        dense[lang, source] = np.zeros(len(of.keys), np.int64)
+                    np.add.at(dense[lang, source], at[at >= 0], 1)
+        yield from out()
 
     def by_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in groups(batches):
-            for (lang, source), counts in held.items():
-                k = len(counts)
-                yield from rows_of({"lang": [lang] * k, "source": [source] * k, "term": list(counts), "n": list(counts.values())}, kinds)
+        for part, c in cuts(batches, settings):
+            for lang, source, number in groups(part, c):
+                one, n = np.unique(number, return_counts=True)
+                same = [pa.repeat(pa.scalar(x, pa.binary()), len(one)) for x in (lang, source)]
+                yield pa.RecordBatch.from_arrays([*same, c.distinct.take(pa.array(one)).cast(pa.binary()), pa.array(n, pa.int64())], schema=kinds)
 
     def in_shard(key, left, right):
-        slots = Slots(schema)
-        if left.num_rows and right.num_rows:
-            h = from_row(*(right.column(c)[0].as_py() for c in ("seed", "pilots", "keys")))
-            lang, shard = key[0].as_py(), key[1].as_py()
-            by: dict[bytes, tuple[list, list]] = {}
-            for source, t, n in zip(*(left.column(c).to_pylist() for c in ("source", "term", "n"))):
-                own = by.setdefault(source, ([], []))
-                own[0].append(t)
-                own[1].append(n)
-            for source, (terms, n) in by.items():
-                slots.add(lang, source, shard, h, terms, n)
-        return pa.Table.from_batches(slots.out(), schema=schema)
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        h = from_row(*(right.column(c)[0].as_py() for c in ("seed", "pilots", "keys")))
+        dense: dict[bytes, np.ndarray] = {}
+        at = h.slots(left.column("term").to_pylist())
+        for source, slot, n in zip(left.column("source").to_pylist(), at.tolist(), left.column("n").to_pylist()):
+            if slot >= 0:
+                dense.setdefault(source, np.zeros(len(h.keys), np.int64))[slot] += n
+        rows = [(key[0].as_py(), source, key[1].as_py(), 0, packed(x), int(x.sum())) for source, x in dense.items()]
+        return pa.table([pa.array(v, t) for v, t in zip(zip(*rows), schema.types)], schema=schema) if rows else schema.empty_table()
+
+    def merge(key, group):
+        if not group.num_rows:
+            return schema.empty_table()
+        row = [k.as_py() for k in key]
+        x = np.zeros(row[4], np.int64)
+        for data in group.column("counts").to_pylist():
+            add_packed(x, data)
+        return pa.table([pa.array([v], t) for v, t in zip([*row[:4], packed(x), int(x.sum())], schema.types)], schema=schema)
 
+    ship(spark)
     texts = texts.select("lang", "source", "text")
-    if small:
-        rows = map_arrow(texts, into_slots, COUNTS)
-    else:
+    if not small:
         each = map_arrow(texts, by_term, "lang binary, source binary, term binary, n long").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
         each = each.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int"))
-        rows = each.groupBy("lang", "shard").cogroup(found.groupBy("lang", "shard")).applyInArrow(in_shard, COUNTS)
-    return staged(rows.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n")), "counts")
+        return staged(each.groupBy("lang", "shard").cogroup(found.groupBy("lang", "shard")).applyInArrow(in_shard, COUNTS), "counts")
+    # Rows of up to 256 tasks are added at once, so that a group stays small however many tasks there are.
+    rows = map_arrow(texts, into_slots, COUNTS).join(found.select("lang", "shard", F.size("keys").alias("size")), ["lang", "shard"])
+    return staged(rows.groupBy("lang", "source", "shard", "tasks", "size").applyInArrow(merge, COUNTS), "counts")
 
 
 # --- divergence ------------------------------------------------------------------------------
@@ -296,8 +388,8 @@ def of_shard(left: pa.Table, right: pa.Table, settings: Settings) -> Iterator[tu
     sources = sorted((r["source"], r["total"], r["kept"]) for r in right if r["keys"] is None)
     number = {s: k for k, (s, _, _) in enumerate(sources)}
     counts = np.zeros((len(sources), len(keys)), np.int64)
-    rows = np.array([number[s] for s in left.column("source").to_pylist()], np.int64)
-    counts[rows, left.column("slot").to_numpy()] = left.column("n").to_numpy()
+    for source, data in zip(left.column("source").to_pylist(), left.column("counts").to_pylist()):
+        add_packed(counts[number[source]], data)
     p = np.stack([shares(c, n, v, settings.scale) for c, (_, n, v) in zip(counts, sources)]).astype(np.int64)
     whole = shares(counts.sum(0), sum(n for _, n, _ in sources), sources[0][2], settings.scale).astype(np.int64)
     place = np.empty(len(keys), np.int64)
@@ -331,7 +423,7 @@ def audited(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     found = hashed(kept, shards)
     counts = counted(texts, found, shards, settings, facts)
 
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("lang", "source").agg(F.sum("total").alias("total"))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("kept"))
     groups = texts.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
     groups = staged(groups.select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept")), "groups")
@@ -348,7 +440,7 @@ def audited(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         columns = [[key[0].as_py()] * len(columns[0]), *columns]
         return pa.table([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
-    values = staged(counts.groupBy("lang", "shard").cogroup(right.groupBy("lang", "shard")).applyInArrow(compare, VALUES), "values")
+    values = staged(counts.select("lang", "source", "shard", "counts").groupBy("lang", "shard").cogroup(right.groupBy("lang", "shard")).applyInArrow(compare, VALUES), "values")
     value = F.col("high").cast("decimal(20,0)") * F.lit(1 << LOW).cast("decimal(10,0)") + F.col("low").cast("decimal(20,0)")
     values = values.select("lang", "source", "part", "item", value.alias("value"))
     sums = values.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,9 +68,9 @@ def made(seed=0):
     return rows + [(None, "en", "a"), ("", "en", "quiet"), ("12 34 !", "de", "c"), (rows[0][0], "en", "a"), (rows[0][0], "en", "a"), ("word " * 300_000, "en", "b")]
 
 
-@pytest.mark.parametrize("shard, broadcast, held, terms", [(2048, 1 << 20, 1 << 19, 200), (5, 1 << 20, 3, 4), (5, 0, 7, 200)])
+@pytest.mark.parametrize("shard, broadcast, held, terms", [(2048, 1 << 20, 1 << 24, 200), (5, 1 << 20, 200, 4), (5, 0, 7, 200)])
 def test_equals_plain_counts(spark, shard, broadcast, held, terms):
-    s = divergence.Settings(shard=shard, broadcast=broadcast, held=held, terms=terms)
+    s = divergence.Settings(shard=shard, broadcast=broadcast, held=held, terms=terms, slice=1500)
     rows = made()
     assert plain(divergence.audited(frame(spark, rows).repartition(5), s)) == brute(rows, s)
 
@@ -97,6 +98,28 @@ def test_perfect_hash_takes_another_seed_when_hashes_meet(monkeypatch):
     assert h.seed == 1 and sorted(h.slots([b"a", b"b", b"c"]).tolist()) == [0, 1, 2]
 
 
+def test_shards_are_numbered_through():
+    terms = [f"t{k}".encode() for k in range(300)]
+    by = {}
+    for t in terms:
+        by.setdefault(divergence.shard_of(t, 7), []).append(t)
+    del by[3]  # a shard without kept terms
+    parts = {k: divergence.PerfectHash.of(v) for k, v in by.items()}
+    of = divergence.Shards(parts, 7)
+    kept = sorted(t for v in by.values() for t in v)
+    assert sorted(of.slots(pa.array(kept, pa.large_binary())).tolist()) == list(range(len(kept)))
+    gone = [t for t in terms if t not in kept] + [b"", b"strange"]
+    assert (of.slots(pa.array(gone, pa.large_binary())) == -1).all()
+
+
+@pytest.mark.parametrize("counts", [[0, 0, 0, 5], [1, 2, 3], [0, 1 << 40, 0], [0]])
+def test_packed_counts_add_up(counts):
+    x = np.array(counts, np.int64)
+    into = np.ones(len(x), np.int64)
+    divergence.add_packed(into, divergence.packed(x))
+    assert (into == x + 1).all()
+
+
 def test_shards_agree_with_the_engine(spark):
     terms = [w.encode() for w in WORDS] + [bytes([200 + k % 50]) * k for k in range(1, 80)]
     rows = spark.createDataFrame([(t,) for t in terms], "term binary").select("term", F.pmod(F.xxhash64("term"), F.lit(13)).alias("s")).collect()
