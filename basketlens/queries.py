@@ -315,7 +315,7 @@ def _misfit_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Raw orders as text, some with ids, amounts and dates that no declared type holds."""
     low = F.col("o_orderpriority") == "5-LOW"
     return shop.raw(spark, sf, "orders").select(
-        F.when(low, F.concat("o_orderkey", F.lit("0" * 19))).otherwise(F.col("o_orderkey").cast("string")).alias("order_id"),
+        F.when(low, F.concat(F.lit("9"), "o_orderkey", F.lit("0" * 19))).otherwise(F.col("o_orderkey").cast("string")).alias("order_id"),
         F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.col("o_orderdate").cast("string")).alias("order_date"),
         F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("9" * 17), F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
         .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("total_price"),

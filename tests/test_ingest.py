@@ -149,3 +149,14 @@ def test_rows_at_the_mark_are_loaded_once(spark):
     since = incremental.changed_since(now, "day", incremental.high_water_mark(copy, "day"))
     got = sorted(tuple(r) for r in incremental.merged(copy, since, ["order_id"], "day").collect())
     assert got == [(1, "2000-01-01", "a"), (2, "2000-01-02", "b"), (3, "2000-01-02", "a"), (4, "2000-01-03", "a")]
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_made_misfits_never_fit(spark, scale):
+    """Also where the order with key 0 is among them."""
+    from basketlens.queries import REGISTRY
+
+    raw = spark.read.parquet(f"/root/testdata/{scale}/orders.parquet")
+    got = {r.column_name: r.misfits for r in REGISTRY["ingest_misfits"](spark, f"/root/testdata/{scale}").collect()}
+    assert got["order_id"] == raw.filter("o_orderpriority = '5-LOW'").count()
+    assert raw.filter("o_orderkey = 0").count() == 1
