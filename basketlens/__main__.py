@@ -148,7 +148,7 @@ def run_stream(options: argparse.Namespace) -> int:
     elif options.app == "alerts":
         send = http_sender(options.webhook) if options.webhook else None
         query = apps.order_alerts(
-            apps.orders_of(messages, p), p, options.checkpoint, options.path, send, options.interval
+            apps.untimed_orders_of(messages), p, options.checkpoint, options.path, send, options.interval
         )
     else:
         query = apps.land_orders(messages, p, options.path, options.checkpoint, options.interval)

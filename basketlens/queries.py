@@ -579,7 +579,8 @@ def stream_enriched_top_products(spark, sf):
 
 @query
 def stream_alerts(spark, sf):
-    return _landed(spark, order_streams.all_alerts(_same_amounts(_order_stream(spark, sf)), DEAR), "alerts")
+    orders = changes.parse_orders(shop.order_message_stream(spark, sf))
+    return _landed(spark, order_streams.all_alerts(_same_amounts(orders), DEAR), "alerts")
 
 
 @query

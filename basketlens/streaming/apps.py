@@ -37,6 +37,12 @@ def orders_of(messages: DataFrame, p: Params, per_change: bool = False) -> DataF
     return _counted(changes.parse_orders(messages), p, per_change)
 
 
+def untimed_orders_of(messages: DataFrame, per_change: bool = False) -> DataFrame:
+    """The same without a watermark: what ``order_alerts`` parses only once for all of its rules."""
+    orders = changes.parse_orders(messages)
+    return orders if per_change else changes.created_only(orders)
+
+
 def items_of(messages: DataFrame, per_change: bool = False) -> DataFrame:
     """Items sold, from the messages of the item topic: an item counts once, when it is created,
     unless every change of it is to be counted. Deletes are not sales."""

@@ -22,6 +22,10 @@ def timed(df: DataFrame, p: Params, time: str = "event_time") -> DataFrame:
     return df.withWatermark(time, p.watermark) if df.isStreaming else df
 
 
+def has_watermark(df: DataFrame, time: str = "event_time") -> bool:
+    return "spark.watermarkDelayMs" in df.schema[time].metadata
+
+
 def window_revenue(orders: DataFrame, window: str, time: str = "event_time") -> DataFrame:
     """Orders, revenue and average order value per tumbling window.
 
@@ -100,13 +104,45 @@ def similar_order_alerts(orders: DataFrame, p: Params, time: str = "event_time")
     )
 
 
+def window_alerts(orders: DataFrame, p: Params, time: str = "event_time") -> DataFrame:
+    """The rules over windows, frequent and similar orders, from one windowed count.
+
+    Every order counts once under its customer and once under its customer and amount. Both are rows
+    of one aggregation, combined in every task before its one shuffle, with one state.
+    """
+    by_amount = F.explode(F.array(F.lit(False), F.lit(True))).alias("by_amount")
+    counted = (
+        orders.select(time, "customer_id", "total_price", by_amount)
+        .groupBy(F.window(time, p.alert_window), "customer_id", "by_amount", F.when(F.col("by_amount"), F.col("total_price")).alias("amount"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    similar = F.col("by_amount")
+    raised = F.when(similar, F.col("orders") >= p.similar_orders).otherwise(F.col("orders") > p.alert_orders)
+    count = F.col("orders").cast("string")
+    return counted.filter(raised).select(
+        "customer_id",
+        F.when(similar, render.SIMILAR_REASON).otherwise(render.FREQUENT_REASON).alias("reason"),
+        F.when(similar, F.concat(count, F.lit(" x "), render.amount_text(F.col("amount"))))
+        .otherwise(F.concat(count, F.lit(f" orders in {p.alert_window}"))).alias("value"),
+    )
+
+
 def all_alerts(orders: DataFrame, p: Params) -> DataFrame:
     """High-value alerts at once; frequent and similar orders when their window closes.
 
-    ``orders`` must carry its watermark already, so that all branches share it.
+    A stream that carries its watermark is read by both branches, which suits landed orders, where
+    reading is cheap. One without a watermark is read and parsed once: both branches take its rows
+    from one exchange, and the windows get their watermark behind it. (In front of it, the branch that
+    reuses the exchange would never see the watermark move.)
     """
-    windows = frequent_order_alerts(orders, p).unionByName(similar_order_alerts(orders, p))
-    return high_value_alerts(orders, p).unionByName(windows)
+    if not orders.isStreaming or has_watermark(orders):
+        return high_value_alerts(orders, p).unionByName(window_alerts(orders, p))
+    columns = ("customer_id", "total_price", "event_time")
+    dealt = orders.select(*columns).repartition(F.xxhash64(*columns))
+    # A generator: a plain filter would move below the exchange of its branch, which then differs from the other's.
+    one = F.struct("customer_id", "total_price")
+    dear = dealt.select(F.inline(F.filter(F.array(one), lambda o: o.total_price > p.alert_amount)))
+    return high_value_alerts(dear, p).unionByName(window_alerts(timed(dealt, p), p))
 
 
 def with_alert_text(alerts: DataFrame) -> DataFrame:

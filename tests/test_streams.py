@@ -131,6 +131,33 @@ def test_only_the_sixth_order_in_a_minute_alerts(topic, land, p):
     )
 
 
+def test_alerts_of_one_parse(spark, topic, tmp_path, p):
+    """Both branches take their rows from one exchange, and the windows still close."""
+    lines = [order(10 + i, 6, i % 2, f"2024-01-01T00:00:{10 + i:02d}Z") for i in range(6)]
+    lines += [order(31, 9, 12_345_678.5, "2024-01-01T00:00:30Z"), order(32, 8, None, "2024-01-01T00:00:30Z")]
+    topic.add(*lines)
+    topic.add(order(50, 7, 3, "2024-01-01T00:10:00Z"), order(51, 7, 3, "2024-01-01T00:10:01Z"))
+    topic.add(order(52, 7, 3, "2024-01-01T00:20:00Z"))
+    topic.add(*[order(60 + i, 6, 5, "2024-01-01T00:00:40Z") for i in range(9)])  # too late by now
+    topic.add(order(99, 1, 20_000_000, SENTINEL))
+    orders = changes.parse_orders(topic.stream())
+    assert not order_streams.has_watermark(orders) and order_streams.has_watermark(order_streams.timed(orders, p))
+    found = {}
+    for name, source in (("once", orders), ("twice", order_streams.timed(orders, p))):
+        alerts = order_streams.all_alerts(source, p)
+        query = sinks.to_files(alerts, str(tmp_path / name), str(tmp_path / f"{name}-check"))
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+        found[name] = rows(spark.read.schema(alerts.schema).parquet(str(tmp_path / name)))
+        assert plan.count("ReusedExchange") == (1 if name == "once" else 0)
+        assert plan.count("from_json") == (1 if name == "once" else 2)
+        assert plan.count("StateStoreSave") == 1
+    assert found["once"] == found["twice"] == [
+        (1, "High value order", "20,000,000.0 VND"), (6, "Frequent orders", "6 orders in 1 minute"),
+        (6, "Similar orders", "3 x 0.0 VND"), (6, "Similar orders", "3 x 1.0 VND"), (9, "High value order", "12,345,678.5 VND"),
+    ]
+
+
 def test_similar_orders(topic, land, p):
     topic.add(*[order(i, 5, 7.5, "2024-01-01T00:00:10Z") for i in range(3)], order(7, 5, 8, "2024-01-01T00:00:10Z"))
     topic.add(order(99, 1, 1, SENTINEL))
