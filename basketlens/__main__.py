@@ -119,9 +119,9 @@ def run_recommend(options: argparse.Namespace) -> int:
     else:
         model = recommend.train(products.interaction_score(tables["orders"], tables["order_items"]), p)
         recommend.save(model, options.model)
-    served = recommend.active_customers(tables["orders"], p)
-    rows = write_mart(recommend.recommend(model, served, p), f"{options.destination}/recommendations")
-    print(f"recommendations: {rows} rows")
+    found = recommend.served(model, recommend.active_customers(tables["orders"], p), p)
+    rows = write_mart(found.lists, f"{options.destination}/recommendations")
+    print(f"recommendations: {rows} rows, {found.scored:.1%} of all pairs scored")
     return 0
 
 
