@@ -62,21 +62,22 @@ def created_only(records: DataFrame) -> DataFrame:
     return records.filter(F.coalesce("__op", F.lit("c")).isin(*CREATED))
 
 
-def first_event_per_key(
-    stream: DataFrame, key: str, time: str, delay: str, spread: str | None = "__lsn", buckets: int = 32
-) -> DataFrame:
-    """Streaming de-duplication; ``delay`` must exceed the time between updates of one row.
-
-    A key may hold much of the stream, and de-duplication sends every event of a key to one
-    task. So events are first reduced to one per key and bucket of ``spread``, which divides a
-    hot key over tasks, and then to one per key.
+def first_event_per_key(stream: DataFrame, key: str, time: str, delay: str, order: str = "__lsn") -> DataFrame:
+    """Streaming de-duplication by one aggregation: of the events of a key with one time, the first
+    by ``order``. ``time`` is the row's own, which its changes do not move, such as the date of an
+    order; a change that does move it counts as another event.
+
+    Each task keeps one event per key and time before the shuffle, so a key that holds much of the
+    stream costs no more than any other, and there is one state, which holds a key until the
+    watermark passes its time. Events come out at that moment, ``delay`` of event time after their
+    own. Repeats may come as late as that; later ones are dropped.
     """
-    timed = stream.withWatermark(time, delay)
-    if spread is not None:
-        bucket = F.pmod(F.xxhash64(spread), F.lit(buckets))
-        timed = timed.withColumn("_bucket", bucket).dropDuplicatesWithinWatermark([key, "_bucket"])
-        timed = timed.drop("_bucket")
-    return timed.dropDuplicatesWithinWatermark([key])
+    columns = [c for c in stream.columns if c not in (key, time)]
+    # Values that are not used further on are not kept; the order also settles equal or missing positions.
+    position = F.coalesce(F.col(order).cast("bigint"), F.xxhash64(*columns)) if order in columns else F.xxhash64(*columns)
+    timed = stream.withWatermark(time, delay).withColumn("_position", position)
+    first = timed.groupBy(key, time).agg(*[F.min_by(c, "_position").alias(c) for c in columns])
+    return first.select(*stream.columns)
 
 
 def latest_images(records: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -175,8 +175,8 @@ def test_amounts_as_text(spark):
     assert got == ["15,000,000.0 VND", "1,234,567.89 VND", "0.5 VND", "638,807.0 VND"]
 
 
-@pytest.mark.parametrize("spread", [None, "__lsn"])
-def test_updates_of_an_order_are_counted_once(topic, land, p, spread):
+@pytest.mark.parametrize("position", ["no_such_column", "__lsn"])
+def test_updates_of_an_order_are_counted_once(topic, land, p, position):
     def change(order_id, lsn, price, second):
         return json.dumps({"payload": {
             "order_id": order_id, "customer_id": 1, "total_price": price,
@@ -187,11 +187,40 @@ def test_updates_of_an_order_are_counted_once(topic, land, p, spread):
     topic.add(*[change(1, lsn, 10, 1) for lsn in range(20, 60)], change(2, 99, 5, 2))
     topic.add(order(9, 1, 1, SENTINEL))
     parsed = changes.parse_orders(topic.stream())
-    first = changes.first_event_per_key(parsed, "order_id", "event_time", "20 minutes", spread)
+    first = changes.first_event_per_key(parsed, "order_id", "event_time", "20 minutes", position)
     windows = land(order_streams.window_revenue(first, "10 seconds"))
     assert rows(windows, "total_orders", "total_revenue") == [(2, money(15))]
 
 
+def test_the_first_event_of_a_key_is_kept_whole(topic, land, p):
+    def change(order_id, lsn, price, status, minute=0):
+        return json.dumps({"payload": {
+            "order_id": order_id, "customer_id": 10 * price, "total_price": price, "status": status,
+            "order_date": f"2024-01-01T00:{minute:02d}:01Z", "__op": "u", "__table": "orders", "__lsn": lsn,
+        }})
+
+    topic.add(change(1, 7, 30, "late"), change(1, 5, 20, "first"), change(2, None, 4, None), change(2, None, 4, None))
+    topic.add(change(1, 3, 10, "arrives second, came first"), change(3, 1, 8, "x"))
+    topic.add(change(4, 1, 9, "x", minute=50))
+    topic.add(change(1, 1, 99, "too late", minute=0), change(9, 1, 1, "open", minute=55))  # within the watermark of the batch before
+    topic.add(change(1, 1, 77, "too late"), change(9, 2, 1, "open", minute=55))
+    topic.add(order(99, 1, 1, SENTINEL))
+    first = changes.first_event_per_key(changes.parse_orders(topic.stream()), "order_id", "event_time", "20 minutes")
+    got = {r.order_id: (r.customer_id, r.total_price, r.status) for r in land(first).collect()}
+    assert got[1] in ((100, money(10), "arrives second, came first"), (990, money(99), "too late"))
+    assert got[2] == (40, money(4), None) and got[3] == (80, money(8), "x") and got[4] == (90, money(9), "x") and got[9] == (10, money(1), "open")
+
+
+def test_de_duplication_keeps_one_state(spark, topic, tmp_path, p):
+    topic.add(*[order(i % 3, 1, 1, "2024-01-01T00:00:10Z") for i in range(9)])
+    first = changes.first_event_per_key(changes.parse_orders(topic.stream()), "order_id", "event_time", "5 seconds")
+    query = sinks.to_files(first.select("order_id", "total_price"), str(tmp_path / "out"), str(tmp_path / "check"))
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("StateStoreSave") == 1 and "Deduplicate" not in plan
+    assert "min_by(status" not in plan  # what is not used is not kept
+
+
 def _timed_items(topic, p):
     """Items get the time of the file they arrived in, as the broker would stamp them."""
     from pyspark.sql import functions as F
