@@ -16,6 +16,7 @@ from basketlens.plans import customers, features, ingest, products, recommend, r
 from basketlens.schemas import BIGINT, INT, PRICE, STRING, TABLES, TIMESTAMP, schema_of
 from basketlens.session import pin_utc, scratch
 from basketlens.sinks import marts as mart_sink
+from basketlens.sinks.buckets import BucketTable
 from basketlens.sinks import streams as sinks
 from basketlens.sources import catalog, topics
 from basketlens.sources import driver_tables as shop
@@ -381,13 +382,15 @@ def cdc_current_orders(spark, sf):
 
 @query
 def cdc_merged_orders(spark, sf):
-    """Last year's copy of the orders, brought up to date with the changes since."""
+    """Last year's copy of the orders, kept in buckets and brought up to date with the changes since."""
     columns = ["order_id", "customer_id", "status"]
     copy = shop.orders(spark, sf).filter(F.col("order_date") < _utc("2001-01-01"))
     pending = copy.withColumn("status", F.lit("pending")).select(columns)
     records = changes.change_records(shop.order_log(spark, sf), "orders")
     since = records.filter(F.col("__deleted") | (F.col("order_date") >= "2000-06-01"))
-    return changes.apply_changes(pending, since, ["order_id"])
+    table = BucketTable.create(pending, scratch(spark, "orders-table"), ["order_id"], buckets=8)
+    table.merge(since)
+    return table.read()
 
 
 @query

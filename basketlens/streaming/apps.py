@@ -20,6 +20,7 @@ from basketlens.params import Params
 from basketlens.plans.ingest import SECRET_COLUMNS
 from basketlens.schemas import BOOLEAN, PRIMARY_KEYS, TABLES, schema_of
 from basketlens.sinks import streams as sinks
+from basketlens.sinks.buckets import BucketTable
 from basketlens.sinks.delivery import delivery_handler
 from basketlens.sources.database import Database
 from basketlens.streaming import orders as order_streams
@@ -123,3 +124,15 @@ def copy_to_table(
         db, target, f"{target}_staging", [PRIMARY_KEYS[table]], lambda batch: latest_rows(batch, table), execute
     )
     return sinks.per_batch(changes.change_records(messages, table), handle, checkpoint, interval)
+
+
+def keep_table(
+    messages: DataFrame, table: str, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Keep a bucketed table of the lake (``sinks.buckets``) equal to a captured one. Each batch rewrites
+    the buckets it touches; a repeated batch changes nothing."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        BucketTable(batch.sparkSession, path).merge(batch)
+
+    return sinks.per_batch(changes.change_records(messages, table), handle, checkpoint, interval)
