@@ -39,7 +39,11 @@ def _by_month(orders: DataFrame, p: Params) -> DataFrame:
 
 
 def revenue_monthly(orders: DataFrame, p: Params) -> DataFrame:
-    return _by_month(orders, p).select(
+    return monthly_mart(_by_month(orders, p), p)
+
+
+def monthly_mart(by_month: DataFrame, p: Params) -> DataFrame:
+    return by_month.select(
         "*",
         ratio("total_revenue", "unique_customer").alias("avg_revenue_per_customer"),
         ratio("total_orders", "unique_customer").alias("orders_per_customer"),
@@ -63,7 +67,6 @@ def revenue_monthly_growth(monthly: DataFrame) -> DataFrame:
 
 
 def revenue_daily(orders: DataFrame, p: Params) -> DataFrame:
-    day = F.col("order_date_only")
     recent = since(completed(orders, p), F.date_sub(F.lit(p.as_of), p.days_back))
     daily = recent.groupBy(F.col("order_date").cast("date").alias("order_date_only")).agg(
         total("total_price").alias("daily_revenue"),
@@ -71,6 +74,11 @@ def revenue_daily(orders: DataFrame, p: Params) -> DataFrame:
         F.count_distinct("customer_id").alias("daily_unique_customers"),
         F.count("total_price").alias("_priced"),
     )
+    return daily_mart(daily, p)
+
+
+def daily_mart(daily: DataFrame, p: Params) -> DataFrame:
+    day = F.col("order_date_only")
     return daily.select(
         day,
         F.dayofweek(day).alias("day_of_week"),
@@ -85,7 +93,11 @@ def revenue_daily(orders: DataFrame, p: Params) -> DataFrame:
 
 def monthly_trend(orders: DataFrame, p: Params) -> DataFrame:
     """Monthly report with the average order value."""
-    return _by_month(orders, p).select(
+    return trend_mart(_by_month(orders, p))
+
+
+def trend_mart(by_month: DataFrame) -> DataFrame:
+    return by_month.select(
         "order_month",
         "total_orders",
         F.col("total_revenue").alias("monthly_revenue"),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from basketlens import jobs
 from basketlens.operators import changes, checks, cleaning, incremental, interactions
 from basketlens.plans import customers, features, ingest, products, recommend, revenue
+from basketlens.plans.revenue_state import RevenueState
 from basketlens.schemas import BIGINT, INT, PRICE, STRING, TABLES, TIMESTAMP, schema_of
 from basketlens.session import pin_utc, scratch
 from basketlens.sinks import marts as mart_sink
@@ -100,6 +101,36 @@ def monthly_trend(spark, sf):
     return revenue.monthly_trend(shop.orders(spark, sf), P)
 
 
+def _revenue_state(spark: SparkSession, sf: str) -> RevenueState:
+    """Two runs of what arrived, the second with orders of earlier days that came late and repeated once,
+    and a third put together with the first."""
+    orders = shop.orders(spark, sf)
+    late = F.col("order_id") % 7 == 0
+    last = F.col("order_date") >= _utc("2001-07-01")
+    state = RevenueState(spark, scratch(spark, "revenue-state"))
+    state.add(orders.filter(~late & ~last), P, "2001-07-01")
+    state.add(orders.filter(late & ~last), P, "2001-07-02")
+    for _ in range(2):
+        state.add(orders.filter(last), P, "2001-08-01")
+    state.compact(["2001-07-01", "2001-07-02"], "to-2001-07-02")
+    return state
+
+
+@query
+def revenue_monthly_from_state(spark, sf):
+    return _revenue_state(spark, sf).revenue_monthly(P)
+
+
+@query
+def revenue_daily_from_state(spark, sf):
+    return _revenue_state(spark, sf).revenue_daily(P)
+
+
+@query
+def monthly_trend_from_state(spark, sf):
+    return _revenue_state(spark, sf).monthly_trend(P)
+
+
 # --- products --------------------------------------------------------------------------------
 
 
