@@ -21,8 +21,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from basketlens.llm.common import columns_of, fields_of, map_arrow, require, ship, staged
@@ -80,9 +81,10 @@ def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
 NAMED = "doc_id long, n_shingles long, s1 long, s2 long"
 
 
-def named_sets(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Per row the size and the name of its set."""
-    schema = fields_of(NAMED)
+def named_sets(docs: DataFrame, settings: Settings, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Per row the size and the name of its set, and the ``carried`` columns, which are longs."""
+    ddl = NAMED + "".join(f", {c} long" for c in carried)
+    schema = fields_of(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -90,9 +92,9 @@ def named_sets(docs: DataFrame, settings: Settings) -> DataFrame:
             found = [(len(s), *_name(s)) for s in _sets(batch, words, settings)]
             if found:
                 n, s1, s2 = zip(*found)
-                yield _rows(schema, batch.column("doc_id"), n, s1, s2)
+                yield _rows(schema, batch.column("doc_id"), n, s1, s2, *(batch.column(c) for c in carried))
 
-    return map_arrow(docs, run, NAMED)
+    return map_arrow(docs, run, ddl)
 
 
 # --- 1. the order ------------------------------------------------------------------------------
@@ -474,36 +476,72 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     docs = require(docs, "doc_id", "text")
     named = staged(named_sets(docs, settings), "sets")
+    whole = _classes(docs, named, F.min("doc_id"), settings)
+    return (
+        named.join(whole, ["s1", "s2"], "left")
+        .select("doc_id", "n_shingles",
+                F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    )
+
+
+def _classes(docs: DataFrame, named: DataFrame, first: Column, settings: Settings) -> DataFrame:
+    """Per set ``s1``, ``s2`` that is not empty ``least``, the smallest of what ``first`` takes from the rows of each set
+    of its component."""
     blocks = candidate_blocks(docs, settings)
     links = staged(_block_links(docs, named, blocks, settings), "links").where("s1 <> l1 OR s2 <> l2")
     text = lambda a, b: F.concat_ws(":", F.col(a), F.col(b))
     ties = links.select(text("s1", "s2").alias("node"), text("l1", "l2").alias("component"))
     if blocks.where(F.col("total") > settings.block).limit(1).count():
         ties = connected_components(ties.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    first = named.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"))
+    firsts = named.where("n_shingles > 0").groupBy("s1", "s2").agg(first.alias("first"))
     members = ties.union(ties.select("component", "component")).distinct()
     whole = (
-        members.join(first.withColumn("node", text("s1", "s2")), "node")
+        members.join(firsts.withColumn("node", text("s1", "s2")), "node")
         .select("s1", "s2", "component", "first")
     )
     least = whole.groupBy("component").agg(F.min("first").alias("least"))
     known = whole.join(least, "component").select("s1", "s2", "least")
-    whole = first.join(known, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("least", "first").alias("component_id"))
+    whole = firsts.join(known, ["s1", "s2"], "left").select("s1", "s2", F.coalesce("least", "first").alias("least"))
     # Written, so that both sides of the last join are plain shuffles: a set that very many rows
     # have can then be split over tasks.
-    whole = staged(whole, "classes")
-    return (
-        named.join(whole, ["s1", "s2"], "left")
-        .select("doc_id", "n_shingles",
-                F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    )
+    return staged(whole, "classes")
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest doc_id."""
-    found = components(docs, settings).where("doc_id <> component_id").select(F.col("doc_id").alias("copy")).distinct()
-    found = staged(found, "copies")
-    if found.count() <= settings.broadcast_rows:
-        found = F.broadcast(found)
+    """``docs`` with one row of each component: that with the smallest doc_id, of several texts with that
+    id the one with the smallest hash.
+
+    A document is its id and its text, so a text that shares its id with a copy stays, and of repeated
+    rows one stays, of empty texts as well. Rows without an id come after all others: one stays where no
+    row with an id is similar.
+    """
+    texts = docs.select("doc_id", "text")
+    named = named_sets(texts.withColumn("text_hash", F.xxhash64("text")), settings, ("text_hash",))
+    named = staged(named, "sets")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    whole = _classes(texts, named, F.min(key), settings)
+    same = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    copies = named.where("n_shingles > 0").join(whole, ["s1", "s2"]).where(~same).select("doc_id", "text_hash").distinct()
+    copies = staged(copies, "copies")
+    repeated = named.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    repeated = staged(_without(repeated, copies, F.col("doc_id"), F.col("text_hash"), settings), "repeated")
     rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("doc"))
-    return rows.join(found, F.col("doc.doc_id") == F.col("copy"), "left_anti").select(*columns_of(docs))
+    its_id, its_hash = F.col("doc.doc_id"), F.xxhash64("doc.text")
+    kept = _without(rows, copies, its_id, its_hash, settings)
+    if repeated.limit(1).count():
+        # Only rows that have a repeat are gathered by it, one per task before the shuffle.
+        others = [f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+        nth = F.row_number().over(W.partitionBy("id", "hash").orderBy("row"))
+        again = _without(kept, repeated, its_id, its_hash, settings, "left_semi").select(
+            "doc", its_id.alias("id"), its_hash.alias("hash"), F.xxhash64(*(F.col(f"doc.`{n}`") for n in others)).alias("row"))
+        once = again.withColumn("nth", nth).where("nth = 1").select("doc")
+        kept = _without(kept, repeated, its_id, its_hash, settings).union(once)
+    return kept.select(*columns_of(docs))
+
+
+def _without(rows: DataFrame, documents: DataFrame, id_: Column, hash_: Column, settings: Settings, how: str = "left_anti") -> DataFrame:
+    """``rows`` whose id and text hash are not (or, as a semi join, are) among ``documents``."""
+    gone = documents.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    if documents.count() <= settings.broadcast_rows:
+        gone = F.broadcast(gone)
+    return rows.join(gone, id_.eqNullSafe(F.col("gone_id")) & (hash_ == F.col("gone_hash")), how)

@@ -98,6 +98,20 @@ def test_one_of_each_component_stays(spark):
     assert left == sorted(d for d, _, c in brute(rows) if d == c)
 
 
+def test_a_document_is_its_id_and_its_text(spark):
+    t, u, v = (" ".join(f"{name}{i}" for i in range(60)) for name in "tuv")
+    near = t + " more"
+    rows = [(1, t), (1, t), (2, t), (None, t), (2, u), (2, u), (1, v), (None, "alone " * 9), (None, "alone " * 9), (4, near), (1, near),
+            (7, ""), (7, ""), (8, None), (8, None), (8, ""), (None, None), (None, None)]
+    left = [(r.doc_id, r.text) for r in join.keep_one(frame(spark, rows).repartition(3)).collect()]
+    one = [x for x in left if x in ((1, t), (1, near))]  # of two texts under the smallest id, either
+    assert len(one) == 1
+    want = one + [(2, u), (1, v), (None, "alone " * 9), (7, ""), (8, None), (8, ""), (None, None)]
+    assert sorted(left, key=repr) == sorted(want, key=repr)
+    same = join.keep_one(frame(spark, [(None, t), (9, near), (None, u), (None, u + " x")]))
+    assert sorted(r.doc_id is None for r in same.collect()) == [False, True]
+
+
 def test_the_tree_finds_every_link():
     r = np.random.default_rng(2)
     for _ in range(60):
