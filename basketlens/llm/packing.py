@@ -27,10 +27,11 @@ from basketlens.llm.tokens import encoder
 @dataclass(frozen=True)
 class Capacity:
     """Of one sequence. ``attention`` bounds the sum of squared piece lengths; by default one piece
-    that fills the sequence reaches it."""
+    that fills the sequence reaches it. By default neither documents nor attention end a sequence
+    before its tokens do; they weigh in the fit."""
 
     tokens: int = 2048
-    documents: int = 512
+    documents: int = 2048
     attention: int | None = None
 
     @property

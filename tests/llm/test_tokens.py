@@ -146,3 +146,38 @@ def test_packing_comes_close_to_the_least_number():
     places = packing.plan(dict(zip(lengths.tolist(), n.tolist())), packing.Capacity())
     sequences = max(p[3] + p[2] for p in places)
     assert sequences <= 1.01 * -(-int((lengths * n).sum()) // 2048)
+
+
+def test_many_empty_texts_fill_sequences(spark):
+    rows = packing.pack_documents(docs(spark, [None if i % 2 else "" for i in range(5000)], list(range(5000))), WORD_BPE).collect()
+    bins = defaultdict(list)
+    for r in rows:
+        assert (r.piece, r.start, r.length) == (0, 0, 1)
+        bins[r.sequence_id].append(r.offset)
+    assert len(rows) == 5000 and len(bins) == 3  # of 2048 tokens each
+    assert all(sorted(at) == list(range(len(at))) for at in bins.values())
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    counts=st.dictionaries(st.integers(1, 64), st.integers(1, 9), min_size=1, max_size=12), documents=st.sampled_from([3, 8, 64]),
+    score=st.sampled_from(["norm", "dot"]), attention=st.sampled_from([None, 64 * 64, 5000]),
+)
+def test_plan_takes_as_many_sequences_as_piece_by_piece(counts, documents, score, attention):
+    capacity = packing.Capacity(64, documents, attention)
+    total, bins = capacity.vector, []
+    for length in sorted(counts, reverse=True):
+        need = capacity.need(length)
+        for _ in range(counts[length]):
+            fitting = []
+            for left in set(map(tuple, bins)):
+                if all(r >= n for r, n in zip(left, need)):
+                    rest = [(r - n) / c for n, r, c in zip(need, left, total)]
+                    share = [n / c for n, c in zip(need, total)]
+                    value = sum(x * x for x in rest) if score == "norm" else sum(x * y for x, y in zip(rest, share))
+                    fitting.append((value, left))
+            left = min(fitting)[1] if fitting else tuple(total)
+            if fitting:
+                bins.remove(left)
+            bins.append(tuple(r - n for n, r in zip(need, left)))
+    assert len(bins) == max(first + number for _, _, number, first, _ in packing.plan(counts, capacity, score))
