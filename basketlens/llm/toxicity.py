@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -58,7 +59,8 @@ def fold(text: str) -> list[str]:
 class Training:
     """Bounds of what is learned from: rows of either label, those with the smallest hashes. Half
     of them teach the lexicon, half the curve. ``prefixes``: lengths of word beginnings tried. An
-    entry is in ``least`` toxic rows at least and in ``share`` of them."""
+    entry is in ``least`` toxic rows at least and in ``share`` of them, which bounds the lexicon: it
+    has at most the entries of ``1 / share`` average toxic rows."""
 
     toxic: int = 5_000
     clean: int = 10_000
@@ -66,8 +68,6 @@ class Training:
     least: int = 3
     share: float = 0.01
     weight: float = 2.5
-    entries: int = 20_000
-    candidates: int = 200_000
     exceptions: tuple[str, ...] = EXCEPTIONS
 
 
@@ -109,10 +109,28 @@ def weigh(words: list[str], automaton: ahocorasick.Automaton) -> tuple[float, in
         else:
             covered.append((begin, end))
     if covered and best:
-        best = {i: w for i, w in best.items() if not any(a <= i < z for a, z in covered)}
+        best = outside(best, covered)
     return math.fsum(best.values()), len(best)
 
 
+def outside(best: dict[int, float], covered: list[tuple[int, int]]) -> dict[int, float]:
+    """The places that lie in none of the intervals, by one search each among merged intervals."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for a, z in sorted(covered):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], z)
+        else:
+            begins.append(a)
+            ends.append(z)
+
+    def free(place: int) -> bool:
+        k = bisect_right(begins, place) - 1
+        return k < 0 or place >= ends[k]
+
+    return {i: w for i, w in best.items() if free(i)}
+
+
 def entries_of(words: list[str], prefixes: tuple[int, ...]) -> set[str]:
     some = set(words)
     out = {f" {w} " for w in some if len(w) > 2}
@@ -168,7 +186,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
 
     lesson = rows.where("half = 0")
     tried = counted(lesson.where("toxic = 1"), None).where(F.col("n") >= max(training.least, training.share * n_toxic))
-    in_toxic = {r["entry"]: r["n"] for r in tried.orderBy(F.desc("n"), "entry").limit(training.candidates).collect()}
+    in_toxic = {r["entry"]: r["n"] for r in tried.collect()}
     in_clean = {r["entry"]: r["n"] for r in counted(lesson.where("toxic = 0"), frozenset(in_toxic)).collect()}
     weights = {
         e: math.log((n + 0.5) / (n_toxic + 1)) - math.log((in_clean.get(e, 0) + 0.5) / (n_clean + 1))
@@ -182,10 +200,10 @@ def learn(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
 
 
 def chosen(weights: dict[str, float], training: Training) -> dict[str, float]:
-    """Entries of enough weight, the heaviest ones; one that a shorter entry covers as well is left out."""
-    high = sorted((e for e, w in weights.items() if w >= training.weight), key=lambda e: (-weights[e], e))[: training.entries]
+    """Entries of enough weight; one that a shorter entry covers as well is left out."""
+    high = (e for e, w in weights.items() if w >= training.weight)
     kept: dict[str, float] = {}
-    for entry in sorted(high, key=len):
+    for entry in sorted(high, key=lambda e: (len(e), e)):
         shorter = [kept[entry[:k]] for k in range(2, len(entry)) if entry[:k] in kept]
         if not shorter or max(shorter) < weights[entry] - 0.5:
             kept[entry] = weights[entry]

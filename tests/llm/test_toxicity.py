@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 from hypothesis import given, settings
@@ -44,6 +45,27 @@ def test_phrases_cover_their_words():
     assert toxicity.weigh(toxicity.fold("clowns clown"), automaton) == (1.0, 1)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 60), max_size=20), st.lists(st.tuples(st.integers(0, 50), st.integers(0, 12)), max_size=12))
+def test_places_outside_of_phrases(places, spans):
+    spans = [(a, a + n) for a, n in spans]
+    got = toxicity.outside(dict.fromkeys(places, 1.0), spans)
+    assert set(got) == {i for i in places if not any(a <= i < z for a, z in spans)}
+
+
+def test_very_many_phrases_in_one_text():
+    automaton = toxicity.Model({" trash": 2.0}, toxicity.EXCEPTIONS).automaton()
+
+    def seconds(n):
+        words = ["trash", "can", "trash"] * n
+        begin = time.process_time()
+        assert toxicity.weigh(words, automaton) == (2.0 * n, n)
+        return time.process_time() - begin
+
+    few, many = min(seconds(2_500) for _ in range(3)), min(seconds(40_000) for _ in range(2))
+    assert many < 60 * max(few, 0.005)
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(i, t, 1, 0, "s") for i, t in rows], SCHEMA)
 
