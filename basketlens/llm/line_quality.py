@@ -1,8 +1,9 @@
 """Quality rules: lines that many documents of one host share, and documents made of such lines.
 
-Lines are normalised and hashed. A line found in more documents of its host than the limit is
+Lines are normalised and hashed. A line found in too large a share of its host's documents is
 removed, save from the first document that has it, and a document left with too small a share of
-its words is rejected. Documents with equal text count once, so that copies, which are a matter
+its words is rejected. As the limit is a share, a document is judged alike in a small and in a large
+host; lines of few letters, such as numbers or closing brackets, are common anywhere and stay. Documents with equal text count once, so that copies, which are a matter
 of near-duplicate search, do not make their own lines look like boilerplate.
 
 Only DataFrame functions are used. A window of three words is compared by a 64-bit hash first, and
@@ -21,16 +22,20 @@ from basketlens.llm.common import columns_of, let, require, staged, with_changes
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
+NO_LETTER = r"[\x00-\x40\x5B-\x60\x7B-\x7F]"
 
 
 @dataclass(frozen=True)
 class Limits:
-    """``documents``: a line in more documents of a host is removed. ``left``: a document that keeps
-    a smaller share of its words is rejected."""
+    """A line is removed that is in more than ``percent`` of a host's documents with words, in more than
+    ``documents`` of them, and has ``letters`` letters or more once normalised. ``left``: a document
+    that keeps a smaller share of its words is rejected."""
 
     words: int = 50
     repeat_percent: int = 50
-    documents: int = 50
+    percent: int = 2
+    documents: int = 10
+    letters: int = 16
     left: float = 0.2
     broadcast_bytes: int = 32 << 20
 
@@ -86,6 +91,11 @@ def normal_line(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(line)), r"\s+", " "), "[0-9]+", "0")
 
 
+def lettered(line: Column, least: int) -> Column:
+    """Whether a line has as many letters, which are all characters but the others of ASCII."""
+    return line.rlike(f"^(?:{NO_LETTER}*+[^{NO_LETTER[1:-1]}]){{{least}}}")
+
+
 def base_columns(limits: Limits = Limits()) -> dict[str, Column]:
     """Counts of the base rules on a column ``text``; null counts as empty."""
     text = F.coalesce("text", F.lit(""))
@@ -118,9 +128,13 @@ def judged(docs: DataFrame, host: str = "source", limits: Limits = Limits()) ->
     verdicts; an empty table gives no rows. Further columns are left out.
     """
     rows = require(docs, "doc_id", "text", *({host} - {"doc_id", "text"})).withColumn("host", F.col(host))
-    hashed = F.transform(
+    normal = F.transform(
         lines_of(F.coalesce("text", F.lit(""))),
-        lambda line: F.struct(F.xxhash64(normal_line(line)).alias("line"), F.size(words_of(line)).alias("words")),
+        lambda line: F.struct(normal_line(line).alias("line"), F.size(words_of(line)).alias("words")),
+    )
+    hashed = F.transform(
+        F.filter(normal, lambda x: lettered(x.line, limits.letters)),
+        lambda x: F.struct(F.xxhash64(x.line).alias("line"), x.words.alias("words")),
     )
     stats = (
         with_base(rows.withColumn("text_hash", F.xxhash64("text")), limits)
@@ -135,9 +149,15 @@ def judged(docs: DataFrame, host: str = "source", limits: Limits = Limits()) ->
     each = each.select("row", "doc_id", "host", "text_hash", "one.*")
     # Copies first, so that a line of a text with many copies arrives once per task and text.
     texts = each.groupBy("host", "line", "text_hash").agg(F.min("doc_id").alias("first"))
+    hosts = (
+        stats.where("n_words > 0").select("host", "text_hash").distinct()
+        .groupBy("host").agg(F.count("*").alias("all")).withColumnRenamed("host", "of_host")
+    )
     common = (
         texts.groupBy("host", "line").agg(F.count("*").alias("documents"), F.min("first").alias("first"))
         .where(F.col("documents") > limits.documents)
+        .join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
+        .where(100 * F.col("documents") > limits.percent * F.col("all"))
         .select(F.col("host").alias("on_host"), F.col("line").alias("common"), "first")
     )
     found = each.join(

@@ -17,8 +17,15 @@ WITH d AS (
          regexp_replace(regexp_replace(lower(trim(line, ' ')), '[ \t\n\x0B\f\r]+', ' ', 'g'), '[0-9]+', '0', 'g') AS line,
          len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
   FROM each
+), hosts AS (
+  SELECT source, count(DISTINCT raw) AS texts FROM d WHERE len(words) > 0 GROUP BY source
+), often AS (
+  SELECT source, line, min(doc_id) AS first, count(DISTINCT raw) AS documents FROM normal
+  WHERE length(regexp_replace(line, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g')) >= 16
+  GROUP BY source, line HAVING count(DISTINCT raw) > 10
 ), common AS (
-  SELECT source, line, min(doc_id) AS first FROM normal GROUP BY source, line HAVING count(DISTINCT raw) > 50
+  SELECT o.source, o.line, o.first FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
+  WHERE 100 * o.documents > 2 * h.texts
 ), lost AS (
   SELECT n.doc_id, sum(n.words) AS lost, count(DISTINCT n.line) AS lines_removed
   FROM normal n JOIN common c ON n.source IS NOT DISTINCT FROM c.source AND n.line = c.line

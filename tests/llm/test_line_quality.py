@@ -39,8 +39,10 @@ def normal(line):
 
 def verdicts(rows, limits):
     """(lines removed, kept) of each (doc_id, text, host) in turn."""
-    texts, first = defaultdict(set), {}
+    texts, first, hosts = defaultdict(set), {}, defaultdict(set)
     for doc_id, text, host in rows:
+        if words(text or ""):
+            hosts[host].add(text)
         for x in {normal(x) for x in (text or "").split("\n") if words(x)}:
             texts[host, x].add(text)
             first[host, x] = min(first.get((host, x), doc_id), doc_id)
@@ -49,6 +51,8 @@ def verdicts(rows, limits):
         gone = [
             x for x in (text or "").split("\n")
             if words(x) and len(texts[host, normal(x)]) > limits.documents and first[host, normal(x)] != doc_id
+            and 100 * len(texts[host, normal(x)]) > limits.percent * len(hosts[host])
+            and sum(c.isascii() <= c.isalpha() for c in normal(x)) >= limits.letters
         ]
         n = len(words(text or ""))
         left = n - sum(len(words(x)) for x in gone)
@@ -77,6 +81,12 @@ def own(i):
     return BODY.replace("w", chr(97 + i) + "v")
 
 
+def unlike(i):
+    """A text of its own, line by line."""
+    name = "".join(LETTERS[int(c)] for c in str(i))
+    return "\n".join(" ".join(f"{name}{LETTERS[k]}{LETTERS[j]}" for j in range(12)) for k in range(6))
+
+
 SHARED = "this line is on every page of the site and says nothing"
 LETTERS = "abcdefghijkl"
 BODY = "\n".join(" ".join(f"w{LETTERS[k]}{LETTERS[j]}" for j in range(12)) for k in range(6))
@@ -106,6 +116,21 @@ def test_clean_removes_lines_and_documents(spark):
         assert all(texts[i] == (rows[i][1][len(SHARED) + 1 :], len(rows[i][1]) - len(SHARED) - 1) for i in range(1, 8))
 
 
+def test_the_limit_follows_the_host_and_short_lines_stay(spark):
+    limits = quality.Limits(documents=3, percent=20)
+    rows = []
+    for host, n in (("small", 40), ("large", 400), (None, 80)):
+        for i in range(n):
+            some = [f"{SHARED} {i}"] * (i % 4 == 0) + ["only in one of ten documents of it"] * (i % 10 == 0)
+            rows.append((len(rows), "\n".join([*some, "}", "References", "--- 1 ---", "ñéñéñéñéñéñéñéñé", unlike(len(rows))]), host))
+    rows += [(len(rows) + i, " \n", "small") for i in range(300)]  # no words, so they do not count
+    df = quality.judged(frame(spark, rows), limits=limits)
+    assert results(df) == expected(rows, limits)
+    got = {r.doc_id: len(r.removed or []) for r in df.collect()}
+    for begin, n in ((0, 40), (40, 400), (440, 80)):
+        assert [got[begin + i] for i in range(1, n)] == [1 + (i % 4 == 0) for i in range(1, n)]
+
+
 def test_no_documents(spark):
     assert quality.judged(frame(spark, [])).count() == 0
     assert quality.clean(frame(spark, [])).count() == 0
