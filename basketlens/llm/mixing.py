@@ -12,7 +12,7 @@ Only DataFrame functions and Spark's machine-learning library are used.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
@@ -31,8 +31,7 @@ class Mix:
     """``weights``: of all tokens wanted, by domain. ``tokens``: wanted in all; by default as many as
     leave the tokens of the ``whole`` domain as they are. ``rows``: labelled documents learned from
     at most, those with the smallest hashes. ``features``: cells of hashed word beginnings.
-    ``surely``: a row with at least this rate keeps a copy, so that chance drops no document that the
-    mix wants about once."""
+    ``most``: no rate is above it, so that with 1 rows are only thinned."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"clean": 0.96, "low": 0.03, "toxic": 0.01})
     tokens: float | None = None
@@ -42,7 +41,7 @@ class Mix:
     prefix: int = 4
     steps: int = 25
     tolerance: float = 1e-4
-    surely: float = 0.8
+    most: float | None = None
     broadcast_rows: int = 1_000_000
 
     @property
@@ -109,13 +108,16 @@ def memberships(docs: DataFrame, labels: DataFrame, mix: Mix) -> DataFrame:
 
 
 def rate_of(mix: Mix, steps: list[list[float]]) -> Column:
-    """The rate after the steps: from one, each moves it by the row's memberships, never below zero."""
+    """The rate after the steps: from one, each moves it by the row's memberships, never below zero and
+    never above ``mix.most``."""
     rate = F.lit(1.0)
     for step in steps:
         moved = rate
         for name, u in zip(mix.domains, step):
             moved = moved - F.col(f"p_{name}") * F.lit(float(u))
         rate = F.greatest(F.lit(0.0), moved)
+        if mix.most is not None:
+            rate = F.least(F.lit(float(mix.most)), rate)
     return rate
 
 
@@ -171,14 +173,22 @@ def rates(docs: DataFrame, labels: DataFrame, mix: Mix = Mix()) -> DataFrame:
     steps, _ = fitted(rows, mix)
     rate = F.round(rate_of(mix, steps), 6)
     chance = (F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("mix")), F.lit(1 << 20)) + 0.5) / (1 << 20)
-    least = F.when(F.col("rate") >= mix.surely, 1).otherwise(0)
-    return rows.withColumn("rate", rate).withColumn("copies", F.greatest(least, F.floor(F.col("rate") + 1 - chance).cast("int")))
+    return rows.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + 1 - chance).cast("int"))
+
+
+def realised(rates: DataFrame, mix: Mix = Mix()) -> dict[str, float]:
+    """Tokens of each domain as the copies of ``rates`` have them, by memberships."""
+    names = mix.domains
+    sums = rates.agg(*(F.sum(F.col("copies") * F.col("n_tokens") * F.col(f"p_{n}")) for n in names)).first()
+    return {n: x or 0.0 for n, x in zip(names, sums)}
 
 
 def mixed(docs: DataFrame, labels: DataFrame, mix: Mix = Mix(), repeat: bool = False) -> DataFrame:
     """``docs`` at their rates: rows without copies go, and with ``repeat`` rows come as often as they
-    have copies. Changes are found by (doc_id, text hash) and broadcast up to
+    have copies. Without it no row comes twice, so the rates are fitted below one. Changes are found by (doc_id, text hash) and broadcast up to
     ``mix.broadcast_rows`` rows; beyond that the join shuffles."""
+    if not repeat:
+        mix = replace(mix, most=min(1.0, 1.0 if mix.most is None else mix.most))
     changes = rates(docs, labels, mix).where("copies <> 1" if repeat else "copies < 1")
     changes = staged(changes.select("doc_id", "text_hash", "copies").dropDuplicates(["doc_id", "text_hash"]), "mixing-changes")
     joined = with_changes(docs, changes, changes.count() <= mix.broadcast_rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -69,13 +70,59 @@ def test_given_budget_and_weights(spark):
     assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in rows)
 
 
+def least_squares(a, target, most, rounds=20_000):
+    """Rates in [0, most] with the least sum of squared differences, by accelerated projected gradient."""
+    x = y = np.ones(a.shape[1])
+    step, k = 1 / np.linalg.norm(a, 2) ** 2, 1.0
+    for _ in range(rounds):
+        new = np.clip(y - step * a.T @ (a @ y - target), 0, most)
+        if (y - new) @ (new - x) > 0:
+            k = 1.0
+        after = (1 + (1 + 4 * k * k) ** 0.5) / 2
+        x, y, k = new, new + (k - 1) / after * (new - x), after
+    return x
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+@pytest.mark.parametrize("weights", [(0.96, 0.03, 0.01), (0.5, 0.3, 0.2)])
+def test_rates_against_plain_least_squares(spark, most, weights):
+    texts, labels = made(400)
+    mix = mixing.Mix(weights=dict(zip(("clean", "low", "toxic"), weights)), most=most)
+    rows = mixing.memberships(frame(spark, texts + ODD[:5]), spark.createDataFrame(labels, LABELS), mix)
+    steps, target = mixing.fitted(rows, mix)
+    got = rows.withColumn("rate", mixing.rate_of(mix, steps)).collect()
+    a = np.array([[r.n_tokens * r[f"p_{n}"] for r in got] for n in mix.domains])
+    wanted = np.array([target[n] for n in mix.domains])
+    rate = np.array([r.rate for r in got])
+    assert (rate >= 0).all() and (most is None or (rate <= most).all())
+    ours = np.linalg.norm(a @ rate - wanted)
+    best = np.linalg.norm(a @ least_squares(a, wanted, most) - wanted)
+    assert ours <= 1.02 * best + 1e-3 * wanted.sum()
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_copies_have_the_fitted_tokens(spark, most):
+    texts, labels = made(3000)
+    mix = mixing.Mix(most=most)
+    rates = mixing.rates(frame(spark, texts), spark.createDataFrame(labels, LABELS), mix)
+    rows = rates.collect()
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in rows)
+    real = mixing.realised(rates, mix)
+    for n in mix.domains:
+        part = np.array([r.n_tokens * r[f"p_{n}"] for r in rows])
+        rate = np.array([r.rate for r in rows])
+        spread = np.sqrt((part**2 * (rate % 1) * (1 - rate % 1)).sum())
+        assert abs(real[n] - part @ rate) <= 4 * spread + 1e-6
+
+
 @pytest.mark.parametrize("bound", [0, 1000])
 def test_rows_come_at_their_rates(spark, bound):
     texts, labels = made(300)
     docs, said = frame(spark, texts + ODD), spark.createDataFrame(labels, LABELS)
     mix = mixing.Mix(weights={"clean": 0.9, "low": 0.05, "toxic": 0.05}, broadcast_rows=bound)
-    copies = {r.doc_id: r.copies for r in mixing.rates(docs, said, mix).collect()}
-    got = mixing.mixed(docs, said, mix)
+    copies = {r.doc_id: r.copies for r in mixing.rates(docs, said, replace(mix, most=1.0)).collect()}
+    assert set(copies.values()) == {0, 1}
+    got = mixing.mixed(docs, said, mix)  # no row comes twice, so rates end at one
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, n in copies.items() if n > 0)
     twice = mixing.Mix(weights={"clean": 0.9, "low": 0.05, "toxic": 0.05}, tokens=40000, broadcast_rows=bound)

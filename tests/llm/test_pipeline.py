@@ -45,7 +45,8 @@ def test_every_stage(spark):
             assert all(len(r.text) == r.n_chars for r in after if r.text != {b.doc_id: b.text for b in before}[r.doc_id])
         if name == "target_mix":
             labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-            copies = {r.doc_id: r.copies for r in mixing.rates(spark.createDataFrame(before, docs.schema), labels).collect()}
+            copies = {r.doc_id: r.copies for r in mixing.rates(
+                spark.createDataFrame(before, docs.schema), labels, mixing.Mix(most=1.0)).collect()}
             assert set(texts) == {i for i, n in copies.items() if n}
         if name == "best_fit_packing":
             check_packed(after, [(r.doc_id, r.text) for r in before])
