@@ -5,7 +5,8 @@
    the beginnings of sets.
 2. Two sets that are similar enough share several shingles among their first ones. Shingles that
    occur among the first ones of two sets tie these sets to a block; a set with too few such
-   shingles has no partner and leaves.
+   shingles has no partner and leaves. Its weakest ties go as well, as far as similar sets have more
+   of them: else passages that unrelated sets share by chance tie ever larger blocks as a corpus grows.
 3. Each block is joined in a task by a prefix tree: its sets are inserted one by one, shared
    beginnings are compared once for all sets below, and a subtree is left as soon as the lengths
    that remain cannot reach the overlap needed, or when all its sets are linked already.
@@ -16,7 +17,7 @@ Equal sets are one set throughout. Overlaps are counted in full, so no link is m
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ class Settings:
     """``evidence``: the share of a set that similar sets must have in common among their first
     shingles. ``frequent``: how many shingles are known as frequent; they are broadcast, 12 bytes
     each. ``count_bits``: of a hash, by which shingles are counted. ``block``: shingles of one
-    task; a larger block is dealt out in pairs of parts. ``broadcast_rows``: up to so many ids of
+    task; the sets of a larger block are tied anew by all their shingles, and a block that stays
+    larger is dealt out in pairs of parts. ``broadcast_rows``: up to so many ids of
     documents in blocks are broadcast, beyond that joined by a shuffle."""
 
     words: int = 5
@@ -180,16 +182,19 @@ def frequent_shingles(docs: DataFrame, settings: Settings) -> np.ndarray:
 
 # --- 2. blocks ---------------------------------------------------------------------------------
 
-# ``meta`` holds the size of the set, and in its lower half how often the node is known to share.
+# ``meta`` holds the size of the set, and in its lower half how often the node is known to share, with
+# the mark ``STANDS`` where it stands for further sets of its task.
 FIRST = "shingle long, node long, meta long"
+STANDS = 1 << 31
+TOGETHER = 16  # so many sets of a task that share a shingle are tied there
 
 
 def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFrame:
     """Rows (shingle, node) for the first shingles of each set.
 
-    Sets of one task that share a shingle are tied there: one of them stands for all, and each other
-    one shares a made-up shingle with it, sent once with the number of shingles it stands for. So a
-    shingle that very many sets share arrives once per task.
+    Where many sets of one task share a shingle they are tied there: one of them stands for all, and
+    each other one shares a made-up shingle with it, sent once with the number of shingles it stands
+    for. So a shingle that very many sets share arrives a bounded number of times per task.
     """
     spark = docs.sparkSession
     bits = np.uint64(64 - settings.count_bits)
@@ -214,12 +219,12 @@ def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) ->
             shingle, node, size = shingle[by], node[by], size[by]
             begins = np.append(True, shingle[1:] != shingle[:-1])
             group = np.cumsum(begins) - 1
-            many = (np.bincount(group) > 1)[group]
-            lead = node[np.flatnonzero(begins)][group]
-            yield _rows(schema, shingle[begins], node[begins], (size[begins] << 32) + many[begins])
-            if not begins.all():
-                lead_size = size[np.flatnonzero(begins)][group]
-                pairs = np.stack([node, lead, size, lead_size], axis=1)[~begins]
+            many = (np.bincount(group) >= TOGETHER)[group]
+            sent = begins | ~many
+            yield _rows(schema, shingle[sent], node[sent], (size[sent] << 32) + many[sent] * (STANDS + 1))
+            if not sent.all():
+                first = np.flatnonzero(begins)[group]
+                pairs = np.stack([node, node[first], size, size[first]], axis=1)[~sent]
                 pairs, n = np.unique(pairs, axis=0, return_counts=True)
                 one, to, one_size, to_size = np.ascontiguousarray(pairs.T)
                 tie = mix(one.view(np.uint64) * BASE + to.view(np.uint64)).view(np.int64)
@@ -256,21 +261,44 @@ def first_shingles(docs: DataFrame, frequent: np.ndarray, settings: Settings) ->
     return map_arrow(docs.select("text"), run, FIRST)
 
 
-def candidate_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
+def candidate_blocks(docs: DataFrame, named: DataFrame, settings: Settings) -> DataFrame:
     """``node``, ``block``, ``size`` of the sets that may have a similar one: only sets of one block
-    can be similar. The node is half of a set's name; two sets with equal halves share a block."""
-    frequent = frequent_shingles(docs, settings)
+    can be similar. The node is half of a set's name; two sets with equal halves share a block.
+
+    Sets of a large block meet again by all their shingles. Of these a set shares most with a similar
+    one, while those that chance passages had tied share few, and leave.
+    """
+    blocks = _tied(docs, frequent_shingles(docs, settings), settings)
+    large = blocks.where(F.col("total") > settings.block).select("node")
+    if not large.limit(1).count():
+        return blocks
+    chosen = _texts_of(docs, named, large, settings)
+    anew = _tied(chosen, np.empty(0, np.uint64), replace(settings, evidence=settings.percent / 100))
+    # Other texts under a chosen doc_id are not of these blocks.
+    anew = anew.join(large, "node", "left_semi")
+    return staged(blocks.where(F.col("total") <= settings.block).unionByName(anew), "blocks")
+
+
+def _tied(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFrame:
+    """Blocks of the sets that share enough of their first shingles.
+
+    Two similar sets share a number of them, and a single one is enough to tie both to a block. So each
+    set drops its weakest ties, those to the nodes with which it shares least, up to less than half of
+    that number: one shingle at least stays tied on both sides. What drops out is chance.
+    """
     rows = first_shingles(docs, frequent, settings)
     by_shingle = W.partitionBy("shingle").orderBy("node")
     tied = F.first("node").over(by_shingle)
     follows = F.lead("node").over(by_shingle)
-    known = F.col("meta").bitwiseAND(F.lit((1 << 32) - 1))
+    known = F.col("meta").bitwiseAND(F.lit(STANDS - 1))
     found = rows.withColumns({"to": tied, "follows": follows}).select(
         "node", "to", F.shiftright("meta", 32).alias("size"),
         F.when(known > 0, known)
         .when((F.col("to") != F.col("node")) | (F.col("follows") != F.col("node")), 1).otherwise(0).alias("n"),
+        (F.col("meta").bitwiseAND(F.lit(STANDS)) > 0).alias("stands"),
     ).where("n > 0")
-    edges = staged(found.groupBy("node", "to").agg(F.sum("n").alias("n"), F.max("size").alias("size")), "ties")
+    edges = staged(found.groupBy("node", "to").agg(
+        F.sum("n").alias("n"), F.max("size").alias("size"), F.max("stands").alias("stands")), "ties")
     # A similar set may be smaller, down to the least overlap; then fewer shingles are shared.
     smaller = F.ceil(F.col("size") * settings.percent / 100)
     needed = F.greatest(F.lit(1), F.floor(F.lit(settings.evidence) * smaller - F.lit(1e-6)))
@@ -279,11 +307,13 @@ def candidate_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
         .where(F.col("n") >= needed).select("node", "size")
     )
     likely = staged(likely, "likely")
-    # A lead that is not likely itself still stands for likely sets of its task, so its own ties, to
-    # the first nodes of the shingles it was sent for, tie those sets as well.
-    own = edges.where("node <> to").join(likely.select("node"), "node", "left_semi")
-    leads = own.select(F.col("to").alias("node")).distinct().join(likely.select("node"), "node", "left_anti")
-    ties = own.union(edges.where("node <> to").join(leads, "node", "left_semi").select(*own.columns))
+    # What stands for further sets ties those as well, likely itself or not, and is never dropped.
+    weakest = W.partitionBy("node").orderBy("n", "to").rowsBetween(W.unboundedPreceding, 0)
+    own = (
+        edges.where("node <> to AND NOT stands").join(likely.select("node"), "node", "left_semi")
+        .withColumn("dropped", F.sum("n").over(weakest)).where(F.col("dropped") > F.floor((needed - 1) / 2))
+    )
+    ties = own.select("node", "to").union(edges.where("node <> to AND stands").select("node", "to"))
     labels = connected_components(ties.select(F.col("node").alias("a"), F.col("to").alias("b")))
     blocks = likely.join(labels, "node").select("node", F.col("component").alias("block"), "size")
     large = blocks.groupBy("block").agg(F.count("*").alias("sets"), F.sum("size").alias("total")).where("sets > 1")
@@ -414,14 +444,19 @@ def linked(sets: list[np.ndarray], percent: int) -> list[int]:
 LINKED = "s1 long, s2 long, l1 long, l2 long"
 
 
-def _block_links(docs: DataFrame, named: DataFrame, blocks: DataFrame, settings: Settings) -> DataFrame:
-    """Sets of blocks with the first set (``l1``, ``l2``) of their component within each task."""
-    spark = docs.sparkSession
+def _texts_of(docs: DataFrame, named: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """``text`` of one row at least per set of ``nodes``, and of the rows that share its doc_id."""
     first = named.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc"))
-    wanted = staged(first.join(blocks.select(F.col("node").alias("s1")), "s1", "left_semi").select("doc").distinct(), "wanted")
+    wanted = staged(first.join(nodes.select(F.col("node").alias("s1")), "s1", "left_semi").select("doc").distinct(), "wanted")
     if wanted.count() <= settings.broadcast_rows:
         wanted = F.broadcast(wanted)
-    chosen = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi").select("text")
+    return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi").select("text")
+
+
+def _block_links(docs: DataFrame, named: DataFrame, blocks: DataFrame, settings: Settings) -> DataFrame:
+    """Sets of blocks with the first set (``l1``, ``l2``) of their component within each task."""
+    spark = docs.sparkSession
+    chosen = _texts_of(docs, named, blocks, settings)
     sets_schema = "s1 long, s2 long, shingles binary"
     fields, out = fields_of(sets_schema), fields_of(LINKED)
 
@@ -487,7 +522,7 @@ def components(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def _classes(docs: DataFrame, named: DataFrame, first: Column, settings: Settings) -> DataFrame:
     """Per set ``s1``, ``s2`` that is not empty ``least``, the smallest of what ``first`` takes from the rows of each set
     of its component."""
-    blocks = candidate_blocks(docs, settings)
+    blocks = candidate_blocks(docs, named, settings)
     links = staged(_block_links(docs, named, blocks, settings), "links").where("s1 <> l1 OR s2 <> l2")
     text = lambda a, b: F.concat_ws(":", F.col(a), F.col(b))
     ties = links.select(text("s1", "s2").alias("node"), text("l1", "l2").alias("component"))

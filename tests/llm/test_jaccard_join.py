@@ -87,6 +87,23 @@ def test_links_across_tasks_by_way_of_long_documents(spark):
     assert sorted(tuple(r) for r in join.components(docs).collect()) == brute(here + there)
 
 
+def test_chance_passages_tie_no_block(spark):
+    """Families of near copies, each of which quotes a line of the next one."""
+    r = random.Random(4)
+    families = [[f"f{i}w{r.randrange(10**6)}" for _ in range(150)] for i in range(40)]
+    rows = []
+    for i, base in enumerate(families):
+        quoted = families[(i + 1) % 40][:6]
+        for k in range(3):
+            text = [*base[: 50 * k], f"own{k}", *base[50 * k :], *quoted]
+            rows.append((3 * i + k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "text")
+    settings = join.Settings()
+    blocks = join.candidate_blocks(docs, join.named_sets(docs, settings), settings)
+    assert max(b.sets for b in blocks.collect()) == 3
+    assert sorted(tuple(x) for x in join.components(docs).collect()) == brute(rows)
+
+
 def test_no_documents(spark):
     assert join.components(frame(spark, [])).count() == 0
     assert join.components(frame(spark, [(1, None), (2, "")])).count() == 2
