@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import fields_of, map_arrow, require, running_total, scratch, text_slices
-from basketlens.llm.tokens import encoder
+from basketlens.llm.tokens import SLICE, encoder
 
 MAGIC = int.from_bytes(b"S8BTOKEN", "little")
 VERSION = 1
@@ -207,7 +207,7 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for some in text_slices(batch, "text", 4 << 20):
+            for some in text_slices(batch, "text", SLICE):
                 texts = some.column("text").to_pylist()
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(texts)):
                     ids += end

@@ -19,6 +19,9 @@ PUNCTUATION = re.escape(".,;:!?|#*$%&()\"=+/@<>[]{}\\^_~-")
 CORE = (
     rf"(?:[{LETTERS}]+(?=[ \n{PUNCTUATION}]|\Z)|[{PUNCTUATION}]+(?=[ \n{LETTERS}]|\Z)|[^ \n]+)"
 )
+WORDS = 10_000  # words that the library remembers by default
+KEEP = 1_000_000
+SLICE = 1 << 20  # bytes of text to encode at once, as their pieces are held until all have ids
 # All white space but space and newline, one search each: faster than a pattern over every character.
 OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
@@ -26,10 +29,11 @@ OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, ``bytes`` per text.
 
-    ``keep`` bounds how many pieces are remembered; beyond it memory starts anew, results stay.
+    ``keep`` bounds how many pieces are remembered; beyond it only those of the texts at hand stay, which
+    have the frequent ones among them. Results do not depend on it.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = KEEP):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
         from tokenizers import Tokenizer
 
@@ -44,6 +48,7 @@ class Encoder:
         # A string that is always one id of its own, to join pieces that do not contain its core.
         self.mark, self.core, found = (" 7 ", "7", self.ids("7")) if self.blank else ("\n", "\n", self.ids("\n"))
         self.mark_id = found[0] if len(found) == 1 else None
+        self.remember = getattr(self.tokenizer.model, "_resize_cache", lambda capacity: None)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -53,6 +58,13 @@ class Encoder:
             self.known[piece] = array("I", e.ids).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
+        """Every piece is met here once, so the library's own memory of words would only cost time; texts
+        given to it whole have that memory."""
+        self.remember(0)
+        self._learn_new(pieces)
+        self.remember(WORDS)
+
+    def _learn_new(self, pieces: list[str]) -> None:
         """Pieces joined by the mark take one call, not one each; a wrong count of marks falls back."""
         if self.mark_id is None:
             return self._each(pieces)
@@ -73,10 +85,10 @@ class Encoder:
                 start = end + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > self.keep:
-            self.known.clear()
+        full = len(self.known) > self.keep
         look = self.known.get
         found: list[list[bytes | None]] = []
+        seen: set[str] = set()
         missed: list[tuple[list, list[str], list[int]]] = []  # ids of a text, its pieces, places not known
         new: set[str] = set()
         for text in texts:
@@ -86,6 +98,8 @@ class Encoder:
             pieces = self.pieces(text or "")
             ids = list(map(look, pieces))
             found.append(ids)
+            if full:
+                seen.update(pieces)
             if None in ids:
                 places = [i for i, x in enumerate(ids) if x is None]
                 new.update([pieces[i] for i in places])
@@ -96,14 +110,17 @@ class Encoder:
             for ids, pieces, places in missed:
                 for i in places:
                     ids[i] = known[pieces[i]]
+        if full:
+            self.known = {piece: self.known[piece] for piece in seen}
         return [b"".join(ids) for ids in found]
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """One encoder per tokenizer and Python worker."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].keep = keep
     return _encoders[path]

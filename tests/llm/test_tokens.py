@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from basketlens.llm import binary_tokens as shards
 from basketlens.llm import packing
 from basketlens.llm.queries import BYTE_BPE, WORD_BPE
-from basketlens.llm.tokens import encoder
+from basketlens.llm.tokens import Encoder, encoder
 
 ODD = [
     None, "", " ", "\n\n", "a\tb", "x  y\n\n z\n", "don't I'll 3foo, foo3 <|endoftext|> x", "é́ ñ́a",
@@ -181,3 +181,17 @@ def test_plan_takes_as_many_sequences_as_piece_by_piece(counts, documents, score
                 bins.remove(left)
             bins.append(tuple(r - n for n, r in zip(need, left)))
     assert len(bins) == max(first + number for _, _, number, first, _ in packing.plan(counts, capacity, score))
+
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_frequent_pieces_outlive_the_bound(path):
+    library, small = Tokenizer.from_file(path), Encoder(path, keep=20)
+    for k in range(6):
+        texts = [f"common words, and {k}x{j} rare{k}q{j}" for j in range(9)]
+        for text, ids in zip(texts, small.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        if k:
+            assert any("common" in piece for piece in small.known) and len(small.known) < 60
+    learned = []
+    small._learn = lambda pieces, learn=small._learn: (learned.extend(pieces), learn(pieces))
+    small.encode(["common words, and more"])
+    assert learned and not any("common" in piece for piece in learned)
