@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from basketlens.llm.common import fields_of, map_arrow, require, staged, text_slices
-from basketlens.llm.tokens import encoder
+from basketlens.llm.tokens import KEEP, SLICE, encoder
 
 
 @dataclass(frozen=True)
@@ -127,17 +127,20 @@ def plan(counts: dict[int, int], capacity: Capacity, score: str = "norm") -> lis
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int, most: int, with_ids: bool = False) -> DataFrame:
+def cut(
+    docs: DataFrame, tokenizer: str, end_id: int, most: int, with_ids: bool = False, keep: int = KEEP,
+) -> DataFrame:
     """Pieces of at most ``most`` tokens: only longer documents are cut, the last piece may be
-    shorter. ``row`` tells rows with equal doc_id apart. Null texts are empty, of the end id alone."""
+    shorter. ``row`` tells rows with equal doc_id apart. Null texts are empty, of the end id alone.
+    ``keep`` bounds the pieces of text that a worker remembers."""
     out = PIECES + (", ids binary" if with_ids else "")
     schema = fields_of(out)
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, keep).encode
         for batch in batches:
-            for some in text_slices(batch, "text", 4 << 20):
+            for some in text_slices(batch, "text", SLICE):
                 rows = []
                 encoded = encode(some.column("text").to_pylist())
                 for doc_id, row, ids in zip(some.column("doc_id").to_pylist(), some.column("row").to_pylist(), encoded):
@@ -206,14 +209,14 @@ def assign(pieces: DataFrame, capacity: Capacity, score: str = "norm", most_plac
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: Capacity = Capacity(),
-    score: str = "norm", with_ids: bool = False,
+    score: str = "norm", with_ids: bool = False, keep: int = KEEP,
 ) -> DataFrame:
     """One row per piece: where it lies in its document, and in which sequence at which offset.
 
     Empty and null texts are pieces of the end id alone; equal rows are packed each; a null doc_id
     stays null; an empty table gives no rows. Pieces are staged once, so ids are made once.
     """
-    pieces = staged(cut(docs, tokenizer, end_id, capacity.tokens, with_ids), "pieces")
+    pieces = staged(cut(docs, tokenizer, end_id, capacity.tokens, with_ids, keep), "pieces")
     return assign(pieces, capacity, score).drop("row")
 
 

@@ -34,8 +34,9 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: per piece its place and its token ids."""
-    return packing.pack_documents(docs, WORD_BPE, end_id=0)
+    """Sequences of at most 2048 tokens: per piece its place and its token ids. The stages before have left
+    the executors little memory beside their heap, so workers remember fewer pieces of text."""
+    return packing.pack_documents(docs, WORD_BPE, end_id=0, keep=300_000)
 
 
 STAGES = [

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from basketlens.llm import binary_tokens as shards
 from basketlens.llm import packing
 from basketlens.llm.queries import BYTE_BPE, WORD_BPE
-from basketlens.llm.tokens import Encoder, encoder
+from basketlens.llm.tokens import SLICE, Encoder, encoder
 
 ODD = [
     None, "", " ", "\n\n", "a\tb", "x  y\n\n z\n", "don't I'll 3foo, foo3 <|endoftext|> x", "é́ ñ́a",
@@ -195,3 +195,11 @@ def test_frequent_pieces_outlive_the_bound(path):
     small._learn = lambda pieces, learn=small._learn: (learned.extend(pieces), learn(pieces))
     small.encode(["common words, and more"])
     assert learned and not any("common" in piece for piece in learned)
+
+
+def test_tasks_encode_small_slices(spark):
+    """A batch of many long texts is encoded slice by slice, so that its pieces are not held at once."""
+    assert SLICE <= 1 << 20
+    texts = [f"{k} " + "some words " * 60_000 for k in range(4)]
+    rows = packing.pack_documents(docs(spark, texts), WORD_BPE, keep=50).collect()
+    check_packed(rows, list(enumerate(texts)))
