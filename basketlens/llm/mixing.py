@@ -109,16 +109,19 @@ def memberships(docs: DataFrame, labels: DataFrame, mix: Mix) -> DataFrame:
 
 def rate_of(mix: Mix, steps: list[list[float]]) -> Column:
     """The rate after the steps: from one, each moves it by the row's memberships, never below zero and
-    never above ``mix.most``."""
-    rate = F.lit(1.0)
-    for step in steps:
-        moved = rate
-        for name, u in zip(mix.domains, step):
-            moved = moved - F.col(f"p_{name}") * F.lit(float(u))
-        rate = F.greatest(F.lit(0.0), moved)
-        if mix.most is not None:
-            rate = F.least(F.lit(float(mix.most)), rate)
-    return rate
+    never above ``mix.most``. The steps are an array of numbers that one expression goes through:
+    as an expression within the next, each step would cost the driver more to plan and compile."""
+    if not steps:
+        return F.lit(1.0)
+
+    def move(rate: Column, step: Column) -> Column:
+        for k, name in enumerate(mix.domains):
+            rate = rate - F.col(f"p_{name}") * step[f"u{k}"]
+        rate = F.greatest(F.lit(0.0), rate)
+        return rate if mix.most is None else F.least(F.lit(float(mix.most)), rate)
+
+    moves = [F.struct(*(F.lit(float(u)).alias(f"u{k}") for k, u in enumerate(step))) for step in steps]
+    return F.aggregate(F.array(*moves), F.lit(1.0), move)
 
 
 def fitted(rows: DataFrame, mix: Mix) -> tuple[list[list[float]], dict[str, float]]:
@@ -156,8 +159,8 @@ def fitted(rows: DataFrame, mix: Mix) -> tuple[list[list[float]], dict[str, floa
             break
         best_residual = residual
         steps.append((pace * scale @ residual).tolist())
-        r = rate_of(mix, steps)
-        found = rows.agg(*(F.sum(r * t * x) for x in p)).first()
+        at = rows.withColumn("_rate", rate_of(mix, steps))
+        found = at.agg(*(F.sum(F.col("_rate") * t * x) for x in p)).first()
         residual = np.array([x or 0.0 for x in found]) - target
     return best_steps, dict(zip(names, target.tolist()))
 

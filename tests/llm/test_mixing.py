@@ -144,3 +144,28 @@ def test_query_keeps_clean_documents(spark):
     rows = QUERIES["op3_soft_mixing"](spark, SMALL).join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id")
     got = {(r.quality, r.toxic): r for r in rows.groupBy("quality", "toxic").agg(F.avg((F.col("copies") > 0).cast("int")).alias("kept")).collect()}
     assert got[1, 0].kept > 0.97 and got[0, 0].kept < 0.4
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_a_step_more_does_not_grow_the_expression(spark, most):
+    mix = mixing.Mix(most=most)
+    r = random.Random(5)
+    steps = [[r.gauss(0, 0.2) for _ in mix.domains] for _ in range(25)]
+    given = [tuple(r.random() for _ in mix.domains) for _ in range(50)] + [(1.0, 0.0, 0.0), (0.0, 0.0, 0.0)]
+    rows = spark.createDataFrame(given, ", ".join(f"p_{n} double" for n in mix.domains))
+
+    def sizes(steps):
+        plan = rows.select(mixing.rate_of(mix, steps).alias("rate"))._jdf.queryExecution().analyzed().toString()
+        return plan.count("greatest"), plan.count("p_clean#")
+
+    assert sizes(steps) == sizes(steps[:2])
+    for some in (steps, steps[:1], []):
+        wanted = []
+        for p in given:
+            rate = 1.0
+            for step in some:
+                for x, u in zip(p, step):
+                    rate = rate - x * u
+                rate = max(0.0, rate) if most is None else min(most, max(0.0, rate))
+            wanted.append(rate)
+        assert [x.rate for x in rows.select(mixing.rate_of(mix, some).alias("rate")).collect()] == wanted
